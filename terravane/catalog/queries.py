@@ -43,8 +43,7 @@ def _version() -> str:
 @query
 def xml_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "xml-supplier")
-    k = F.col("s_suppkey")
-    record = F.struct(*S.identity(k), F.col("s_name").alias("Objecten:naam"), S.point_geometry(k))
+    record = F.expr(S.record("s_suppkey", "punt", **{"Objecten:naam": "s_name"}))
     xml.write_records(S.table(spark, sf_dir, "supplier"), folder, "Verblijfsobject", record)
     df = xml.read_inferred(spark, folder, "Verblijfsobject")
     return df.select(
@@ -59,9 +58,7 @@ def xml_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def xml_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "xml-orders")
-    k = F.col("o_orderkey")
-    geometry = F.struct(S.polygon(k).alias("gml:Polygon")).alias(K.GEOMETRY_FIELD)
-    record = F.struct(*S.identity(k, F.pmod(k, F.lit(3))), geometry)
+    record = F.expr(S.record("o_orderkey", "polygon", version="o_orderkey % 3"))
     xml.write_records(S.table(spark, sf_dir, "orders"), folder, "Pand", record)
     df = xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"))
     area = f"`{K.GEOMETRY_FIELD}`.`gml:Polygon`"
@@ -76,9 +73,7 @@ def xml_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def xml_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    geometry = F.struct(S.polygon(k).alias("gml:Polygon")).alias(K.GEOMETRY_FIELD)
-    record = F.struct(F.struct(*S.identity(k), geometry).alias("Objecten:Pand"))
+    record = F.struct(F.expr(S.record("c_custkey", "polygon")).alias("Objecten:Pand"))
     text = S.table(spark, sf_dir, "customer").select(
         F.to_xml(record, {"rowTag": K.XML_ROW, "validateName": "false"}).alias("record")
     )
@@ -145,9 +140,7 @@ def archive_type_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """XML to the stored object table and back: scan, geometry, Parquet."""
     source, target = work_folder(spark, "xml-part"), work_folder(spark, "table-part")
-    k = F.col("p_partkey")
-    geometry = F.struct(S.multi_surface(k).alias("Objecten:multivlak")).alias(K.GEOMETRY_FIELD)
-    record = F.struct(*S.identity(k), F.col("p_name").alias("Objecten:naam"), geometry)
+    record = F.expr(S.record("p_partkey", "multivlak", **{"Objecten:naam": "p_name"}))
     xml.write_records(S.table(spark, sf_dir, "part"), source, "Woonplaats", record)
     schema = xml.infer_schema(spark, source, "Woonplaats")
     files.write_table(object_table(spark, source, "Woonplaats", schema), target)
@@ -174,8 +167,8 @@ def struct_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def nested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "lineitem")
-    records = df.select(
-        *S.identity(F.col("l_orderkey"), F.col("l_linenumber")), "l_partkey", "l_quantity"
+    records = S.records(
+        df, "l_orderkey", None, "l_partkey", "l_quantity", version="l_linenumber"
     )
     return record_ids(records, "l_partkey")
 
@@ -184,16 +177,15 @@ def nested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def struct_fields_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A geometry struct of one field, backfilled to all three in fixed order."""
     df = S.table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.struct(S.point_text(F.col("s_suppkey")).alias("geo_point")).alias("geometry")
+        "s_suppkey", F.struct(F.expr(S.point_text("s_suppkey")).alias("geo_point")).alias("geometry")
     )
     return complete_geometry(df).select("s_suppkey", "geometry.*")
 
 
 @query
 def packed_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    df = convert_geometry(S.point_records(S.table(spark, sf_dir, "supplier"), "s_suppkey", "s_suppkey"))
-    return df.select(k, "geometry.geo_multi_polygon", "geometry.geo_polygon", "geometry.geo_point")
+    df = _point_tables(spark, sf_dir)
+    return df.select("s_suppkey", "geometry.geo_multi_polygon", "geometry.geo_polygon", "geometry.geo_point")
 
 
 @query
@@ -205,7 +197,7 @@ def align_to_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def drop_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "orders").select(
-        "o_orderkey", S.point_text(F.col("o_orderkey")).alias("geo_point")
+        "o_orderkey", F.expr(S.point_text("o_orderkey")).alias("geo_point")
     )
     return drop_null(df, "geo_point")
 
@@ -221,23 +213,21 @@ def suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def poslist_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
     pairs = S.table(spark, sf_dir, "customer").select(
-        "c_custkey", F.posexplode(gml.position_pairs(S.outer_text(k), 3)).alias("pos", "pair")
+        "c_custkey", F.posexplode(gml.position_pairs(S.outer_text("c_custkey"), 3)).alias("pos", "pair")
     )
     return pairs.select("c_custkey", "pos", "pair.x", "pair.y")
 
 
 def _anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return S.table(spark, sf_dir, "customer").select(
-        "c_custkey", S.x0(k).cast("double").alias("x"), S.y0(k).cast("double").alias("y")
+    return S.table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", f"double({S.x0('c_custkey')}) AS x", f"double({S.y0('c_custkey')}) AS y"
     )
 
 
 @query
 def rd_to_wgs84_polynomial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = rd_to_wgs84(F.col("x"), F.col("y"))
+    at = rd_to_wgs84("x", "y")
     return _anchors(spark, sf_dir).select("c_custkey", at.lat.alias("lat"), at.long.alias("long"))
 
 
@@ -247,7 +237,7 @@ def _e7(degrees):
 
 @query
 def rd_to_wgs84_geodetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = rd_to_wgs84(F.col("x"), F.col("y"), "geodetic")
+    at = rd_to_wgs84("x", "y", "geodetic")
     return _anchors(spark, sf_dir).select(
         "c_custkey", _e7(at.lat).alias("lat_e7"), _e7(at.long).alias("long_e7")
     )
@@ -255,28 +245,28 @@ def rd_to_wgs84_geodetic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def point_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    return S.table(spark, sf_dir, "supplier").select(k, gml.point_wkt(S.point_text(k)).alias("wkt"))
+    text = S.point_text("s_suppkey")
+    return S.table(spark, sf_dir, "supplier").select("s_suppkey", gml.point_wkt(text).alias("wkt"))
 
 
 def _pand_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "customer")
-    return convert_geometry(S.polygon_records(df, "c_custkey", "c_custkey"))
+    return convert_geometry(S.records(df, "c_custkey", "polygon", "c_custkey"))
 
 
 def _area_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "orders")
-    return convert_geometry(S.area_records(df, "o_orderkey", "o_orderkey"))
+    return convert_geometry(S.records(df, "o_orderkey", "vlak", "o_orderkey"))
 
 
 def _multi_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "part")
-    return convert_geometry(S.multi_records(df, "p_partkey", "p_partkey"))
+    return convert_geometry(S.records(df, "p_partkey", "multivlak", "p_partkey"))
 
 
 def _point_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "supplier")
-    return convert_geometry(S.point_records(df, "s_suppkey", "s_suppkey"))
+    return convert_geometry(S.records(df, "s_suppkey", "punt", "s_suppkey"))
 
 
 @query
@@ -323,9 +313,8 @@ def point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("event_id")
-    return S.table(spark, sf_dir, "events").select(
-        k, S.event_lat(k).alias("lat"), S.event_long(k).alias("long")
+    return S.table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"{S.event_lat('event_id')} AS lat", f"{S.event_long('event_id')} AS long"
     )
 
 
@@ -360,8 +349,8 @@ def nearest_cell_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = _event_places(spark, sf_dir)
     return places.select(
         "event_id",
-        grid.nearest_cell_literal(F.col("lat"), F.col("long")).alias("refID"),
-        grid.nearest_cell_literal(F.col("long"), F.col("lat")).alias("swapped_refID"),
+        grid.nearest_cell_literal("lat", "long").alias("refID"),
+        grid.nearest_cell_literal("long", "lat").alias("swapped_refID"),
     )
 
 
@@ -463,7 +452,7 @@ def conform(spark: SparkSession, sf_dir: str) -> DataFrame:
         "verblijfsobject",
         {
             "identificatie": k,
-            "geometrie": S.point_text(k),
+            "geometrie": F.expr(S.point_text("c_custkey")),
             "gebruiksdoel": "c_mktsegment",
             # only even keys hold a number
             "oppervlakte": F.when(k % 2 == 0, k.cast("string")).otherwise(F.col("c_name")),
@@ -476,10 +465,9 @@ def conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
     df = S.table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        S.point_text(k).alias("geo_point"),
+        F.expr(S.point_text("o_orderkey")).alias("geo_point"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
     )
     return quality.check_not_null(df)
@@ -591,7 +579,7 @@ def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ),
         "verblijfsobject": model.conform(t["lineitem"], "verblijfsobject", {
             "identificatie": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-            "geometrie": S.point_text(F.col("l_orderkey")),
+            "geometrie": F.expr(S.point_text("l_orderkey")),
             "gebruiksdoel": F.when(F.col("l_returnflag") == "R", "ECONOMY, SMALL").otherwise("LARGE,PROMO"),
             "oppervlakte": F.col("l_quantity").cast("bigint"),
             "status": "l_linestatus",

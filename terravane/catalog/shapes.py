@@ -1,45 +1,36 @@
 """Register-shaped records derived from the star-schema tables by integer arithmetic.
 
 Every record is anchored at RD metres computed from its key, so an SQL engine can compute the
-same geometry without reading anything this package wrote.
+same geometry without reading anything this package wrote. Functions return SQL text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from terravane import constants as K
+from terravane.functions.bind import double, quoted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def x0(key: Column) -> Column:
-    return key.cast("bigint") * 7919 % 250000 + 20000
+def x0(key: str) -> str:
+    return f"({key} * 7919L % 250000L + 20000L)"
 
 
-def y0(key: Column) -> Column:
-    return key.cast("bigint") * 104729 % 300000 + 310000
+def y0(key: str) -> str:
+    return f"({key} * 104729L % 300000L + 310000L)"
 
 
-def event_lat(key: Column) -> Column:
+def event_lat(key: str) -> str:
     """Latitudes over the national box, some of them north of it."""
-    return (key * 7919 % 30500).cast("double") / 10000.0 + K.LAT_MIN
+    return f"double({key} * 7919 % 30500) / 10000D + {double(K.LAT_MIN)}"
 
 
-def event_long(key: Column) -> Column:
-    return (key * 104729 % 41000).cast("double") / 10000.0 + K.LONG_MIN
-
-
-def _positions(key: Column, offsets: list[tuple[int, int]], height: bool) -> Column:
-    parts: list[Column] = []
-    for dx, dy in offsets:
-        parts += [(x0(key) + dx).cast("string"), (y0(key) + dy).cast("string")]
-        if height:
-            parts.append(F.lit("0"))
-    return F.concat_ws(" ", *parts)
+def event_long(key: str) -> str:
+    return f"double({key} * 104729 % 41000) / 10000D + {double(K.LONG_MIN)}"
 
 
 OUTER = [(0, 0), (10, 0), (10, 10), (0, 0)]
@@ -47,101 +38,94 @@ INNER = [(6, 2), (8, 2), (8, 4), (6, 2)]
 SHIFT = 100
 
 
-def _ring(text: Column, count: int) -> Column:
-    return F.struct(
-        F.struct(
-            F.struct(text.alias("_VALUE"), F.lit(count).cast("bigint").alias("_count")).alias(
-                "gml:posList"
-            )
-        ).alias("gml:LinearRing")
-    )
+def positions(key: str, points: list[tuple[int, int]], height: bool, shift: int = 0) -> str:
+    words = [
+        f"{x0(key)} + {dx + shift}, {y0(key)} + {dy + shift}" + (", '0'" if height else "")
+        for dx, dy in points
+    ]
+    return f"concat_ws(' ', {', '.join(words)})"
 
 
-def point_text(key: Column) -> Column:
-    return F.when(key % 7 != 0, F.concat_ws(" ", x0(key), y0(key), F.lit("0")))
+def _struct(**fields: str) -> str:
+    return f"named_struct({', '.join(f'{name!r}, {value}' for name, value in fields.items())})"
 
 
-def outer_text(key: Column, height: bool = True) -> Column:
-    return _positions(key, OUTER, height)
+def _wrap(value: str, *names: str) -> str:
+    for name in reversed(names):
+        value = _struct(**{name: value})
+    return value
 
 
-def polygon(key: Column, height: bool = True) -> Column:
-    """gml:Polygon struct: one hole for every fifth key, null for every seventh."""
-    hole = _ring(_positions(key, INNER, height), len(INNER))
-    return F.when(
-        key % 7 != 0,
-        F.struct(
-            F.lit(3 if height else 2).cast("bigint").alias("_srsDimension"),
-            F.lit("EPSG:28992").alias("_srsName"),
-            _ring(outer_text(key, height), len(OUTER)).alias("gml:exterior"),
-            F.when(key % 5 == 0, F.array(hole)).alias("gml:interior"),
-        ),
-    )
+def _ring(text: str, count: int) -> str:
+    return _wrap(_struct(_VALUE=text, _count=f"{count}L"), "gml:LinearRing", "gml:posList")
+
 
+def point_text(key: str) -> str:
+    return f"if({key} % 7 <> 0, concat_ws(' ', {x0(key)}, {y0(key)}, '0'), NULL)"
 
-def multi_surface(key: Column) -> Column:
-    """gml:MultiSurface struct of two 2-D members, null for every seventh key."""
-    members = []
-    for shift in (0, SHIFT):
-        ring = _positions(key, [(dx + shift, dy + shift) for dx, dy in OUTER], False)
-        hole = _positions(key, [(dx + shift, dy + shift) for dx, dy in INNER], False)
-        members.append(
-            F.struct(
-                F.struct(
-                    F.lit(2).cast("bigint").alias("_srsDimension"),
-                    _ring(ring, len(OUTER)).alias("gml:exterior"),
-                    F.when(key % 5 == 0, F.array(_ring(hole, len(INNER)))).alias("gml:interior"),
-                ).alias("gml:Polygon")
-            )
-        )
-    return F.when(
-        key % 7 != 0,
-        F.struct(
-            F.struct(F.array(*members).alias("gml:surfaceMember")).alias("gml:MultiSurface")
-        ),
+
+def outer_text(key: str) -> str:
+    return positions(key, OUTER, True)
+
+
+def _polygon(key: str, height: bool, shift: int = 0) -> str:
+    hole = _ring(positions(key, INNER, height, shift), len(INNER))
+    return _struct(
+        **{
+            "_srsDimension": "3L" if height else "2L",
+            "_srsName": "'EPSG:28992'",
+            "gml:exterior": _ring(positions(key, OUTER, height, shift), len(OUTER)),
+            "gml:interior": f"if({key} % 5 = 0, array({hole}), NULL)",
+        }
     )
 
 
-def identity(key: Column, version: Column | int = 1) -> list[Column]:
-    """Identifier and history columns of a record; identifiers start with a zero."""
-    number = F.lpad(key.cast("string"), 12, "0")
-    version = F.lit(version) if isinstance(version, int) else version
-    return [
-        F.struct(
-            F.concat(F.lit("0599"), number).alias("_VALUE"), F.lit("NL.IMBAG").alias("_domein")
-        ).alias(K.ID_FIELD),
-        F.struct(
-            F.struct(version.cast("bigint").alias(K.HISTORY_PATH[1])).alias(K.HISTORY_PATH[0])
-        ).alias(K.HISTORY_FIELD),
-    ]
+def polygon(key: str) -> str:
+    """3-D gml:Polygon: one hole for every fifth key, null for every seventh."""
+    return f"if({key} % 7 <> 0, {_polygon(key, True)}, NULL)"
 
 
-def _geometry(name: str, value: Column) -> Column:
-    return F.struct(value.alias(name)).alias(K.GEOMETRY_FIELD)
+def multi_surface(key: str) -> str:
+    """gml:MultiSurface of two 2-D members, null for every seventh key."""
+    members = [_wrap(_polygon(key, False, shift), "gml:Polygon") for shift in (0, SHIFT)]
+    surface = _wrap(f"array({', '.join(members)})", "gml:MultiSurface", "gml:surfaceMember")
+    return f"if({key} % 7 <> 0, {surface}, NULL)"
 
 
-def point_geometry(key: Column) -> Column:
-    text = point_text(key)
-    point = F.struct(F.struct(text.alias("gml:pos")).alias("gml:Point"))
-    return _geometry("Objecten:punt", F.when(text.isNotNull(), point))
+def _point(key: str) -> str:
+    return f"if({key} % 7 <> 0, {_wrap(point_text(key), 'gml:Point', 'gml:pos')}, NULL)"
 
 
-def point_records(df: DataFrame, key: str, *keep: str) -> DataFrame:
-    k = F.col(key)
-    return df.select(*keep, *identity(k), point_geometry(k))
+GEOMETRIES = {
+    "punt": lambda key: _struct(**{"Objecten:punt": _point(key)}),
+    "polygon": lambda key: _struct(**{"gml:Polygon": polygon(key)}),
+    "vlak": lambda key: _struct(**{"Objecten:vlak": _wrap(polygon(key), "gml:Polygon")}),
+    "multivlak": lambda key: _struct(**{"Objecten:multivlak": multi_surface(key)}),
+}
 
 
-def polygon_records(df: DataFrame, key: str, *keep: str) -> DataFrame:
-    k = F.col(key)
-    return df.select(*keep, *identity(k), _geometry("gml:Polygon", polygon(k)))
+def fields(key: str, geometry: str | None = None, version: str = "1L") -> dict[str, str]:
+    """Identifier (it starts with a zero), history and geometry of a record, as SQL text."""
+    number = f"concat('0599', lpad(string({key}), 12, '0'))"
+    found = {
+        K.ID_FIELD: _struct(_VALUE=number, _domein="'NL.IMBAG'"),
+        K.HISTORY_FIELD: _wrap(f"bigint({version})", *K.HISTORY_PATH),
+    }
+    if geometry is not None:
+        found[K.GEOMETRY_FIELD] = GEOMETRIES[geometry](key)
+    return found
 
 
-def area_records(df: DataFrame, key: str, *keep: str) -> DataFrame:
-    k = F.col(key)
-    area = F.struct(polygon(k).alias("gml:Polygon"))
-    return df.select(*keep, *identity(k), _geometry("Objecten:vlak", area))
+def record(key: str, geometry: str, version: str = "1L", **more: str) -> str:
+    """The struct inside a type wrapper."""
+    return _struct(**fields(key, geometry, version), **more)
 
 
-def multi_records(df: DataFrame, key: str, *keep: str) -> DataFrame:
-    k = F.col(key)
-    return df.select(*keep, *identity(k), _geometry("Objecten:multivlak", multi_surface(k)))
+def records(
+    df: DataFrame, key: str, geometry: str | None, *keep: str, version: str = "1L"
+) -> DataFrame:
+    """The record's fields as columns beside the kept ones."""
+    columns = [
+        f"{sql} AS {quoted(name)}" for name, sql in fields(key, geometry, version).items()
+    ]
+    return df.selectExpr(*keep, *columns)

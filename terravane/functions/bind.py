@@ -1,17 +1,28 @@
-"""Name a sub-expression so that it is evaluated once per row."""
+"""Small pieces of SQL text shared by the expression builders.
+
+The geometry expressions nest several lambdas. Written as SQL text they reach the JVM in one
+call; the same tree built from Column objects takes thousands.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+def double(value: float) -> str:
+    """Double literal; a bare decimal would be read as DECIMAL."""
+    return f"{value!r}D" if value >= 0 else f"({value!r}D)"
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, also inside higher-order functions.
+def bind(value: str, name: str, body: str | Callable[[str], str]) -> str:
+    """``body`` with ``value`` evaluated once and available as ``name``.
 
     Catalyst shares repeated sub-expressions only in generated code; lambda bodies are
     interpreted, where a value used three times would be computed three times.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    text = body if isinstance(body, str) else body(name)
+    return f"get(transform(array({value}), {name} -> {text}), 0)"
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -1,7 +1,8 @@
-"""GML position text and geometry elements to WKT, as Column expressions.
+"""GML position text and geometry elements to WKT.
 
-A malformed coordinate gives a null geometry for its record, never a failed job, and never
-a geometry with that vertex, ring or member left out.
+Inputs are SQL text: a column name, a field path or an expression. A malformed coordinate
+gives a null geometry for its record, never a failed job, and never a geometry with that
+vertex, ring or member left out.
 """
 
 from __future__ import annotations
@@ -13,26 +14,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terravane import constants as K
-from terravane.functions.bind import bind
+from terravane.functions.bind import bind, quoted
 from terravane.functions.numbers import fixed_text
 from terravane.functions.projection import METHODS, rd_offset
 
 
 @dataclass(frozen=True)
 class Element:
-    """A parsed XML element: its column and its type, walked while the plan is built.
+    """A parsed XML element: its SQL path and its type, walked while the plan is built.
 
     XML inference gives a text element as string or as struct (when it has attributes), and a
     child as struct or array (when it repeats). Both forms are accepted everywhere.
     """
 
-    column: Column
+    sql: str
     type: T.DataType
 
     def child(self, name: str) -> Element | None:
         if not isinstance(self.type, T.StructType) or name not in self.type.names:
             return None
-        return Element(self.column.getField(name), self.type[name].dataType)
+        return Element(f"{self.sql}.{quoted(name)}", self.type[name].dataType)
 
     def path(self, *names: str) -> Element | None:
         here: Element | None = self
@@ -40,89 +41,87 @@ class Element:
             here = here.child(name) if here is not None else None
         return here
 
-    def text(self) -> Column:
-        value = self.child("_VALUE")
-        return (value or self).column.cast("string")
+    def text(self) -> str:
+        value = self.child("_VALUE") or self
+        return value.sql if isinstance(value.type, T.StringType) else f"string({value.sql})"
 
-    def items(self) -> tuple[Column, T.DataType]:
-        """Repeated element as a non-null array column and the type of one item."""
+    def items(self) -> tuple[str, T.DataType]:
+        """Repeated element as an array that is never null, and the type of one item."""
         if isinstance(self.type, T.ArrayType):
-            return F.coalesce(self.column, F.array()), self.type.elementType
-        return F.when(self.column.isNotNull(), F.array(self.column)).otherwise(F.array()), self.type
+            return f"coalesce({self.sql}, array())", self.type.elementType
+        return f"if({self.sql} IS NULL, array(), array({self.sql}))", self.type
 
 
 # --- position text -----------------------------------------------------------------------
 
 
-def tokens(text: Column) -> Column:
-    """Words of a position text, split on any run of white space."""
-    trimmed = F.btrim(text, F.lit(" \t\r\n"))
-    ragged = F.lit(False)
-    for mark in ("\n", "\t", "\r", "  "):
-        ragged = ragged | F.contains(trimmed, F.lit(mark))
-    # a one-character split avoids the regex engine; most texts are already single-spaced
-    return F.split(F.when(ragged, F.regexp_replace(trimmed, r"\s+", " ")).otherwise(trimmed), " ")
+def _numbers(text: str) -> str:
+    """array<double> of the words of ``text``; a word that is no number becomes null.
 
-
-def numbers(text: Column) -> Column:
-    """The words as array<double>; a word that is no number becomes null."""
-    return tokens(text).try_cast("array<double>")
+    Words may be separated by any run of white space. Most texts are single-spaced already,
+    and a one-character split stays clear of the regex engine.
+    """
+    ragged = " OR ".join(f"contains(g_t, '{mark}')" for mark in ("\\n", "\\t", "\\r", "  "))
+    words = f"if({ragged}, regexp_replace(g_t, '[ \\\\t\\\\r\\\\n]+', ' '), g_t)"
+    split = f"try_cast(split({words}, ' ') AS array<double>)"
+    return bind(f"btrim({text}, ' \\t\\r\\n')", "g_t", split)
 
 
-def _starts(count: Column, dimension: Column) -> Column:
-    step = F.greatest(dimension, F.lit(1))
-    return F.sequence(F.lit(0), count - 1, step)
+def _starts(numbers: str, dimension: str) -> str:
+    return f"sequence(0, size({numbers}) - 1, greatest(int({dimension}), 1))"
 
 
-def position_pairs(text: Column, dimension: Column | int = 2) -> Column:
+def position_pairs(text: str, dimension: str | int = 2) -> Column:
     """array<struct<x, y>>: the first two numbers of every ``dimension`` in the text."""
-    dim = F.lit(dimension).cast("int") if isinstance(dimension, int) else dimension.cast("int")
-    return bind(
-        numbers(text),
-        lambda n: F.transform(
-            _starts(F.size(n), dim),
-            lambda i: F.struct(F.get(n, i).alias("x"), F.get(n, i + 1).alias("y")),
-        ),
-    )
+    pairs = f"""transform({_starts("g_n", str(dimension))},
+        g_i -> named_struct('x', get(g_n, g_i), 'y', get(g_n, g_i + 1)))"""
+    return F.expr(bind(_numbers(text), "g_n", pairs))
 
 
 # --- WKT text ----------------------------------------------------------------------------
 
 
-def _joined(parts: Column) -> Column:
-    """Parts joined by a comma; null if any part is null."""
-    return F.when(F.forall(parts, lambda p: p.isNotNull()), F.array_join(parts, ", "))
-
+def _joined(parts: str) -> str:
+    """Parts joined by a comma; null if any part is null, which array_join would skip."""
+    return f"if(exists({parts}, g_e -> g_e IS NULL), NULL, array_join({parts}, ', '))"
 
-def _bracketed(inner: Column) -> Column:
-    return F.concat(F.lit("("), inner, F.lit(")"))
 
-
-def _coordinate(point: Column, decimals: int) -> Column:
-    return F.concat(
-        fixed_text(point["long"], decimals), F.lit(" "), fixed_text(point["lat"], decimals)
+def _coordinate(place: str, decimals: int) -> str:
+    return (
+        f"concat({fixed_text(f'{place}.long', decimals)}, ' ', "
+        f"{fixed_text(f'{place}.lat', decimals)})"
     )
 
 
-def point_wkt(text: Column, method: str = "polynomial", decimals: int = K.WKT_DECIMALS) -> Column:
+def point_wkt(text: str, method: str = "polynomial", decimals: int = K.WKT_DECIMALS) -> Column:
     """``POINT (long lat)`` of an ``x y`` or ``x y z`` text; the height is dropped."""
-
-    def render(n: Column) -> Column:
-        place = METHODS[method](rd_offset(F.get(n, F.lit(0)), 0), rd_offset(F.get(n, F.lit(1)), 1))
-        return bind(
-            F.struct(place.long.alias("long"), place.lat.alias("lat")),
-            lambda p: F.when(
-                F.size(n).between(2, 3) & F.forall(n, lambda v: v.isNotNull()),
-                F.concat(F.lit("POINT ("), _coordinate(p, decimals), F.lit(")")),
-            ),
-        )
-
-    return bind(numbers(text), render)
+    offsets = f"""named_struct('x', {rd_offset("get(g_n, 0)", 0)},
+        'y', {rd_offset("get(g_n, 1)", 1)})"""
+    place = bind(offsets, "g_o", METHODS[method]("g_o.x", "g_o.y"))
+    point = bind(place, "g_p", f"concat('POINT (', {_coordinate('g_p', decimals)}, ')')")
+    sound = "size(g_n) BETWEEN 2 AND 3 AND NOT exists(g_n, g_e -> g_e IS NULL)"
+    return F.expr(bind(_numbers(text), "g_n", f"if({sound}, {point}, NULL)"))
+
+
+def _ring(text: str, dimension: str, method: str, decimals: int) -> str:
+    def offsets(axis: int) -> str:
+        return f"""transform({_starts("g_n", dimension)},
+            g_i -> {rd_offset(f"get(g_n, g_i + {axis})", axis)})"""
+
+    places = bind(
+        _numbers(text),
+        "g_n",
+        f"zip_with({offsets(0)}, {offsets(1)}, (g_x, g_y) -> {METHODS[method]('g_x', 'g_y')})",
+    )
+    vertices = f"transform({places}, g_p -> {_coordinate('g_p', decimals)})"
+    tail = "if(get(g_v, 0) = element_at(g_v, -1), ')', concat(', ', get(g_v, 0), ')'))"
+    ring = f"if(size(g_v) >= 3, concat('(', {_joined('g_v')}, {tail}), NULL)"
+    return bind(vertices, "g_v", ring)
 
 
 def ring_text(
-    text: Column,
-    dimension: Column | int = 2,
+    text: str,
+    dimension: str | int = 2,
     method: str = "polynomial",
     decimals: int = K.WKT_DECIMALS,
 ) -> Column:
@@ -130,61 +129,38 @@ def ring_text(
 
     Null when a coordinate is malformed or fewer than three positions are given.
     """
-    dim = F.lit(dimension).cast("int") if isinstance(dimension, int) else dimension.cast("int")
+    return F.expr(_ring(text, str(dimension), method, decimals))
 
-    def offsets(n: Column, axis: int) -> Column:
-        return F.transform(
-            _starts(F.size(n), dim), lambda i: rd_offset(F.get(n, i + axis), axis)
-        )
 
-    def place(dx: Column, dy: Column) -> Column:
-        at = METHODS[method](dx, dy)
-        return F.struct(at.long.alias("long"), at.lat.alias("lat"))
+_NO_TEXT = "CAST(NULL AS string)"
 
-    def close(vertices: Column) -> Column:
-        first, last = F.get(vertices, F.lit(0)), F.element_at(vertices, -1)
-        tail = F.when(first == last, F.lit("")).otherwise(F.concat(F.lit(", "), first))
-        return F.when(F.size(vertices) >= 3, _bracketed(F.concat(_joined(vertices), tail)))
 
-    places = bind(numbers(text), lambda n: F.zip_with(offsets(n, 0), offsets(n, 1), place))
-    vertices = F.transform(places, lambda p: _coordinate(p, decimals))
-    return bind(vertices, close)
-
-
-def _ring_of(element: Element, dimension: Column, method: str, decimals: int) -> Column:
+def _ring_positions(element: Element) -> str:
     positions = element.path("gml:LinearRing", "gml:posList")
-    if positions is None:
-        return F.lit(None).cast("string")
-    return ring_text(positions.text(), dimension, method, decimals)
+    return _NO_TEXT if positions is None else positions.text()
 
 
-def _polygon_body(polygon: Element, method: str, decimals: int) -> Column:
+def _polygon_body(polygon: Element, method: str, decimals: int) -> str:
     """``((outer), (inner), ...)`` of one gml:Polygon; null if any ring is null."""
-    declared = polygon.child("_srsDimension")
-    dimension = F.lit(2) if declared is None else F.coalesce(
-        declared.column.try_cast("int"), F.lit(2)
-    )
-    outer = polygon.child("gml:exterior")
+    outer, inner = polygon.child("gml:exterior"), polygon.child("gml:interior")
     if outer is None:
-        return F.lit(None).cast("string")
-    rings = F.array(_ring_of(outer, dimension, method, decimals))
-    inner = polygon.child("gml:interior")
+        return _NO_TEXT
+    declared = polygon.child("_srsDimension")
+    dimension = "2" if declared is None else f"coalesce(try_cast({declared.sql} AS int), 2)"
+    # one lambda renders outer and inner rings alike, so the ring expression appears once
+    texts = [f"array({_ring_positions(outer)})"]
     if inner is not None:
         holes, hole_type = inner.items()
-        rings = F.concat(
-            rings,
-            F.transform(
-                holes, lambda h: _ring_of(Element(h, hole_type), dimension, method, decimals)
-            ),
-        )
-    return _bracketed(bind(rings, _joined))
+        texts.append(f"transform({holes}, g_h -> {_ring_positions(Element('g_h', hole_type))})")
+    rings = f"transform(concat({', '.join(texts)}), g_r -> {_ring('g_r', dimension, method, decimals)})"
+    return f"concat('(', {bind(rings, 'g_q', _joined('g_q'))}, ')')"
 
 
 def polygon_wkt(
     polygon: Element, method: str = "polynomial", decimals: int = K.WKT_DECIMALS
 ) -> Column:
     """``POLYGON ((...), (...))`` of a gml:Polygon element with any number of holes."""
-    return F.concat(F.lit("POLYGON "), _polygon_body(polygon, method, decimals))
+    return F.expr(f"concat('POLYGON ', {_polygon_body(polygon, method, decimals)})")
 
 
 def multipolygon_wkt(
@@ -193,15 +169,11 @@ def multipolygon_wkt(
     """``MULTIPOLYGON (((...)), ((...)))`` of a gml:MultiSurface element."""
     member = surface.child("gml:surfaceMember")
     if member is None:
-        return F.lit(None).cast("string")
+        return F.expr(_NO_TEXT)
     members, member_type = member.items()
-
-    def body(column: Column) -> Column:
-        polygon = Element(column, member_type).child("gml:Polygon")
-        if polygon is None:
-            return F.lit(None).cast("string")
-        return _polygon_body(polygon, method, decimals)
-
-    bodies = F.transform(members, body)
-    joined = bind(bodies, lambda b: F.when(F.size(b) > 0, _joined(b)))
-    return F.concat(F.lit("MULTIPOLYGON "), _bracketed(joined))
+    polygon = Element("g_m", member_type).child("gml:Polygon")
+    if polygon is None:
+        return F.expr(_NO_TEXT)
+    bodies = f"transform({members}, g_m -> {_polygon_body(polygon, method, decimals)})"
+    joined = bind(bodies, "g_b", f"if(size(g_b) > 0, {_joined('g_b')}, NULL)")
+    return F.expr(f"concat('MULTIPOLYGON (', {joined}, ')')")

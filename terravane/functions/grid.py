@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from terravane import constants as K
+from terravane.functions.bind import bind, double
 
 LAT_STEP = (K.LAT_MAX - K.LAT_MIN) / K.GRID_ROWS
 LONG_STEP = (K.LONG_MAX - K.LONG_MIN) / K.GRID_COLUMNS
@@ -51,46 +52,36 @@ def nearest_cell(lat: Column, long: Column) -> Column:
     return F.when(inside, (row * K.GRID_COLUMNS + column).cast("int"))
 
 
-def _wrap_int(value: Column) -> Column:
-    """Keep the low 32 bits of a bigint as a signed int."""
-    return (F.pmod(value + 2**31, F.lit(2**32)) - 2**31).cast("int")
-
-
-def nearest_cell_literal(lat: Column, long: Column) -> Column:
+def nearest_cell_literal(lat: str = "lat", long: str = "long") -> Column:
     """The published neighbour search, kept for comparison with existing tables.
 
     It starts from the unrounded row of :func:`grid_index`, so it can only return a cell near
     that wrong start, and it lets indexes beyond 32 bits wrap. Use :func:`nearest_cell` for
-    new tables.
+    new tables. Arguments are SQL text.
     """
-    start = F.floor(grid_index(lat, long)).cast("bigint")
-    side = F.pmod(start, F.lit(K.GRID_COLUMNS))
-    allowed = {
-        (0, -1): side != 0,
-        (0, 1): side != K.GRID_COLUMNS - 1,
-        (1, -1): start >= K.GRID_COLUMNS,
-        (1, 1): start <= (K.GRID_ROWS - 1) * K.GRID_COLUMNS,
+    rows, columns = K.GRID_ROWS, K.GRID_COLUMNS
+    start = f"""bigint(floor(({long} - {double(K.LONG_MIN)}) / {double(LONG_STEP)}
+        + ({lat} - {double(K.LAT_MIN)}) / {double(LAT_STEP)} * {double(float(columns))}))"""
+    side = f"pmod(g_s, {columns})"
+    across = {"0": "true", "-1": f"{side} <> 0", "1": f"{side} <> {columns - 1}"}
+    up = {
+        "0": "true",
+        f"-{columns}": f"g_s >= {columns}",
+        f"{columns}": f"g_s <= {(rows - 1) * columns}",
     }
-    # ties go to the first candidate in this order
-    order = (0, -1, 1)
-    candidates = []
-    for across in order:
-        for up in order:
-            usable = F.lit(True)
-            if across:
-                usable = usable & allowed[(0, across)]
-            if up:
-                usable = usable & allowed[(1, up)]
-            cell = start + across + up * K.GRID_COLUMNS
-            dlat, dlong = lat - cell_lat(cell), long - cell_long(cell)
-            candidates.append(
-                F.when(
-                    usable,
-                    F.struct(
-                        F.sqrt(dlat * dlat + dlong * dlong).alias("distance"),
-                        F.lit(len(candidates)).alias("rank"),
-                        cell.alias("cell"),
-                    ),
-                )
-            )
-    return _wrap_int(F.array_min(F.array(*candidates))["cell"])
+    # a tie goes to the first candidate of the array
+    cells = [
+        f"if({side_ok} AND {row_ok}, g_s + {step} + {row_step}, NULL)"
+        for step, side_ok in across.items()
+        for row_step, row_ok in up.items()
+    ]
+    offsets = f"""named_struct(
+        'a', {lat} - (floor(g_c / {double(float(columns))}) * {double(LAT_STEP)} + {double(K.LAT_MIN)}),
+        'b', {long} - (pmod(g_c, {columns}) * {double(LONG_STEP)} + {double(K.LONG_MIN)}))"""
+    ranked = bind(
+        offsets, "g_d", "named_struct('d', sqrt(g_d.a * g_d.a + g_d.b * g_d.b), 'k', g_k, 'c', g_c)"
+    )
+    best = f"array_min(transform(array({', '.join(cells)}), (g_c, g_k) -> if(g_c IS NULL, NULL, {ranked}))).c"
+    # the low 32 bits as a signed int
+    wrapped = "int(pmod(g_w + 2147483648, 4294967296) - 2147483648)"
+    return F.expr(bind(bind(start, "g_s", best), "g_w", wrapped))

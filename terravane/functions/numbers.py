@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from terravane import constants as K
 
 
-def fixed_text(value: Column, decimals: int = K.WKT_DECIMALS) -> Column:
-    """Decimal text with exactly ``decimals`` digits after the point.
+def fixed_text(value: str, decimals: int = K.WKT_DECIMALS) -> str:
+    """SQL for the decimal text of ``value`` with exactly ``decimals`` digits after the point.
 
     Between 1 and 100 (every Dutch longitude and latitude) the shortest text of a double has
     at most 16 decimals, so zero padding gives the same text as ``%.16f`` at a third of the
     cost of the formatter. Other values and precisions use the formatter.
     """
-    formatted = F.format_string(f"%.{decimals}f", value)
+    formatted = f"format_string('%.{decimals}f', {value})"
     if decimals < 16:
         return formatted
-    shortest = value.cast("string")
-    return (
-        F.when((value >= 1.0) & (value < 10.0), F.rpad(shortest, decimals + 2, "0"))
-        .when((value >= 10.0) & (value < 100.0), F.rpad(shortest, decimals + 3, "0"))
-        .otherwise(formatted)
-    )
+    return f"""CASE
+        WHEN {value} >= 1D AND {value} < 10D THEN rpad(string({value}), {decimals + 2}, '0')
+        WHEN {value} >= 10D AND {value} < 100D THEN rpad(string({value}), {decimals + 3}, '0')
+        ELSE {formatted} END"""

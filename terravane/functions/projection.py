@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from terravane import constants as K
-from terravane.functions.bind import bind
+from terravane.functions.bind import bind, double
 
 
 class LongLat(NamedTuple):
@@ -17,30 +17,28 @@ class LongLat(NamedTuple):
     lat: Column
 
 
-def _horner(coefficients: dict[int, Column | float], x: Column) -> Column | float:
+def _horner(coefficients: dict[int, str], var: str) -> str:
     top = max(coefficients)
     total = coefficients[top]
     for power in range(top - 1, -1, -1):
-        total = x * total
-        if power in coefficients:
-            total = total + coefficients[power]
+        total = f"{var} * {total}"
+        total = f"({total} + {coefficients[power]})" if power in coefficients else f"({total})"
     return total
 
 
-def bivariate(terms: dict[tuple[int, int], float], x: Column, y: Column) -> Column:
+def bivariate(terms: dict[tuple[int, int], float], x: str, y: str) -> str:
     """Sum of ``c * x^p * y^q``, nested in ``x`` over polynomials in ``y``."""
-    by_power: dict[int, dict[int, float]] = {}
+    by_power: dict[int, dict[int, str]] = {}
     for (p, q), value in terms.items():
-        by_power.setdefault(p, {})[q] = value
+        by_power.setdefault(p, {})[q] = double(value)
     return _horner({p: _horner(inner, y) for p, inner in by_power.items()}, x)
 
 
-def polynomial(dx: Column, dy: Column) -> LongLat:
+def polynomial(dx: str, dy: str) -> str:
     """Published approximation in scaled offsets from the RD origin (:func:`rd_offset`)."""
-    return LongLat(
-        bivariate(K.LONG_TERMS, dx, dy) / 3600.0 + K.WGS_ORIGIN_LONG,
-        bivariate(K.LAT_TERMS, dx, dy) / 3600.0 + K.WGS_ORIGIN_LAT,
-    )
+    long = f"{bivariate(K.LONG_TERMS, dx, dy)} / 3600D + {double(K.WGS_ORIGIN_LONG)}"
+    lat = f"{bivariate(K.LAT_TERMS, dx, dy)} / 3600D + {double(K.WGS_ORIGIN_LAT)}"
+    return f"named_struct('long', {long}, 'lat', {lat})"
 
 
 def _isometric(lat: float, e: float) -> float:
@@ -48,18 +46,6 @@ def _isometric(lat: float, e: float) -> float:
     return math.asinh(math.tan(lat)) - e / 2 * math.log((1 + s) / (1 - s))
 
 
-def _sphere() -> tuple[float, float, float, float]:
-    """Conformal sphere through the projection centre: exponent, radius, latitude, offset."""
-    f = 1 / K.BESSEL_INV_F
-    e2 = f * (2 - f)
-    lat0 = math.radians(K.RD_LAT0)
-    n = math.sqrt(1 + e2 * math.cos(lat0) ** 4 / (1 - e2))
-    radius = K.BESSEL_A * math.sqrt(1 - e2) / (1 - e2 * math.sin(lat0) ** 2)
-    sphere_lat0 = math.asin(math.sin(lat0) / n)
-    offset = math.asinh(math.tan(sphere_lat0)) - n * _isometric(lat0, math.sqrt(e2))
-    return n, radius, sphere_lat0, offset
-
-
 def _conformal_series(e2: float) -> list[float]:
     """Coefficients of sin(2jx) that turn a conformal latitude x into a geodetic one."""
     e4, e6, e8 = e2**2, e2**3, e2**4
@@ -71,93 +57,82 @@ def _conformal_series(e2: float) -> list[float]:
     ]
 
 
-def geodetic(dx: Column, dy: Column) -> LongLat:
+def geodetic(dx: str, dy: str) -> str:
     """Inverse of the oblique stereographic projection, then the 7-parameter datum shift."""
     f = 1 / K.BESSEL_INV_F
     e2 = f * (2 - f)
-    n, radius, sphere_lat0, offset = _sphere()
-
-    def on_sphere(plane: Column) -> Column:
-        rho, dx, dy = plane["rho"], plane["dx"], plane["dy"]
-        psi = F.atan(rho / (2 * radius * K.RD_K0)) * 2.0
-        # the centre itself has no direction
-        east = F.when(rho > 0, dx / rho).otherwise(0.0)
-        north = F.when(rho > 0, dy / rho).otherwise(1.0)
-        sphere_lat = F.asin(
-            F.cos(psi) * math.sin(sphere_lat0) + F.sin(psi) * north * math.cos(sphere_lat0)
-        )
-        sphere_long = F.asin(east * F.sin(psi) / F.cos(sphere_lat))
-        q = (F.asinh(F.tan(sphere_lat)) - offset) / n
-        return F.struct(
-            F.atan(F.sinh(q)).alias("conformal"),
-            (sphere_long / n + math.radians(K.RD_LONG0)).alias("long"),
-        )
-
-    def on_ellipsoid(p: Column) -> Column:
-        lat = p["conformal"]
-        for j, c in enumerate(_conformal_series(e2), start=1):
-            lat = lat + F.sin(p["conformal"] * (2.0 * j)) * c
-        return F.struct(lat.alias("lat"), p["long"].alias("long"))
-
-    rx, ry, rz = (math.radians(v / 3600) for v in K.RD_ROTATION)
-    scale = 1 + K.RD_PPM * 1e-6
-    tx, ty, tz = K.RD_SHIFT
-
-    def geocentric(p: Column) -> Column:
-        lat, long = p["lat"], p["long"]
-        nu = F.lit(K.BESSEL_A) / F.sqrt(F.lit(1.0) - F.sin(lat) * F.sin(lat) * e2)
-        return F.struct(
-            (nu * F.cos(lat) * F.cos(long)).alias("x"),
-            (nu * F.cos(lat) * F.sin(long)).alias("y"),
-            (nu * F.sin(lat) * (1 - e2)).alias("z"),
-        )
-
-    def shifted(g: Column) -> Column:
-        gx, gy, gz = g["x"], g["y"], g["z"]
-        return F.struct(
-            ((gx - gy * rz + gz * ry) * scale + tx).alias("x"),
-            ((gx * rz + gy - gz * rx) * scale + ty).alias("y"),
-            ((gy * rx - gx * ry + gz) * scale + tz).alias("z"),
-        )
+    lat0, long0 = math.radians(K.RD_LAT0), math.radians(K.RD_LONG0)
+
+    # conformal sphere through the projection centre
+    n = math.sqrt(1 + e2 * math.cos(lat0) ** 4 / (1 - e2))
+    radius = K.BESSEL_A * math.sqrt(1 - e2) / (1 - e2 * math.sin(lat0) ** 2)
+    sphere_lat0 = math.asin(math.sin(lat0) / n)
+    offset = math.asinh(math.tan(sphere_lat0)) - n * _isometric(lat0, math.sqrt(e2))
+    # offsets are in units of 1 / RD_SCALE metres
+    plane = double(2 * radius * K.RD_K0 * K.RD_SCALE)
+
+    # the centre itself has no direction
+    polar = f"""named_struct('psi', 2D * atan(hypot({dx}, {dy}) / {plane}),
+        'east', if({dx} = 0D, 0D, {dx} / hypot({dx}, {dy})),
+        'north', if({dx} = 0D AND {dy} = 0D, 1D, {dy} / hypot({dx}, {dy})))"""
+    sphere = f"""named_struct('psi', g_a.psi, 'east', g_a.east,
+        'lat', asin(cos(g_a.psi) * {double(math.sin(sphere_lat0))}
+            + sin(g_a.psi) * g_a.north * {double(math.cos(sphere_lat0))}))"""
+    conformal = f"""named_struct(
+        'lat', atan(sinh((asinh(tan(g_a.lat)) - {double(offset)}) / {double(n)})),
+        'long', asin(g_a.east * sin(g_a.psi) / cos(g_a.lat)) / {double(n)} + {double(long0)})"""
+    series = " + ".join(
+        f"sin(g_a.lat * {double(2.0 * j)}) * {double(c)}"
+        for j, c in enumerate(_conformal_series(e2), start=1)
+    )
+    ellipsoid = f"named_struct('lat', g_a.lat + {series}, 'long', g_a.long)"
+    normal = f"""named_struct('lat', g_a.lat, 'long', g_a.long,
+        'nu', {double(K.BESSEL_A)} / sqrt(1D - sin(g_a.lat) * sin(g_a.lat) * {double(e2)}))"""
+    geocentric = f"""named_struct('x', g_a.nu * cos(g_a.lat) * cos(g_a.long),
+        'y', g_a.nu * cos(g_a.lat) * sin(g_a.long), 'z', g_a.nu * sin(g_a.lat) * {double(1 - e2)})"""
+
+    rx, ry, rz = (double(math.radians(v / 3600)) for v in K.RD_ROTATION)
+    scale = double(1 + K.RD_PPM * 1e-6)
+    tx, ty, tz = (double(v) for v in K.RD_SHIFT)
+    shifted = f"""named_struct(
+        'x', (g_a.x - g_a.y * {rz} + g_a.z * {ry}) * {scale} + {tx},
+        'y', (g_a.x * {rz} + g_a.y - g_a.z * {rx}) * {scale} + {ty},
+        'z', (g_a.y * {rx} - g_a.x * {ry} + g_a.z) * {scale} + {tz})"""
 
     wf = 1 / K.WGS84_INV_F
     we2 = wf * (2 - wf)
-    polar = K.WGS84_A * (1 - wf)
-
-    def to_wgs84(g: Column) -> Column:
-        flat = F.hypot(g["x"], g["y"])
-        reduced = F.atan2(g["z"] * K.WGS84_A, flat * polar)
-        sin3 = F.sin(reduced) * F.sin(reduced) * F.sin(reduced)
-        cos3 = F.cos(reduced) * F.cos(reduced) * F.cos(reduced)
-        lat = F.atan2(
-            g["z"] + sin3 * (we2 / (1 - we2) * polar), flat - cos3 * (we2 * K.WGS84_A)
-        )
-        return F.struct(
-            F.degrees(F.atan2(g["y"], g["x"])).alias("long"), F.degrees(lat).alias("lat")
-        )
-
-    metres_x, metres_y = dx / K.RD_SCALE, dy / K.RD_SCALE
-    value = F.struct(
-        F.hypot(metres_x, metres_y).alias("rho"), metres_x.alias("dx"), metres_y.alias("dy")
-    )
-    for step in (on_sphere, on_ellipsoid, geocentric, shifted, to_wgs84):
-        value = bind(value, step)
-    return LongLat(value["long"], value["lat"])
+    minor = K.WGS84_A * (1 - wf)
+    reduced = f"""named_struct('z', g_a.z, 'flat', hypot(g_a.x, g_a.y), 'long', atan2(g_a.y, g_a.x),
+        'u', atan2(g_a.z * {double(K.WGS84_A)}, hypot(g_a.x, g_a.y) * {double(minor)}))"""
+    degrees = f"""named_struct('long', degrees(g_a.long), 'lat', degrees(atan2(
+        g_a.z + pow(sin(g_a.u), 3D) * {double(we2 / (1 - we2) * minor)},
+        g_a.flat - pow(cos(g_a.u), 3D) * {double(we2 * K.WGS84_A)})))"""
+
+    value = polar
+    for step in (sphere, conformal, ellipsoid, normal, geocentric, shifted, reduced, degrees):
+        value = bind(value, "g_a", step)
+    return value
 
 
 METHODS = {"polynomial": polynomial, "geodetic": geodetic}
 
 
-def rd_offset(metres: Column, axis: int) -> Column:
+def rd_offset(metres: str, axis: int) -> str:
     """Offset from the RD origin along axis 0 (x) or 1 (y), in units of 100 km."""
-    return (metres - K.RD_ORIGIN[axis]) * K.RD_SCALE
+    return f"(({metres}) - {double(K.RD_ORIGIN[axis])}) * {double(K.RD_SCALE)}"
 
 
-def rd_to_wgs84(x: Column, y: Column, method: str = "polynomial") -> LongLat:
-    """Longitude and latitude in degrees of RD metres ``x``, ``y``.
+def rd_to_wgs84(x: str, y: str, method: str = "polynomial") -> LongLat:
+    """Longitude and latitude in degrees of RD metres ``x``, ``y`` (names or SQL text).
 
     ``polynomial`` is the published approximation: some 50 multiply-adds, within 0.3 m of
     ``geodetic`` over the country, far less than a grid cell (about 7 m by 8 m).
     ``geodetic`` evaluates the projection and datum shift that define the system.
     """
-    return METHODS[method](rd_offset(x, 0), rd_offset(y, 1))
+    if method == "polynomial":
+        # plain arithmetic stays in generated code, where the offsets are computed once
+        at = F.expr(polynomial(f"({rd_offset(x, 0)})", f"({rd_offset(y, 1)})"))
+    else:
+        offsets = f"named_struct('dx', {rd_offset(x, 0)}, 'dy', {rd_offset(y, 1)})"
+        at = F.expr(bind(offsets, "g_o", METHODS[method]("g_o.dx", "g_o.dy")))
+    return LongLat(at["long"], at["lat"])

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from terravane import constants as K
 from terravane.functions import gml
+from terravane.functions.bind import quoted
 
 GEOMETRY_TYPE = T.StructType([T.StructField(n, T.StringType()) for n in K.GEOMETRY_FIELDS])
 
@@ -46,7 +47,7 @@ def convert_geometry(
     """
     if K.GEOMETRY_FIELD not in df.columns:
         return df
-    root = gml.Element(F.col(f"`{K.GEOMETRY_FIELD}`"), df.schema[K.GEOMETRY_FIELD].dataType)
+    root = gml.Element(quoted(K.GEOMETRY_FIELD), df.schema[K.GEOMETRY_FIELD].dataType)
 
     surface = root.path("Objecten:multivlak", "gml:MultiSurface")
     multi = None if surface is None else gml.multipolygon_wkt(surface, method, decimals)

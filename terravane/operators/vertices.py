@@ -40,13 +40,13 @@ def _located(df: DataFrame, vertex: str, literal: bool) -> DataFrame:
     first, second = (wkt.ordinate(F.col(vertex), i) for i in (0, 1))
     if literal:
         lat, long = (c.cast("float").cast("double") for c in (first, second))
-        cell = grid.nearest_cell_literal
+        cell = grid.nearest_cell_literal("lat", "long")
     else:
         lat, long = second, first
-        cell = grid.nearest_cell
+        cell = grid.nearest_cell(F.col("lat"), F.col("long"))
     carried = [c for c in df.columns if c != vertex]
     placed = df.select(*carried, lat.alias("lat"), long.alias("long"))
-    return placed.select("*", cell(F.col("lat"), F.col("long")).alias("refID"))
+    return placed.select("*", cell.alias("refID"))
 
 
 def polygon_vertices(
