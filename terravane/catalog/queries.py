@@ -321,7 +321,7 @@ def _event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def grid_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_places(spark, sf_dir).select(
-        "event_id", grid.grid_index(F.col("lat"), F.col("long")).alias("grid_index")
+        "event_id", grid.grid_index("lat", "long").alias("grid_index")
     )
 
 
@@ -332,15 +332,15 @@ def grid_center(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         "c_custkey",
         "cell",
-        grid.cell_lat(F.col("cell")).alias("lat"),
-        grid.cell_long(F.col("cell")).alias("long"),
+        grid.cell_lat("cell").alias("lat"),
+        grid.cell_long("cell").alias("long"),
     )
 
 
 @query
 def nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_places(spark, sf_dir).select(
-        "event_id", grid.nearest_cell(F.col("lat"), F.col("long")).alias("refID")
+        "event_id", grid.nearest_cell("lat", "long").alias("refID")
     )
 
 
@@ -355,15 +355,12 @@ def nearest_cell_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dimension(spark: SparkSession, sf_dir: str, literal: bool) -> DataFrame:
-    sources = [
-        ("Verblijfsobject", _point_tables),
-        ("Woonplaats", _multi_tables),
-        ("Pand", _pand_tables),
-    ]
-    frames = []
-    for object_type, source in sources:
-        frames += vertices.vertex_frames(source(spark, sf_dir), object_type, literal)
-    return union_all(spark, frames, vertices.VERTEX_SCHEMA)
+    sources = {
+        "Verblijfsobject": _point_tables(spark, sf_dir),
+        "Woonplaats": _multi_tables(spark, sf_dir),
+        "Pand": _pand_tables(spark, sf_dir),
+    }
+    return vertices.vertex_table(spark, sources, literal)
 
 
 @query
@@ -396,8 +393,15 @@ def full_outer_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def union_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = vertices.vertex_frames(_point_tables(spark, sf_dir), "Verblijfsobject")
-    frames += vertices.vertex_frames(_multi_tables(spark, sf_dir), "Woonplaats")
+    def tagged(df: DataFrame, name: str, field: str) -> DataFrame:
+        return record_ids(df, F.lit(name).alias("objType"), F.col(f"geometry.{field}").alias("wkt"))
+
+    points = tagged(_point_tables(spark, sf_dir), "Verblijfsobject", "geo_point")
+    members = tagged(_multi_tables(spark, sf_dir), "Woonplaats", "geo_multi_polygon")
+    frames = [
+        vertices.point_vertices(points, "wkt"),
+        vertices.multipolygon_vertices(members, "wkt"),
+    ]
     counted = union_all(spark, frames, vertices.VERTEX_SCHEMA)
     return counted.groupBy("objType").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("vlakID").alias("n_members")

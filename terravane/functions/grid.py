@@ -1,4 +1,7 @@
-"""National grid of latitude and longitude cells, numbered row by row from the south-west."""
+"""National grid of latitude and longitude cells, numbered row by row from the south-west.
+
+Arguments are column names or SQL text.
+"""
 
 from __future__ import annotations
 
@@ -12,44 +15,52 @@ LAT_STEP = (K.LAT_MAX - K.LAT_MIN) / K.GRID_ROWS
 LONG_STEP = (K.LONG_MAX - K.LONG_MIN) / K.GRID_COLUMNS
 
 
-def row_position(lat: Column) -> Column:
-    return (lat - K.LAT_MIN) / LAT_STEP
+def _row(lat: str) -> str:
+    return f"(({lat}) - {double(K.LAT_MIN)}) / {double(LAT_STEP)}"
+
+
+def _column(long: str) -> str:
+    return f"(({long}) - {double(K.LONG_MIN)}) / {double(LONG_STEP)}"
 
 
-def column_position(long: Column) -> Column:
-    return (long - K.LONG_MIN) / LONG_STEP
+def _index(lat: str, long: str) -> str:
+    return f"({_column(long)} + {_row(lat)} * {double(float(K.GRID_COLUMNS))})"
 
 
-def grid_index(lat: Column, long: Column) -> Column:
+def grid_index(lat: str = "lat", long: str = "long") -> Column:
     """Fractional index of a coordinate, exactly as the published formula defines it.
 
     The row is not rounded first, so its fraction spills into the column; see
     :func:`nearest_cell` for the cell a coordinate lies in.
     """
-    return column_position(long) + row_position(lat) * float(K.GRID_COLUMNS)
+    return F.expr(_index(lat, long))
 
 
-def cell_lat(index: Column) -> Column:
-    return F.floor(index / F.lit(K.GRID_COLUMNS)) * LAT_STEP + K.LAT_MIN
+def cell_lat(index: str) -> Column:
+    return F.expr(f"floor(({index}) / {K.GRID_COLUMNS}) * {double(LAT_STEP)} + {double(K.LAT_MIN)}")
 
 
-def cell_long(index: Column) -> Column:
-    return F.pmod(index, F.lit(K.GRID_COLUMNS)) * LONG_STEP + K.LONG_MIN
+def cell_long(index: str) -> Column:
+    return F.expr(
+        f"pmod({index}, {K.GRID_COLUMNS}) * {double(LONG_STEP)} + {double(K.LONG_MIN)}"
+    )
 
 
-def _clamped(position: Column, size: int) -> Column:
-    return F.greatest(F.least(F.floor(position + 0.5), F.lit(size - 1)), F.lit(0))
+def _nearest(position: str, size: int) -> str:
+    return f"greatest(least(floor({position} + 0.5D), {size - 1}), 0)"
 
 
-def nearest_cell(lat: Column, long: Column) -> Column:
+def nearest_cell(lat: str = "lat", long: str = "long") -> Column:
     """Index of the nearest cell; null outside the national box.
 
     Both axes are rounded on their own, in closed form. The largest index is below 2^31.
     """
-    inside = lat.between(K.LAT_MIN, K.LAT_MAX) & long.between(K.LONG_MIN, K.LONG_MAX)
-    row = _clamped(row_position(lat), K.GRID_ROWS)
-    column = _clamped(column_position(long), K.GRID_COLUMNS)
-    return F.when(inside, (row * K.GRID_COLUMNS + column).cast("int"))
+    row, column = _nearest(_row(lat), K.GRID_ROWS), _nearest(_column(long), K.GRID_COLUMNS)
+    return F.expr(
+        f"""CASE WHEN {lat} BETWEEN {double(K.LAT_MIN)} AND {double(K.LAT_MAX)}
+            AND {long} BETWEEN {double(K.LONG_MIN)} AND {double(K.LONG_MAX)}
+            THEN int({row} * {K.GRID_COLUMNS} + {column}) END"""
+    )
 
 
 def nearest_cell_literal(lat: str = "lat", long: str = "long") -> Column:
@@ -57,11 +68,10 @@ def nearest_cell_literal(lat: str = "lat", long: str = "long") -> Column:
 
     It starts from the unrounded row of :func:`grid_index`, so it can only return a cell near
     that wrong start, and it lets indexes beyond 32 bits wrap. Use :func:`nearest_cell` for
-    new tables. Arguments are SQL text.
+    new tables.
     """
     rows, columns = K.GRID_ROWS, K.GRID_COLUMNS
-    start = f"""bigint(floor(({long} - {double(K.LONG_MIN)}) / {double(LONG_STEP)}
-        + ({lat} - {double(K.LAT_MIN)}) / {double(LAT_STEP)} * {double(float(columns))}))"""
+    start = f"bigint(floor({_index(lat, long)}))"
     side = f"pmod(g_s, {columns})"
     across = {"0": "true", "-1": f"{side} <> 0", "1": f"{side} <> {columns - 1}"}
     up = {

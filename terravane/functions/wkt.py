@@ -25,6 +25,11 @@ def member_bodies(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("(((")), F.split(text, r"\)\)\s*,\s*\(\("))
 
 
+def member_ring(member: Column) -> Column:
+    """Outer ring of a member cut from its neighbours, with or without leading brackets."""
+    return F.substring_index(F.substring_index(member, ")", 1), "(", -1)
+
+
 def vertices(body: Column) -> Column:
     """The coordinate texts of a ring, in order; a leading blank may remain."""
     return F.split(body, ",")

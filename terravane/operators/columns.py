@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terravane import constants as K
+from terravane.functions.bind import quoted
 
 
 def type_at(schema: T.DataType, *names: str) -> T.DataType | None:
@@ -30,13 +31,12 @@ def expand_struct(df: DataFrame, name: str) -> DataFrame:
     return df.select(f"{name}.*")
 
 
-def record_ids(df: DataFrame, *keep: str) -> DataFrame:
+def record_ids(df: DataFrame, *keep: str | Column) -> DataFrame:
     """``identificatie`` and ``historieIdentificatie`` as bigint, then the kept columns."""
+    history = ".".join(quoted(name) for name in (K.HISTORY_FIELD, *K.HISTORY_PATH))
     return df.select(
-        F.col(K.ID_FIELD).getField("_VALUE").try_cast("bigint").alias("identificatie"),
-        F.col(".".join((K.HISTORY_FIELD, *K.HISTORY_PATH)))
-        .try_cast("bigint")
-        .alias("historieIdentificatie"),
+        F.expr(f"try_cast({quoted(K.ID_FIELD)}._VALUE AS bigint)").alias("identificatie"),
+        F.expr(f"try_cast({history} AS bigint)").alias("historieIdentificatie"),
         *keep,
     )
 
@@ -54,11 +54,8 @@ def union_all(spark: SparkSession, frames: Sequence[DataFrame], schema: T.Struct
     """Rows of all frames, by name and under ``schema``; no frames give an empty table."""
     if not frames:
         return spark.createDataFrame([], schema)
-    typed = [
-        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        for df in frames
-    ]
-    return reduce(DataFrame.unionByName, typed)
+    casts = [f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in schema]
+    return reduce(DataFrame.union, [df.selectExpr(*casts) for df in frames])
 
 
 def drop_null(df: DataFrame, *names: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,114 +23,133 @@ VERTEX_SCHEMA = T.StructType(
         T.StructField("refID", T.IntegerType()),
     ]
 )
+_NULL_ID = "CAST(NULL AS int)"
 
 
-def _null_id() -> Column:
-    return F.lit(None).cast("int")
+def _carried(df: DataFrame, text: str) -> list[str]:
+    return [c for c in df.columns if c != text]
 
 
-def _carried(df: DataFrame, text: str) -> list[str]:
-    return [c for c in df.columns if c != text.split(".")[0]]
+# --- WKT text to coordinate texts: exploding a null text yields no rows ----------------------
+
+
+def split_polygon(df: DataFrame, text: str, rings: str = "outer") -> DataFrame:
+    """``vlakID`` null, ``puntID`` from 0 and the coordinate text of every vertex."""
+    kept = _carried(df, text)
+    ring = wkt.ring_body(F.col(text))
+    if rings == "all":
+        df = df.select(*kept, F.posexplode(wkt.ring_bodies(F.col(text))).alias("ringID", "_ring"))
+        kept, ring = [*kept, "ringID"], F.col("_ring")
+    return df.select(
+        *kept,
+        F.expr(_NULL_ID).alias("vlakID"),
+        F.posexplode(wkt.vertices(ring)).alias("puntID", "vertex"),
+    )
+
+
+def split_multipolygon(df: DataFrame, text: str) -> DataFrame:
+    """``vlakID`` and ``puntID`` from 0 and the coordinate text of every outer-ring vertex."""
+    kept = _carried(df, text)
+    members = df.select(
+        *kept, F.posexplode(wkt.member_bodies(F.col(text))).alias("vlakID", "_member")
+    )
+    ring = wkt.member_ring(F.col("_member"))
+    return members.select(
+        *kept, "vlakID", F.posexplode(wkt.vertices(ring)).alias("puntID", "vertex")
+    )
 
 
-def _located(df: DataFrame, vertex: str, literal: bool) -> DataFrame:
-    """Replace a coordinate text by ``lat``, ``long`` and ``refID``.
+def split_point(df: DataFrame, text: str) -> DataFrame:
+    """Both ids null and the coordinate text of the point."""
+    return df.select(
+        *_carried(df, text),
+        F.expr(_NULL_ID).alias("vlakID"),
+        F.expr(_NULL_ID).alias("puntID"),
+        F.explode(wkt.vertices(wkt.ring_body(F.col(text)))).alias("vertex"),
+    )
+
+
+def locate(df: DataFrame, literal: bool = False) -> DataFrame:
+    """Replace the coordinate text ``vertex`` by ``lat``, ``long`` and ``refID``.
 
     ``literal`` keeps the published tables' reading: first number as latitude, single
     precision, and the neighbour search of :func:`grid.nearest_cell_literal`.
     """
-    first, second = (wkt.ordinate(F.col(vertex), i) for i in (0, 1))
+    first, second = (wkt.ordinate(F.col("vertex"), i) for i in (0, 1))
     if literal:
         lat, long = (c.cast("float").cast("double") for c in (first, second))
         cell = grid.nearest_cell_literal("lat", "long")
     else:
         lat, long = second, first
-        cell = grid.nearest_cell(F.col("lat"), F.col("long"))
-    carried = [c for c in df.columns if c != vertex]
-    placed = df.select(*carried, lat.alias("lat"), long.alias("long"))
+        cell = grid.nearest_cell("lat", "long")
+    placed = df.select(*_carried(df, "vertex"), lat.alias("lat"), long.alias("long"))
     return placed.select("*", cell.alias("refID"))
 
 
+# --- vertices with their place ---------------------------------------------------------------
+
+
 def polygon_vertices(
     df: DataFrame, text: str, rings: str = "outer", literal: bool = False
 ) -> DataFrame:
-    """Vertices of a ``POLYGON`` text; ``vlakID`` is null, ``puntID`` counts from 0.
+    """Vertices of a ``POLYGON`` text.
 
     Only the outer ring by default; ``rings="all"`` adds ``ringID`` (0 is the outer ring).
-    Rows without a text give no vertices.
     """
-    kept = _carried(df, text)
-    source = df.where(F.col(text).isNotNull())
-    if rings == "all":
-        source = source.select(
-            *kept, F.posexplode(wkt.ring_bodies(F.col(text))).alias("ringID", "_ring")
-        )
-        kept = [*kept, "ringID"]
-    else:
-        source = source.select(*kept, wkt.ring_body(F.col(text)).alias("_ring"))
-    exploded = source.select(
-        *kept,
-        _null_id().alias("vlakID"),
-        F.posexplode(wkt.vertices(F.col("_ring"))).alias("puntID", "_vertex"),
-    )
-    return _located(exploded, "_vertex", literal)
+    return locate(split_polygon(df, text, rings), literal)
 
 
 def multipolygon_vertices(df: DataFrame, text: str, literal: bool = False) -> DataFrame:
-    """Outer-ring vertices of every member of a ``MULTIPOLYGON`` text; members from 0."""
-    kept = _carried(df, text)
-    members = df.where(F.col(text).isNotNull()).select(
-        *kept, F.posexplode(wkt.member_bodies(F.col(text))).alias("vlakID", "_member")
-    )
-    exploded = members.select(
-        *kept,
-        "vlakID",
-        F.posexplode(wkt.vertices(_first_ring(F.col("_member")))).alias("puntID", "_vertex"),
-    )
-    return _located(exploded, "_vertex", literal)
+    """Outer-ring vertices of every member of a ``MULTIPOLYGON`` text."""
+    return locate(split_multipolygon(df, text), literal)
 
 
-def _first_ring(member: Column) -> Column:
-    """Outer ring of a member cut from its neighbours, with or without leading brackets."""
-    return F.substring_index(F.substring_index(member, ")", 1), "(", -1)
+def point_vertices(df: DataFrame, text: str, literal: bool = False) -> DataFrame:
+    """One row per ``POINT`` text."""
+    return locate(split_point(df, text), literal)
 
 
-def point_vertices(df: DataFrame, text: str, literal: bool = False) -> DataFrame:
-    """One row per ``POINT`` text, both ids null."""
-    kept = _carried(df, text)
-    points = df.where(F.col(text).isNotNull()).select(
-        *kept,
-        _null_id().alias("vlakID"),
-        _null_id().alias("puntID"),
-        wkt.ring_body(F.col(text)).alias("_vertex"),
-    )
-    return _located(points, "_vertex", literal)
+SPLITTERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
+    "geo_multi_polygon": split_multipolygon,
+    "geo_polygon": split_polygon,
+    "geo_point": split_point,
+}
+_SPLIT_SCHEMA = T.StructType(
+    [*VERTEX_SCHEMA.fields[:5], T.StructField("vertex", T.StringType())]
+)
 
 
-def vertex_frames(df: DataFrame, object_type: str, literal: bool = False) -> list[DataFrame]:
-    """One vertex frame per WKT field that the records' ``geometry`` struct has.
+def vertex_frames(df: DataFrame, object_type: str, stored: bool = False) -> list[DataFrame]:
+    """Coordinate texts, one frame per WKT field that the records' ``geometry`` struct has.
 
-    Each reads only its own WKT column and the ids, and skips row groups without a value.
+    Each branch needs only the ids and its own WKT column. ``stored`` says that ``df`` is read
+    from a table: the scan then skips row groups in which the column has no value. On computed
+    geometry that filter would only compute every text a second time.
     """
-    steps = {
-        "geo_multi_polygon": multipolygon_vertices,
-        "geo_polygon": polygon_vertices,
-        "geo_point": point_vertices,
-    }
+    tag: Column = F.lit(object_type).alias("objType")
     frames = []
-    for field, step in steps.items():
-        if not has_path(df.schema, "geometry", field):
-            continue
-        source = record_ids(
-            df.where(F.col(f"geometry.{field}").isNotNull()),
-            F.col(f"geometry.{field}").alias("_wkt"),
-        )
-        frames.append(
-            step(source, "_wkt", literal=literal).withColumn("objType", F.lit(object_type))
-        )
+    for field, split in SPLITTERS.items():
+        if has_path(df.schema, "geometry", field):
+            text = F.col(f"geometry.{field}")
+            source = df.where(text.isNotNull()) if stored else df
+            frames.append(split(record_ids(source, tag, text.alias("_wkt")), "_wkt"))
     return frames
 
 
-def vertex_table(df: DataFrame, object_type: str, literal: bool = False) -> DataFrame:
-    """The geo dimension rows of one object type; empty when it has no geometry."""
-    return union_all(df.sparkSession, vertex_frames(df, object_type, literal), VERTEX_SCHEMA)
+def vertex_table(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    literal: bool = False,
+    stored: bool = False,
+) -> DataFrame:
+    """The geo dimension rows of tables by object type; empty when none has a geometry.
+
+    All branches share one schema, so coordinates are read after the union, in one step.
+    """
+    frames = [
+        frame
+        for object_type, df in sources.items()
+        for frame in vertex_frames(df, object_type, stored)
+    ]
+    placed = locate(union_all(spark, frames, _SPLIT_SCHEMA), literal)
+    return placed.select(*VERTEX_SCHEMA.names)

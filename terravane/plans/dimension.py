@@ -25,7 +25,7 @@ def geo_dimension(
     df = read_table(spark, f"{folder}/{object_type}")
     if not has_path(df.schema, "geometry"):
         return None
-    return vertex_table(df, object_type, literal)
+    return vertex_table(spark, {object_type: df}, literal, stored=True)
 
 
 def build_dimensions(
