@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from terravane import constants as K
+from terravane.plans import model
 
 SQL: dict[str, str] = {}
 
@@ -467,3 +468,100 @@ SQL["length_rows"] = "SELECT p_partkey, p_name FROM part WHERE length(p_name) >
 SQL["bridge_table"] = """
 SELECT DISTINCT p_partkey, unnest(string_split(p_type || ' ' || p_name, ' ')) AS gebruiksdoel
 FROM part"""
+
+
+# --- whole model ---------------------------------------------------------------------------
+
+_MODEL = {
+    "woonplaats": """
+        SELECT lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS identificatie, n_name AS naam,
+          'MULTIPOLYGON EMPTY' AS geometrie,
+          CASE WHEN n_nationkey % 5 = 0 THEN 'Woonplaats onbekend' ELSE 'Woonplaats aangewezen' END
+            AS status,
+          'N' AS geconstateerd, DATE '2022-11-01' AS documentdatum,
+          CAST(n_regionkey AS VARCHAR) AS documentnummer FROM nation""",
+    "openbare_ruimte": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS identificatie, repeat(s_name, 5) AS naam, 'Weg' AS type,
+          'uitgegeven' AS status, CASE WHEN s_suppkey % 7 <> 0 THEN 'N' END AS geconstateerd,
+          DATE '2022-11-01' AS documentdatum, s_name AS documentnummer,
+          lpad(CAST(s_nationkey + 3 AS VARCHAR), 4, '0') AS woonplaats_identificatie FROM supplier""",
+    "nummeraanduiding": """
+        SELECT CAST(c_custkey - c_custkey % 50 % 2 AS VARCHAR) AS identificatie,
+          CAST(c_custkey AS VARCHAR) AS huisnummer, NULL AS huisletter,
+          NULL AS huisnummertoevoeging, '3011AA' AS postcode,
+          c_mktsegment AS type_adresseerbaar_object, 'uitgegeven' AS status, 'N' AS geconstateerd,
+          CAST(NULL AS DATE) AS documentdatum, c_name AS documentnummer,
+          CAST(c_nationkey AS VARCHAR) AS woonplaats_identificatie,
+          CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey % 200 AS VARCHAR) END
+            AS openbare_ruimte_identificatie FROM customer""",
+    "pand": """
+        SELECT CAST(p_partkey AS VARCHAR) AS identificatie, 'POLYGON EMPTY' AS geomtrie,
+          CAST(p_size AS VARCHAR) AS oorspronkelijk_bouwjaar, 'in gebruik' AS status,
+          'N' AS geconstateerd, DATE '2022-11-01' AS documentdatum FROM part WHERE p_size < 40""",
+    "domeinwaarden_gebruiksdoel": """
+        SELECT p_type AS waarde, max(p_brand) AS omschrijving FROM part
+        WHERE p_type <> 'SMALL' GROUP BY p_type""",
+    "verblijfsobject": f"""
+        SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS identificatie,
+          {_point_text("l_orderkey")} AS geometrie,
+          CASE WHEN l_returnflag = 'R' THEN 'ECONOMY, SMALL' ELSE 'LARGE,PROMO' END AS gebruiksdoel,
+          CAST(l_quantity AS BIGINT) AS oppervlakte, l_linestatus AS status, 'N' AS geconstateerd,
+          '2022-11-01' AS documentdatum, CAST(l_suppkey AS VARCHAR) AS documentnummer,
+          CAST(l_orderkey % 500 AS VARCHAR) AS hoofdadres, CAST(NULL AS VARCHAR) AS nevenadres,
+          CAST(l_partkey AS VARCHAR) AS pand_identificatie FROM lineitem""",
+    "woz_object": """
+        SELECT CASE WHEN o_orderkey % 11 <> 0
+            THEN CAST(o_orderkey - o_orderkey % 10 % 2 AS VARCHAR) END AS woz_objectnummer,
+          CAST(o_custkey AS VARCHAR) AS nummeraanduiding FROM orders""",
+    "woz_waarde": """
+        SELECT CASE WHEN event_type <> 'view' THEN CAST(user_id AS VARCHAR) END AS woz_objectnummer
+        FROM events""",
+}
+
+
+def _model_report_sql() -> str:
+    rules: list[str] = []
+
+    def rule(table: str, name: str, column: str, count: str) -> None:
+        rules.append(
+            f"SELECT '{table}' AS table_name, '{name}' AS rule, '{column}' AS column_name, "
+            f"CAST(({count}) AS BIGINT) AS n_violations"
+        )
+
+    for table in _MODEL:
+        for column in model.required_columns(table):
+            rule(table, "not_null", column, f"SELECT count(*) FROM m_{table} WHERE {column} IS NULL")
+        for column, limit in model.MAX_LENGTHS.get(table, {}).items():
+            rule(
+                table, "max_length", column,
+                f"SELECT count(*) FROM m_{table} WHERE length({column}) > {limit}",
+            )
+        if table in model.UNIQUE_KEYS:
+            key = model.UNIQUE_KEYS[table]
+            rule(
+                table, "unique", key,
+                f"""SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM m_{table}
+                WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)""",
+            )
+    for (table, column), allowed in model.DOMAINS.items():
+        values = ", ".join(f"'{v}'" for v in allowed)
+        rule(
+            table, "domain", column,
+            f"SELECT count(*) FROM m_{table} WHERE {column} NOT IN ({values})",
+        )
+    for key in model.FOREIGN_KEYS:
+        if key.table in _MODEL and key.parent in _MODEL:
+            child = f"(SELECT {key.column} AS v FROM m_{key.table})"
+            if (key.table, key.column) == ("verblijfsobject", "gebruiksdoel"):
+                child = f"(SELECT trim(unnest(string_split({key.column}, ','))) AS v FROM m_{key.table})"
+            rule(
+                key.table, "foreign_key", key.column,
+                f"""SELECT count(*) FROM {child} WHERE v IS NOT NULL
+                AND v NOT IN (SELECT {key.parent_column} FROM m_{key.parent}
+                  WHERE {key.parent_column} IS NOT NULL)""",
+            )
+    tables = ", ".join(f"m_{name} AS ({sql})" for name, sql in _MODEL.items())
+    return f"WITH {tables} {' UNION ALL '.join(rules)}"
+
+
+SQL["model_report"] = _model_report_sql()

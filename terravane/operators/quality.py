@@ -64,13 +64,10 @@ def check_foreign_key(
 
     The child is counted per value first, so the join sees each value once.
     """
-    used = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).count()
     known = parent.select(F.col(parent_column).alias("_known"))
-    return used.join(known, F.col("value") == F.col("_known"), "left_anti")
+    orphans = used.join(known, F.col("value") == F.col("_known"), "left_anti")
+    return orphans.withColumnRenamed("count", "n_rows")
 
 
 def orphan_rows(

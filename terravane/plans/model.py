@@ -10,13 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terravane.operators.quality import (
-    check_domain,
-    check_foreign_key,
-    check_length,
-    check_not_null,
-    check_unique,
-)
+from terravane.functions.bind import quoted
+from terravane.operators.quality import check_foreign_key, check_unique
 
 # --- fixed values: tables, columns, types and NOT NULL of the published model --------------
 # (names as published, "geomtrie" included)
@@ -176,8 +171,20 @@ MAX_LENGTHS = {
 MANY_TO_MANY = ("verblijfsobject", "gebruiksdoel")
 
 
+TYPES = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "bigint": T.LongType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def table_schema(table: str) -> T.StructType:
-    return T.StructType.fromDDL(TABLES[table])
+    fields = []
+    for line in TABLES[table].split(","):
+        name, kind, *required = line.split()
+        fields.append(T.StructField(name, TYPES[kind], nullable=not required))
+    return T.StructType(fields)
 
 
 def required_columns(table: str) -> list[str]:
@@ -206,51 +213,59 @@ def conform(df: DataFrame, table: str, mapping: Mapping[str, str | Column]) -> D
     )
 
 
-def _finding(df: DataFrame, table: str, rule: str, column: str | Column, count: str) -> DataFrame:
-    return df.select(
-        F.lit(table).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        (F.lit(column) if isinstance(column, str) else column).alias("column_name"),
-        F.col(count).cast("bigint").alias("n_violations"),
+def row_rules(table: str) -> list[tuple[str, str, str]]:
+    """(rule, column, SQL condition of a breaking row) for rules that need only the row."""
+    rules = [("not_null", c, f"{quoted(c)} IS NULL") for c in required_columns(table)]
+    for column, limit in MAX_LENGTHS.get(table, {}).items():
+        rules.append(("max_length", column, f"length({quoted(column)}) > {limit}"))
+    for (name, column), allowed in DOMAINS.items():
+        if name == table:
+            values = ", ".join(f"'{value}'" for value in allowed)
+            rules.append(("domain", column, f"{quoted(column)} NOT IN ({values})"))
+    return rules
+
+
+def _row_findings(df: DataFrame, table: str) -> DataFrame:
+    """All row rules of a table, counted in one pass."""
+    rules = row_rules(table)
+    counted = df.selectExpr(*[f"count_if({rule[2]}) AS _{i}" for i, rule in enumerate(rules)])
+    cells = ", ".join(
+        f"named_struct('t', '{table}', 'r', '{rule}', 'c', '{column}', 'n', _{i})"
+        for i, (rule, column, _) in enumerate(rules)
     )
+    return counted.selectExpr(f"inline(array({cells}))").toDF(*FINDING)
+
 
+FINDING = ["table_name", "rule", "column_name", "n_violations"]
 
-def _total(df: DataFrame) -> DataFrame:
-    return df.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+
+def _key_finding(broken: DataFrame, table: str, rule: str, column: str) -> DataFrame:
+    """Total rows of a key rule's ``n_rows`` result."""
+    return broken.selectExpr(
+        f"'{table}' AS table_name",
+        f"'{rule}' AS rule",
+        f"'{column}' AS column_name",
+        "coalesce(sum(n_rows), 0) AS n_violations",
+    )
 
 
 def model_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``table_name, rule, column_name, n_violations`` for every declared rule.
 
     Rules whose tables are not all given are left out. Counts are of rows that break a rule.
+    Every table is read once for its row rules and once, its key columns only, per key.
     """
-    findings: list[DataFrame] = []
-    for name, df in tables.items():
-        required = required_columns(name)
-        if required:
-            counted = check_not_null(df, required)
-            findings.append(_finding(counted, name, "not_null", F.col("column_name"), "n_null"))
-        if name in MAX_LENGTHS:
-            counted = check_length(df, MAX_LENGTHS[name])
-            findings.append(
-                _finding(counted, name, "max_length", F.col("column_name"), "n_too_long")
-            )
-        if name in UNIQUE_KEYS:
-            key = UNIQUE_KEYS[name]
-            repeated = check_unique(df.where(F.col(key).isNotNull()), [key])
-            findings.append(_finding(_total(repeated), name, "unique", key, "n"))
-    for (name, column), allowed in DOMAINS.items():
-        if name in tables:
-            outside = check_domain(tables[name], column, allowed)
-            findings.append(_finding(_total(outside), name, "domain", column, "n"))
+    findings = [_row_findings(df, name) for name, df in tables.items() if row_rules(name)]
+    for table, key in UNIQUE_KEYS.items():
+        if table in tables:
+            repeated = check_unique(tables[table].where(f"{key} IS NOT NULL"), [key])
+            findings.append(_key_finding(repeated, table, "unique", key))
     for key in FOREIGN_KEYS:
         if key.table in tables and key.parent in tables:
-            orphans = check_foreign_key(
-                _reference_values(tables[key.table], key), key.column,
-                tables[key.parent], key.parent_column,
-            )
-            findings.append(_finding(_total(orphans), key.table, "foreign_key", key.column, "n"))
-    return reduce(DataFrame.unionByName, findings)
+            child, parent = _reference_values(tables[key.table], key), tables[key.parent]
+            orphans = check_foreign_key(child, key.column, parent, key.parent_column)
+            findings.append(_key_finding(orphans, key.table, "foreign_key", key.column))
+    return reduce(DataFrame.union, findings)
 
 
 def _reference_values(child: DataFrame, key: ForeignKey) -> DataFrame:
