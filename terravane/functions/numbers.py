@@ -12,7 +12,8 @@ def fixed_text(value: str, decimals: int = K.WKT_DECIMALS) -> str:
     at most 16 decimals, so zero padding gives the same text as ``%.16f`` at a third of the
     cost of the formatter. Other values and precisions use the formatter.
     """
-    formatted = f"format_string('%.{decimals}f', {value})"
+    # the formatter spells out nulls and non-numbers, which are no coordinates
+    formatted = f"if(abs({value}) < 1e300D, format_string('%.{decimals}f', {value}), NULL)"
     if decimals < 16:
         return formatted
     return f"""CASE
