@@ -164,6 +164,8 @@ SELECT {_identifier("o_orderkey")} AS identificatie, o_orderkey % 3 AS versie,
   CAST(CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n_inner
 FROM orders"""
 
+SQL["xml_scan_split"] = SQL["xml_scan_schema"]
+
 SQL["xml_from_text"] = f"""
 SELECT {_number("c_custkey")} AS identificatie, CAST(1 AS BIGINT) AS "historieIdentificatie",
   CASE WHEN c_custkey % 7 <> 0 THEN {_position_text("c_custkey", OUTER)} END AS outer_text

@@ -55,22 +55,31 @@ def xml_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def xml_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_xml(spark: SparkSession, sf_dir: str, split: bool) -> DataFrame:
     folder = work_folder(spark, "xml-orders")
     record = F.expr(S.record("o_orderkey", "polygon", version="o_orderkey % 3"))
     xml.write_records(S.table(spark, sf_dir, "orders"), folder, "Pand", record)
-    df = xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"))
+    df = xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"), split=split)
     area = f"`{K.GEOMETRY_FIELD}`.`gml:Polygon`"
-    return df.select(
-        F.expr(_id_text()).alias("identificatie"),
-        F.expr(_version()).alias("versie"),
-        F.expr(f"{area}._srsDimension").alias("dimensie"),
-        F.expr(f"{area}.`gml:exterior`.`gml:LinearRing`.`gml:posList`._VALUE").alias("outer_text"),
-        F.coalesce(F.size(F.expr(f"{area}.`gml:interior`")), F.lit(0)).alias("n_inner"),
+    return df.selectExpr(
+        f"{_id_text()} AS identificatie",
+        f"{_version()} AS versie",
+        f"{area}._srsDimension AS dimensie",
+        f"{area}.`gml:exterior`.`gml:LinearRing`.`gml:posList`._VALUE AS outer_text",
+        f"coalesce(size({area}.`gml:interior`), 0) AS n_inner",
     )
 
 
+@query
+def xml_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_xml(spark, sf_dir, split=False)
+
+
+@query
+def xml_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_xml(spark, sf_dir, split=True)
+
+
 @query
 def xml_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(F.expr(S.record("c_custkey", "polygon")).alias("Objecten:Pand"))

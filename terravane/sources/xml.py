@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +26,37 @@ def _list(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def record_texts(
+    spark: SparkSession, paths: Paths, file_column: str | None = None
+) -> DataFrame:
+    """Every record as one text, ``record``, with the file split between tasks.
+
+    The xml source gives a file to one task, however large. Read as text whose line end is the
+    closing tag, a file is split like any other, and each piece holds one record behind
+    whatever came before it.
+    """
+    opening, closing = f"<{K.XML_ROW}", f"</{K.XML_ROW}>"
+    text = spark.read.option("lineSep", closing).text(_list(paths))
+    body = F.substring_index("value", opening, -1)
+    kept = [F.concat(F.lit(opening), body, F.lit(closing)).alias("record")]
+    if file_column is not None:
+        kept.append(F.col("_metadata.file_path").alias(file_column))
+    return text.where(F.contains("value", F.lit(opening))).select(*kept)
+
+
 def infer_schema(
     spark: SparkSession, paths: Paths, object_type: str, sampling: float = 1.0
 ) -> T.StructType:
     """Schema of the records under ``paths``, completed with the core fields.
 
-    Costs a scan of the sampled records; save it and read later extracts with it.
+    Costs a pass over the (sampled) records; save it and read later extracts with it. The
+    reader infers from a set of texts only when handed an RDD.
     """
-    reader = _reader(spark, samplingRatio=str(sampling))
-    return record_schema(reader.load(_list(paths)).schema, object_type)
+    texts = record_texts(spark, paths)
+    if sampling < 1.0:
+        texts = texts.sample(sampling, seed=1)
+    found = _reader(spark).xml(texts.rdd.map(itemgetter(0))).schema
+    return record_schema(found, object_type)
 
 
 def read_inferred(spark: SparkSession, paths: Paths, object_type: str) -> DataFrame:
@@ -47,8 +70,16 @@ def read_records(
     object_type: str,
     schema: T.StructType,
     file_column: str | None = None,
+    split: bool = True,
 ) -> DataFrame:
-    """Records of one object type under a fixed schema: no inference pass, stable types."""
+    """Records of one object type under a fixed schema: no inference pass, stable types.
+
+    ``split=False`` reads with the xml source, which takes half the CPU time but one task per
+    file: the better choice for many files that are each smaller than a read partition.
+    """
+    if split:
+        texts = record_texts(spark, paths, file_column)
+        return parse_records(texts, "record", object_type, schema)
     df = _reader(spark).schema(schema).load(_list(paths))
     if file_column is None:
         return unwrap(df, object_type)
@@ -63,9 +94,11 @@ def unwrap(df: DataFrame, object_type: str) -> DataFrame:
 
 
 def parse_records(df: DataFrame, text: str, object_type: str, schema: T.StructType) -> DataFrame:
-    """Records held one per row in the text column ``text``."""
-    parsed = df.select(F.from_xml(F.col(text), schema, {"rowTag": K.XML_ROW}).alias("_record"))
-    return parsed.select(f"_record.{K.XML_TYPE_PREFIX}{object_type}.*")
+    """Records held one per row in the text column ``text``, followed by the other columns."""
+    others = [c for c in df.columns if c != text]
+    record = F.from_xml(F.col(text), schema, {"rowTag": K.XML_ROW}).alias("_record")
+    wrapper = f"_record.{K.XML_TYPE_PREFIX}{object_type}.*"
+    return df.select(record, *others).select(wrapper, *others)
 
 
 def write_records(df: DataFrame, path: str, object_type: str, record: Column) -> None:

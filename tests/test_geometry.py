@@ -104,6 +104,32 @@ def test_declared_schema(spark, folder):
     check(converted(xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"))))
 
 
+def test_xml_source(spark, folder):
+    check(converted(xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"), split=False)))
+
+
+def test_completed_schema(spark, folder):
+    schema = xml.infer_schema(spark, folder, "Pand")
+    check(converted(xml.read_records(spark, folder, "Pand", schema)))
+    found = spark.read.format("xml").option("rowTag", "sl-bag-extract:bagObject").load(folder)
+    assert schema == schemas.record_schema(found.schema, "Pand")
+
+
+def test_files_are_split_between_tasks(spark, tmp_path):
+    records = [X.record("Pand", f"{i:04d}", X.polygon(SQUARE_3D)) for i in range(400)]
+    path = write(tmp_path, "a.xml", *records)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        df = xml.read_records(spark, path, "Pand", schemas.core_schema("Pand"), "file")
+        assert df.rdd.getNumPartitions() > 10
+        rows = df.select("Objecten:identificatie._VALUE", "file").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted(r[0] for r in rows) == [f"{i:04d}" for i in range(400)]
+    assert {r["file"].split("/")[-1] for r in rows} == {"a.xml"}
+
+
 def test_inferred_schema(spark, folder):
     check(converted(xml.read_inferred(spark, folder, "Pand")))
 
