@@ -1,38 +1,43 @@
-"""Nested zip archives unpacked by the executors, one task per group of members."""
+"""Nested zip archives unpacked by the executors, their members spread over the tasks."""
 
 from __future__ import annotations
 
 import posixpath
 import shutil
+import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.functions.names import base_name, has_suffix, member_path
 
 COPY_BYTES = 8 << 20
-MEMBERS = "archive string, member string, bytes long"
-FILES = "path string, bytes long"
+MEMBERS = pa.schema([("archive", pa.string()), ("member", pa.string()), ("bytes", pa.int64())])
+FILES = pa.schema([("path", pa.string()), ("bytes", pa.int64())])
+
+
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path on it: a mounted folder or any store Arrow knows."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
 
 
 @contextmanager
-def _archive(path: str):
-    """Zip file on a mounted folder or on any store Arrow knows, opened for random access."""
-    if "://" in path or path.startswith("file:"):
-        from pyarrow import fs
+def _archive(path: str) -> Iterator[zipfile.ZipFile]:
+    """Zip file opened for random access: only the parts that are used are read."""
+    store, inner = _store(path)
+    with store.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
+        yield archive
+
 
-        store, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1)
-                                              if path.startswith("file:/")
-                                              and not path.startswith("file:///") else path)
-        with store.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
-            yield archive
-    else:
-        with zipfile.ZipFile(path) as archive:
-            yield archive
+def _batches(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def list_members(spark: SparkSession, archives: list[str], suffix: str, tasks: int) -> DataFrame:
@@ -42,22 +47,17 @@ def list_members(spark: SparkSession, archives: list[str], suffix: str, tasks: i
         for batch in batches:
             for path in batch.column("archive").to_pylist():
                 with _archive(path) as archive:
-                    found = [(path, i.filename, i.file_size) for i in archive.infolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(
-                        zip(*found) if found else ((), (), ()),
-                        (pa.string(), pa.string(), pa.int64()),
-                        strict=True,
-                    )],
-                    names=["archive", "member", "bytes"],
-                )
+                    yield _batches(
+                        [
+                            {"archive": path, "member": i.filename, "bytes": i.file_size}
+                            for i in archive.infolist()
+                        ],
+                        MEMBERS,
+                    )
 
     listed = spark.createDataFrame([(a,) for a in archives], "archive string")
-    return (
-        listed.repartition(tasks)
-        .mapInArrow(scan, MEMBERS)
-        .where(has_suffix(F.col("member"), suffix))
-    )
+    members = listed.repartition(tasks).mapInArrow(scan, "archive string, member string, bytes long")
+    return members.where(has_suffix(F.col("member"), suffix))
 
 
 def extract_members(members: DataFrame, tasks: int) -> DataFrame:
@@ -72,29 +72,19 @@ def extract_members(members: DataFrame, tasks: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 with _archive(row["archive"]) as archive, archive.open(row["member"]) as source:
-                    size = _store(source, row["target"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["target"]], pa.string()), pa.array([size], pa.int64())],
-                    names=["path", "bytes"],
-                )
-
-    return members.select("archive", "member", "target").repartition(tasks).mapInArrow(
-        unpack, FILES
-    )
-
+                    size = _write(source, row["target"])
+                yield _batches([{"path": row["target"], "bytes": size}], FILES)
 
-def _store(source, target: str) -> int:
-    import uuid
+    spread = members.select("archive", "member", "target").repartition(tasks)
+    return spread.mapInArrow(unpack, "path string, bytes long")
 
-    from pyarrow import fs
 
-    if "://" in target:
-        store, path = fs.FileSystem.from_uri(target)
-    else:
-        store, path = fs.LocalFileSystem(), target
-    store.create_dir(posixpath.dirname(path), recursive=True)
+def _write(source, target: str) -> int:
+    store, path = _store(target)
+    folder = posixpath.dirname(path)
+    store.create_dir(folder, recursive=True)
     # a leading underscore hides the unfinished file from Spark readers
-    partial = posixpath.join(posixpath.dirname(path), f"_{uuid.uuid4().hex}")
+    partial = posixpath.join(folder, f"_{uuid.uuid4().hex}")
     with store.open_output_stream(partial) as sink:
         shutil.copyfileobj(source, sink, COPY_BYTES)
         size = sink.tell()
@@ -111,11 +101,10 @@ def expand(
     unpack twice.
     """
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    inner = list_members(spark, [archive], ".zip", 1)
-    inner = inner.withColumn(
+    inner = list_members(spark, [archive], ".zip", 1).withColumn(
         "target", F.concat_ws("/", F.lit(f"{folder}/_archives"), base_name(F.col("member")))
     )
-    # the inner zips are a handful of paths: the one list that returns to the driver
+    # one inner zip per object type: the only list that returns to the driver
     paths = [r["path"] for r in extract_members(inner, tasks).collect()]
     members = list_members(spark, paths, ".xml", max(1, len(paths))).withColumn(
         "target", member_path(folder, F.col("archive"), F.col("member"))

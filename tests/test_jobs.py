@@ -175,3 +175,17 @@ def test_work_folder_needs_a_shared_root_on_a_cluster(spark):
     Cluster.conf.get = staticmethod(lambda key, default=None: "hdfs://shared/cp/" if "checkpoint" in key else default)
     assert work_folder(Cluster, "x").startswith("hdfs://shared/cp/x-")
     assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def test_command_line_runs_the_whole_chain(spark, extract, tmp_path):
+    from terravane import jobs
+
+    raw, stored = f"{tmp_path}/xml", f"{tmp_path}/tables"
+    jobs.main(["expand", extract, raw, "--tasks", "2"])
+    jobs.main(["ingest", raw, stored, "--types", "Pand", "Woonplaats", "Nummeraanduiding", "--method", "geodetic"])
+    jobs.main(["dimension", stored, "--types", "Pand", "Woonplaats"])
+    jobs.main(["chunks", stored, "--types", "Pand", "--width", "40"])
+    assert sorted(p.name for p in Path(stored).iterdir() if not p.name.startswith("_")) == [
+        "Nummeraanduiding", "Pand", "Pand_geo_splitted", "Woonplaats", "dim_Pand", "dim_Woonplaats",
+    ]
+    assert files.read_table(spark, f"{stored}/dim_Pand").count() == 84
