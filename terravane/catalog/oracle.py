@@ -289,8 +289,8 @@ def _geodetic_sql() -> str:
               / sqrt(1e0 - {_d(we2)} * sin(wl) * sin(wl)), p) AS wl) FROM l{step - 1})"""
         )
     return f"""WITH {", ".join(steps)}
-    SELECT c_custkey, CAST(floor(degrees(wl) * 1e7 + 0.5e0) AS BIGINT) AS lat_e7,
-      CAST(floor(degrees(atan2(wy, wx)) * 1e7 + 0.5e0) AS BIGINT) AS long_e7 FROM l5"""
+    SELECT c_custkey, CAST(floor(degrees(wl) * 1e6 + 0.5e0) AS BIGINT) AS lat_e6,
+      CAST(floor(degrees(atan2(wy, wx)) * 1e6 + 0.5e0) AS BIGINT) AS long_e6 FROM l5"""
 
 
 SQL["rd_to_wgs84_geodetic"] = _geodetic_sql()
@@ -414,18 +414,21 @@ SELECT 'Woonplaats', count(*) * 8, count(*) * 8 FROM part WHERE p_partkey % 7 <>
 SQL["max_text_length"] = """
 SELECT max(length(text)) AS max_text, max(length(lang)) AS max_lang FROM documents"""
 
-SQL["chunk_columns"] = """
-SELECT doc_id, substring(text, 1, 30000) AS text_0, substring(text, 30001, 30000) AS text_1
-FROM documents"""
 
-SQL["chunk_geometry"] = """
-SELECT doc_id, substring(text, 1, 30000) AS geo_polygon_0,
-  substring(text, 30001, 30000) AS geo_polygon_1,
-  CASE WHEN doc_id % 7 <> 0 THEN source END AS geo_point_0 FROM documents"""
 
-SQL["chunk_parts"] = """
-SELECT doc_id, source, substring(text, 1, 30000) AS text_0,
-  substring(text, 30001, 30000) AS text_1 FROM documents"""
+def _chunks(field: str, *ids: str) -> str:
+    kept = ", ".join(ids)
+    count = "CAST(ceil(max(length(text)) / 30000.0) AS BIGINT)"
+    return f"""
+    SELECT {kept}, '{field}_' || i AS chunk, substring(text, 1 + i * 30000, 30000) AS piece
+    FROM (SELECT {kept}, text, unnest(range((SELECT {count} FROM documents))) AS i FROM documents)"""
+
+
+SQL["chunk_columns"] = _chunks("text", "doc_id")
+SQL["chunk_parts"] = _chunks("text", "doc_id", "source")
+SQL["chunk_geometry"] = f"""{_chunks("geo_polygon", "doc_id")}
+UNION ALL
+SELECT doc_id, 'geo_point_0', CASE WHEN doc_id % 7 <> 0 THEN source END FROM documents"""
 
 # --- model rules ---------------------------------------------------------------------------
 

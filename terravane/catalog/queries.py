@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane import constants as K
@@ -240,15 +240,15 @@ def rd_to_wgs84_polynomial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _anchors(spark, sf_dir).select("c_custkey", at.lat.alias("lat"), at.long.alias("long"))
 
 
-def _e7(degrees):
-    return F.floor(degrees * 1e7 + 0.5).cast("bigint")
+def _e6(degrees: Column) -> Column:
+    return F.floor(degrees * 1e6 + 0.5).cast("bigint")
 
 
 @query
 def rd_to_wgs84_geodetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = rd_to_wgs84("x", "y", "geodetic")
     return _anchors(spark, sf_dir).select(
-        "c_custkey", _e7(at.lat).alias("lat_e7"), _e7(at.long).alias("long_e7")
+        "c_custkey", _e6(at.lat).alias("lat_e6"), _e6(at.long).alias("long_e6")
     )
 
 
@@ -426,23 +426,26 @@ def max_text_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col("text").alias("max_text"), F.col("lang").alias("max_lang"))
 
 
+def _as_rows(df: DataFrame, *ids: str) -> DataFrame:
+    """Chunk columns as rows: how many there are depends on the data, the row form does not."""
+    names = [c for c in df.columns if c not in ids]
+    return df.unpivot(list(ids), names, "chunk", "piece")
+
+
 @query
 def chunk_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return chunks.chunk_columns(df, ["text"]).drop("text")
+    return _as_rows(chunks.chunk_columns(df, ["text"]).drop("text"), "doc_id")
 
 
 @query
 def chunk_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every field of a geometry struct, one of them null throughout."""
-    text = F.col("text")
+    text, source = F.col("text"), F.when(F.col("doc_id") % 7 != 0, F.col("source"))
     df = S.table(spark, sf_dir, "documents").select(
-        "doc_id",
-        geometry_struct(polygon=text, point=F.when(F.col("doc_id") % 7 != 0, F.col("source"))).alias(
-            "geometry"
-        ),
+        "doc_id", geometry_struct(polygon=text, point=source).alias("geometry")
     )
-    return chunks.chunk_geometry(df).drop("geometry")
+    return _as_rows(chunks.chunk_geometry(df).drop("geometry"), "doc_id")
 
 
 @query
@@ -451,7 +454,7 @@ def chunk_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     cut = chunks.chunk_columns(df, ["text"]).drop("text")
     files.write_table(cut, folder, "source", rebalance=True)
-    return files.read_table(spark, folder)
+    return _as_rows(files.read_table(spark, folder), "doc_id", "source")
 
 
 # --- model rules ---------------------------------------------------------------------------
