@@ -388,6 +388,8 @@ SQL["geo_dimension"] = f"""
 SELECT "objType", identificatie, "historieIdentificatie", "vlakID", "puntID", {_PLACE}
 FROM ({_dimension_places()})"""
 
+SQL["stored_dimension"] = f"""SELECT * FROM ({SQL["geo_dimension"]}) WHERE "objType" = 'Pand'"""
+
 SQL["geo_dimension_literal"] = f"""
 WITH swapped AS (
   SELECT "objType", identificatie, "historieIdentificatie", "vlakID", "puntID",

@@ -16,6 +16,7 @@ from terravane.operators.attach import attach
 from terravane.operators.columns import align_columns, drop_null, expand_struct, record_ids, union_all
 from terravane.operators.geometry import complete_geometry, convert_geometry, geometry_struct
 from terravane.plans import model
+from terravane.plans.dimension import geo_dimension as stored_geo_dimension
 from terravane.plans.ingest import object_table
 from terravane.sources import files, schemas, xml
 from terravane.sources.workspace import work_folder
@@ -382,6 +383,14 @@ def geo_dimension_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dimension(spark, sf_dir, literal=True)
 
 
+@query
+def stored_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension job over a stored object table."""
+    folder = work_folder(spark, "tables")
+    files.write_table(_pand_tables(spark, sf_dir).drop("c_custkey"), f"{folder}/Pand")
+    return stored_geo_dimension(spark, folder, "Pand")
+
+
 # --- joins and unions ----------------------------------------------------------------------
 
 

@@ -85,9 +85,13 @@ def _write(source, target: str) -> int:
     store.create_dir(folder, recursive=True)
     # a leading underscore hides the unfinished file from Spark readers
     partial = posixpath.join(folder, f"_{uuid.uuid4().hex}")
-    with store.open_output_stream(partial) as sink:
-        shutil.copyfileobj(source, sink, COPY_BYTES)
-        size = sink.tell()
+    try:
+        with store.open_output_stream(partial) as sink:
+            shutil.copyfileobj(source, sink, COPY_BYTES)
+            size = sink.tell()
+    except BaseException:
+        store.delete_file(partial)
+        raise
     store.move(partial, path)
     return size
 

@@ -37,8 +37,12 @@ def record_texts(
     """
     opening, closing = f"<{K.XML_ROW}", f"</{K.XML_ROW}>"
     text = spark.read.option("lineSep", closing).text(_list(paths))
-    body = F.substring_index("value", opening, -1)
-    kept = [F.concat(F.lit(opening), body, F.lit(closing)).alias("record")]
+    # a piece with two openings means that a record ended in some other spelling of the tag
+    record = f"""CASE WHEN octet_length(substring_index(value, '{opening}', 1)) + {len(opening)}
+            + octet_length(substring_index(value, '{opening}', -1)) = octet_length(value)
+        THEN concat('{opening}', substring_index(value, '{opening}', -1), '{closing}')
+        ELSE raise_error('a record does not end in {closing}: read with split=False') END"""
+    kept = [F.expr(record).alias("record")]
     if file_column is not None:
         kept.append(F.col("_metadata.file_path").alias(file_column))
     return text.where(F.contains("value", F.lit(opening))).select(*kept)

@@ -130,6 +130,16 @@ def test_files_are_split_between_tasks(spark, tmp_path):
     assert {r["file"].split("/")[-1] for r in rows} == {"a.xml"}
 
 
+def test_other_spelling_of_the_closing_tag_is_refused_not_lost(spark, tmp_path):
+    texts = [X.record("Pand", str(i), X.polygon(SQUARE_3D)) for i in range(3)]
+    texts[1] = texts[1].replace("</sl-bag-extract:bagObject>", "</sl-bag-extract:bagObject >")
+    path = write(tmp_path, "a.xml", *texts)
+    with pytest.raises(Exception, match="split=False"):
+        xml.read_records(spark, path, "Pand", schemas.core_schema("Pand")).collect()
+    whole = xml.read_records(spark, path, "Pand", schemas.core_schema("Pand"), split=False)
+    assert whole.count() == 3
+
+
 def test_inferred_schema(spark, folder):
     check(converted(xml.read_inferred(spark, folder, "Pand")))
 

@@ -189,3 +189,17 @@ def test_command_line_runs_the_whole_chain(spark, extract, tmp_path):
         "Nummeraanduiding", "Pand", "Pand_geo_splitted", "Woonplaats", "dim_Pand", "dim_Woonplaats",
     ]
     assert files.read_table(spark, f"{stored}/dim_Pand").count() == 84
+
+
+def test_type_without_records_gives_empty_tables(spark, tmp_path):
+    source, stored = tmp_path / "xml", str(tmp_path / "tables")
+    source.mkdir()
+    (source / "9999LIG08102022-000001.xml").write_text(X.document())
+    schema = prepare_schema(spark, str(source), "Ligplaats", f"{stored}/_schemas/Ligplaats")
+    assert schema == schemas.core_schema("Ligplaats")
+    ingest(spark, str(source), "Ligplaats", stored, schema)
+    build_dimensions(spark, stored, ["Ligplaats"])
+    build_chunks(spark, stored, ["Ligplaats"])
+    assert files.read_table(spark, f"{stored}/Ligplaats").count() == 0
+    assert files.read_table(spark, f"{stored}/dim_Ligplaats").count() == 0
+    assert "geo_polygon_0" not in files.read_table(spark, f"{stored}/Ligplaats_geo_splitted").columns
