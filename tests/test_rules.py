@@ -189,3 +189,64 @@ def test_scan_reads_what_it_needs(spark, sf_dir):
     text = plan(QUERIES["parquet_scan"](spark, sf_dir))
     assert "EqualTo(o_orderstatus,F)" in text
     assert "o_orderpriority" not in text
+
+
+# --- hot keys --------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot(spark, key: str, payload: str):
+    """A third of the rows share key 7; incompressible payloads make bytes follow rows."""
+    return spark.range(0, 60000, 1, 8).selectExpr(
+        f"if(id % 3 = 0, 7, id) AS {key}", f"sha2(string(id), 256) AS {payload}"
+    )
+
+
+def final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df).split("Initial Plan")[0]
+
+
+def test_hot_key_is_split_in_a_full_attach(spark, small_skew_limits):
+    left = hot(spark, "k", "l")
+    right = spark.range(0, 90000, 1, 4).selectExpr("id AS r", "sha2(string(-id), 256) AS v")
+    for a, b, keys in ((left, right, {"k": "r"}), (right, left, {"r": "k"})):
+        df = attach(a, b, keys)
+        assert "skew=true" in final_plan(df)
+        # every left row matches one of 40,000 right keys; the other right keys stay alone
+        assert df.count() == 60000 + (90000 - 40000)
+
+
+def test_hot_orphan_is_split(spark, small_skew_limits):
+    child = hot(spark, "k", "l")
+    parent = spark.range(100, 50000).selectExpr("id AS p")
+    df = quality.orphan_rows(child, "k", parent, "p")
+    assert "skew=true" in final_plan(df)
+    keys = quality.check_foreign_key(child, "k", parent, "p")
+    counts = {r["value"]: r["n_rows"] for r in keys.collect()}
+    assert counts[7] == 20001 and sum(counts.values()) == df.count()
+
+
+def test_hot_part_is_written_by_several_tasks(spark, small_skew_limits, tmp_path):
+    from terravane.sources.files import read_table, write_parts
+
+    df = hot(spark, "k", "l").withColumn("p", F.when(F.col("k") == 7, 0).otherwise(F.col("k") % 5 + 1))
+    write_parts(df, str(tmp_path / "t"), F.col("p"), rebalance=True)
+    assert len(list((tmp_path / "t" / "part=0").glob("*.parquet"))) > 1
+    assert read_table(spark, str(tmp_path / "t")).count() == 60000
