@@ -67,7 +67,7 @@ def _orders_xml(spark: SparkSession, sf_dir: str, split: bool) -> DataFrame:
         f"{_version()} AS versie",
         f"{area}._srsDimension AS dimensie",
         f"{area}.`gml:exterior`.`gml:LinearRing`.`gml:posList`._VALUE AS outer_text",
-        f"coalesce(size({area}.`gml:interior`), 0) AS n_inner",
+        f"coalesce(array_size({area}.`gml:interior`), 0) AS n_inner",
     )
 
 

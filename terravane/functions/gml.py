@@ -68,7 +68,7 @@ def _numbers(text: str) -> str:
 
 
 def _starts(numbers: str, dimension: str) -> str:
-    return f"sequence(0, size({numbers}) - 1, greatest(int({dimension}), 1))"
+    return f"sequence(0, array_size({numbers}) - 1, greatest(int({dimension}), 1))"
 
 
 def position_pairs(text: str, dimension: str | int = 2) -> Column:
@@ -99,7 +99,7 @@ def point_wkt(text: str, method: str = "polynomial", decimals: int = K.WKT_DECIM
         'y', {rd_offset("get(g_n, 1)", 1)})"""
     place = bind(offsets, "g_o", METHODS[method]("g_o.x", "g_o.y"))
     point = bind(place, "g_p", f"concat('POINT (', {_coordinate('g_p', decimals)}, ')')")
-    sound = "size(g_n) BETWEEN 2 AND 3 AND NOT exists(g_n, g_e -> g_e IS NULL)"
+    sound = "array_size(g_n) BETWEEN 2 AND 3 AND NOT exists(g_n, g_e -> g_e IS NULL)"
     return F.expr(bind(_numbers(text), "g_n", f"if({sound}, {point}, NULL)"))
 
 
@@ -115,7 +115,7 @@ def _ring(text: str, dimension: str, method: str, decimals: int) -> str:
     )
     vertices = f"transform({places}, g_p -> {_coordinate('g_p', decimals)})"
     tail = "if(get(g_v, 0) = element_at(g_v, -1), ')', concat(', ', get(g_v, 0), ')'))"
-    ring = f"if(size(g_v) >= 3, concat('(', {_joined('g_v')}, {tail}), NULL)"
+    ring = f"if(array_size(g_v) >= 3, concat('(', {_joined('g_v')}, {tail}), NULL)"
     return bind(vertices, "g_v", ring)
 
 
@@ -175,5 +175,5 @@ def multipolygon_wkt(
     if polygon is None:
         return F.expr(_NO_TEXT)
     bodies = f"transform({members}, g_m -> {_polygon_body(polygon, method, decimals)})"
-    joined = bind(bodies, "g_b", f"if(size(g_b) > 0, {_joined('g_b')}, NULL)")
+    joined = bind(bodies, "g_b", f"if(array_size(g_b) > 0, {_joined('g_b')}, NULL)")
     return F.expr(f"concat('MULTIPOLYGON (', {joined}, ')')")

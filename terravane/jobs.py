@@ -23,11 +23,13 @@ from terravane.session import build_session
 from terravane.sources.archives import expand
 
 
-def ingest_all(spark: SparkSession, source: str, folder: str, types: list[str], method: str) -> None:
+def ingest_all(
+    spark: SparkSession, source: str, folder: str, types: list[str], method: str, sampling: float
+) -> None:
     for code, object_type in K.OBJECT_TYPES.items():
         if object_type in types:
-            paths = f"{source}/{code}"
-            schema = prepare_schema(spark, paths, object_type, f"{folder}/_schemas/{object_type}")
+            paths, kept = f"{source}/{code}", f"{folder}/_schemas/{object_type}"
+            schema = prepare_schema(spark, paths, object_type, kept, sampling)
             ingest(spark, paths, object_type, folder, schema, method)
 
 
@@ -43,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("folder")
     step.add_argument("--types", nargs="*", default=list(K.OBJECT_TYPES.values()))
     step.add_argument("--method", choices=sorted(METHODS), default="polynomial")
+    step.add_argument("--sampling", type=float, default=1.0, help="share of records to infer from")
     step = jobs.add_parser("dimension")
     step.add_argument("folder")
     step.add_argument("--types", nargs="*", default=K.DIMENSION_TYPES)
@@ -59,7 +62,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "expand":
         expand(spark, args.archive, args.folder, args.tasks)
     elif args.job == "ingest":
-        ingest_all(spark, args.source, args.folder, args.types, args.method)
+        ingest_all(spark, args.source, args.folder, args.types, args.method, args.sampling)
     elif args.job == "dimension":
         build_dimensions(spark, args.folder, args.types)
     else:

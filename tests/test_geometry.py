@@ -104,6 +104,14 @@ def test_declared_schema(spark, folder):
     check(converted(xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"))))
 
 
+def test_without_ansi(spark, folder):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        check(converted(xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"))))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_xml_source(spark, folder):
     check(converted(xml.read_records(spark, folder, "Pand", schemas.core_schema("Pand"), split=False)))
 
