@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terravane.llm import decontaminate, language, mixing, sharding, simhash
+from terravane.llm import decontaminate, extract, language, lines, mixing, quality, sharding, simhash, units, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +18,23 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs, benchmark)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return units.dedup_units(table(spark, sf_dir, "documents"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -31,17 +44,60 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, keep=["doc_id"])
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The host is the source, a path the source's documents in one language."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score_quality(docs, labels, F.col("source"), F.col("lang"), learn=~language.held_out())
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op3_decontamination, op6_hilbert_shards, op7_mixing, op10_simhash)
+    for f in (
+        op1_language_id,
+        op2_line_dedup,
+        op3_decontamination,
+        op4_substring_dedup,
+        op5_embedding_dedup,
+        op6_hilbert_shards,
+        op7_mixing,
+        op8_quality,
+        op9_main_text,
+        op10_simhash,
+    )
 }
 
-#: The size, targets and prefix sums of the mix in another engine's SQL.
 SQL: dict[str, str] = {
+    "op2_line_dedup": r"""
+WITH docs AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), numbered AS (
+  SELECT doc_id, text, unnest(range(len(lines))) AS line, unnest(lines) AS content FROM docs
+), windows AS (
+  SELECT doc_id, line AS start, trim(content) AS a,
+         lead(trim(content), 1) OVER w AS b, lead(trim(content), 2) OVER w AS c
+  FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY line)
+), later AS (
+  SELECT doc_id, start, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, start) AS nth
+  FROM windows WHERE c IS NOT NULL
+), gone AS (
+  SELECT DISTINCT doc_id, start + unnest([0, 1, 2]) AS line FROM later WHERE nth > 1
+), kept AS (
+  SELECT n.doc_id, string_agg(content, chr(10) ORDER BY line) FILTER (g.line IS NULL) AS text,
+         count(*) AS n_lines, count(g.line) AS n_removed
+  FROM numbered n LEFT JOIN gone g USING (doc_id, line) GROUP BY n.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(n_lines, 0)::INTEGER AS n_lines, coalesce(n_removed, 0)::INTEGER AS n_removed
+FROM docs d LEFT JOIN kept k USING (doc_id)
+""",
     "op7_mixing": r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents
