@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,53 +13,34 @@ from terravane.llm.links import components, local_roots
 from terravane.llm.tables import stored
 from terravane.llm.trees import blocks, depth, grow
 
-COSINE, TREES, LEAF, SEED = 0.9, 6, 512, 42
+COSINE, TREES, LEAF, SEED = 0.9, 6, 1024, 42
 
 #: Overlap on each side of a split, in units of the spread ``1 / sqrt(dimensions)`` that the
-#: projections of unit vectors have; a level then leaves about 0.6 of a node on a side.
-OVERLAP = 0.25
+#: projections of unit vectors have; a level then leaves about 0.56 of a node on a side.
+OVERLAP = 0.15
 
 
-def prepared(rows: DataFrame, levels: int) -> DataFrame:
-    """Distinct vectors that can link: ``id``, ``copies``, ``unit`` (length one) and for each
-    tree ``at``, the projections on its random directions, one for each level."""
-    schema = "id long, copies long, size int, unit array<double>, tree int, at array<float>"
+def _units(vectors: pd.Series) -> np.ndarray:
+    """Vectors of one length as rows of length one, in double precision."""
+    x = np.stack(vectors.to_numpy()).astype(float)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            frame = batch.to_pandas()
+
+def projections(classes: DataFrame, levels: int) -> DataFrame:
+    """For each ``id`` and tree the projections ``at`` on the tree's directions, one for a level."""
+    schema = "id long, tree int, at array<float>"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
             for size, part in frame.groupby(frame["embedding"].map(len)):
-                x = np.stack(part["embedding"].to_numpy()).astype(float)
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = _units(part["embedding"])
                 for tree in range(TREES):
                     draw = np.random.default_rng([SEED, size, tree]).standard_normal((size, max(levels, 1)))
-                    at = (x @ draw).astype(np.float32)
-                    yield pa.RecordBatch.from_pandas(
-                        pd.DataFrame(
-                            {
-                                "id": part["id"].to_numpy(),
-                                "copies": part["copies"].to_numpy(),
-                                "size": np.int32(size),
-                                "unit": list(x) if tree == 0 else None,
-                                "tree": np.int32(size * TREES + tree),
-                                "at": list(at),
-                            }
-                        ),
-                        schema=pa.schema(
-                            [
-                                ("id", pa.int64()),
-                                ("copies", pa.int64()),
-                                ("size", pa.int32()),
-                                ("unit", pa.list_(pa.float64())),
-                                ("tree", pa.int32()),
-                                ("at", pa.list_(pa.float32())),
-                            ]
-                        ),
-                        preserve_index=False,
-                    )
-
-    return rows.select("id", "copies", "embedding").mapInArrow(run, schema)
+                    at = list((x @ draw).astype(np.float32))
+                    yield pd.DataFrame({"id": part["id"].to_numpy(), "tree": size * TREES + tree, "at": at})
+
+    return classes.select("id", "embedding").mapInPandas(run, schema)
 
 
 def _compare(leaf: pd.DataFrame, cosine: float) -> pd.DataFrame:
@@ -70,7 +50,7 @@ def _compare(leaf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     ``homes``; the leaf's other vectors do not matter for that.
     """
     leaf = leaf.drop_duplicates("id").sort_values("id", ignore_index=True)
-    x, chunk = np.stack(leaf["unit"].to_numpy()), leaf["chunk"].to_numpy()
+    x, chunk = _units(leaf["embedding"]), leaf["chunk"].to_numpy()
     first, second = leaf["first"].iloc[0], leaf["second"].iloc[0]
     linked = x @ x.T >= cosine
     np.fill_diagonal(linked, False)
@@ -98,8 +78,9 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     node at its median on the level's random direction, with an overlap on both sides, until
     leaves fit; all vectors in a leaf are compared in double precision. Vectors of different
     length are in trees of their own. A leaf that no split takes apart is compared in pairs of
-    blocks. Of a pair with cosine 0.9 about a fifth of the trees miss it at 100 leaves, so six
-    together miss it once in 10,000 times; closer pairs are missed far more rarely.
+    blocks. A tree of 100 leaves misses a third of the pairs
+    with a cosine of just 0.9 and a sixth of those with 0.95; six trees together miss 2 and
+    less than 0.1 in a thousand.
 
     Returns ``vec_id``, ``n_links`` (other rows linked directly), ``component_id`` (smallest id
     reachable) and ``kept`` (``vec_id`` = ``component_id``). A vector that is null, empty, zero
@@ -108,9 +89,8 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     component unless its group has another; other columns are not read; an empty table gives
     an empty result.
     """
-    values = F.col("embedding").cast("array<double>")
-    base = rows.select(F.col("vec_id").cast("long"), values.alias("embedding"))
-    whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
+    base = rows.select(F.col("vec_id").cast("long"), "embedding")
+    whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) != float("inf")))
     valid = F.coalesce(whole & F.exists("embedding", lambda v: v != 0), F.lit(False))
     key = F.when(valid, F.md5(F.concat_ws(",", F.transform("embedding", lambda v: (v + 0.0).cast("string"))).cast("binary")))
     base = stored(base.select("vec_id", "embedding", key.alias("key")), "vectors")
@@ -119,17 +99,15 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
     node = F.xxhash64("key")
     classes = stored(classes.select(node.alias("id"), "key", "low", "copies", "embedding"), "classes")
-    levels = depth(classes.count(), LEAF, 0.6)
-    grown = stored(prepared(classes, levels), "projections")
+    levels = depth(classes.count(), LEAF, 0.56)
+    grown = stored(projections(classes, levels), "projections")
     reach = F.lit(OVERLAP)
-    light = grown.select("tree", "id", "at")
-    leaves = grow(light, lambda level: F.element_at("at", level + 1), reach, reach, LEAF, levels)
+    leaves = grow(grown, lambda level: F.element_at("at", level + 1), reach, reach, LEAF, levels)
     # A tree and the path in it, as one number that orders the leaves that a vector is in.
     home = (F.col("tree").cast("long") * (1 << 50)) + F.xxhash64("node").bitwiseAND((1 << 50) - 1)
     leaves = stored(leaves.select("tree", "node", "id", home.alias("home")), "leaves")
     homes = leaves.groupBy("id").agg(F.array_sort(F.collect_set("home")).alias("homes"))
-    units = grown.where("unit is not null").select("id", "copies", "unit")
-    full = stored(units.join(homes, "id"), "units")
+    full = stored(classes.select("id", "copies", "embedding").join(homes, "id"), "full")
     pairs = blocks(leaves, "id", LEAF).join(full, "id")
     found = pairs.groupBy("tree", "node", "first", "second").applyInPandas(
         lambda leaf: _compare(leaf, cosine), "id long, n long, root long"
