@@ -60,10 +60,11 @@ class Search:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = [(i, squeeze(t)) for i, t in items]
-        where: dict[str, list[tuple[int, int]]] = {}
+        where: dict[str, dict[int, tuple[int, int]]] = {}
         for k, (_, item) in enumerate(self.items):
             for at, piece in pieces(item) if item else ():
-                where.setdefault(piece, []).append((k, at))
+                uses = where.setdefault(piece, {})
+                uses[k] = (min(at, uses.get(k, (at, at))[0]), at)
         self.automaton = ahocorasick.Automaton()
         for piece, uses in where.items():
             self.automaton.add_word(piece, (len(piece), uses))
@@ -74,41 +75,42 @@ class Search:
     def find(self, text: str | None) -> dict[int, int]:
         """Items within their budget in ``text``, by position in the list, and the least distance.
 
-        A piece hit says where the item would start; hits that agree but for the budget share a
-        window, and only windows are compared.
+        A piece hit says between which places the item would start, give or take the budget;
+        windows that overlap are one, and only windows are compared.
         """
         if self.empty:
             return {}
         letters = squeeze(text)
-        starts: dict[int, set[int]] = {}
+        windows: dict[int, list[tuple[int, int]]] = {}
         for end, (size, uses) in self.automaton.iter(letters):
-            for k, at in uses:
-                starts.setdefault(k, set()).add(end + 1 - size - at)
+            start = end + 1 - size
+            for k, (low, high) in uses.items():
+                item, slack = self.items[k][1], budget(self.items[k][1])
+                windows.setdefault(k, []).append((start - high - slack, start - low + len(item) + slack))
         found: dict[int, int] = {}
-        for k, begins in starts.items():
-            item = self.items[k][1]
-            slack, best, upto = budget(item), None, None
-            for begin in sorted(begins):
-                low, high = max(0, begin - slack), begin + len(item) + slack
-                if upto is not None and low <= window[1]:
-                    window[1] = high
-                else:
-                    if upto is not None:
-                        best = self._best(best, item, letters, window)
-                    window = [low, high]
-                upto = high
-            best = self._best(best, item, letters, window)
-            if best <= slack:
+        for k, spans in windows.items():
+            item, best = self.items[k][1], None
+            for low, high in _merged(spans):
+                part = letters[max(0, low) : high]
+                distance = 0 if item in part else myers(item, part)
+                best = distance if best is None else min(best, distance)
+                if best == 0:
+                    break
+            if best <= budget(item):
                 found[k] = best
         return found
 
-    @staticmethod
-    def _best(best: int | None, item: str, letters: str, window: list[int]) -> int:
-        if best == 0:
-            return 0
-        part = letters[window[0] : window[1]]
-        distance = 0 if item in part else myers(item, part)
-        return distance if best is None else min(best, distance)
+
+def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans in order, those that overlap as one."""
+    spans = sorted(spans)
+    low, high = spans[0]
+    for a, b in spans[1:]:
+        if a > high:
+            yield low, high
+            low, high = a, b
+        high = max(high, b)
+    yield low, high
 
 
 def _searches(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -180,36 +180,46 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Filters | None:
     return Filters.build(grams)
 
 
-def classify(docs: DataFrame, filters: Filters | None, prefix: str = "lang_") -> DataFrame:
-    """``docs`` with ``<prefix>pred`` and ``<prefix>score``; every column and row stays.
+def _classified(texts: list[str | None], filters: Filters | None, letters: np.ndarray) -> tuple[list, list]:
+    """Language and score of each text: the largest corrected share of its n-grams, of equal ones
+    the first by name; ``und`` and 0 without a letter or where nothing was learned."""
+    pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    if filters is not None:
+        share, total = filters.share(texts, letters)
+        for i in np.flatnonzero(total):
+            best = int(share[i].argmax())
+            pred[i], score[i] = filters.languages[best], float(share[i, best])
+    return pred, score
 
-    The language with the largest corrected share of the text's n-grams is chosen (the first
-    by name in a tie); the score is this share, from 0 to 1. ``und`` with score 0 if the text is
-    null or has no letter, or nothing was learned.
-    """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(filters and (filters.languages, filters.table))
-    schema = T.StructType([*docs.schema.fields])
-    schema = schema.add(f"{prefix}pred", "string").add(f"{prefix}score", "double")
-    at = docs.columns.index("text")
+
+def _mapped(docs: DataFrame, filters: Filters | None, schema, result: Callable) -> DataFrame:
+    """``result(batch, languages, scores)`` for every batch of ``docs``."""
+    plain = filters and (filters.languages, filters.table)
+    sent, at = docs.sparkSession.sparkContext.broadcast(plain), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, known = _letters(), sent.value and Filters(*sent.value)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            if known is not None:
-                share, total = known.share(texts, letters)
-                for i in np.flatnonzero(total):
-                    best = int(share[i].argmax())
-                    pred[i], score[i] = known.languages[best], float(share[i, best])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(pred), pa.array(score)], names=schema.names
-            )
+            yield result(batch, *_classified(batch.column(at).to_pylist(), known, letters))
 
     return docs.mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, filters: Filters | None, least: float) -> DataFrame:
+    """Rows of ``docs``, all columns, whose language is known with a score of ``least`` or more.
+
+    If there was nothing to learn from, every row with a letter stays.
+    """
+
+    def result(batch: pa.RecordBatch, pred: list, score: list) -> pa.RecordBatch:
+        known = [p != UNDETERMINED and s >= least for p, s in zip(pred, score, strict=True)]
+        return batch.filter(pa.array(known, pa.bool_()))
+
+    if filters is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return _mapped(docs, filters, T.StructType([*docs.schema.fields]), result)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Language of every row of ``docs`` by filters learned from the rows themselves.
 
@@ -218,5 +228,10 @@ def identify(docs: DataFrame) -> DataFrame:
     an empty result; columns other than ``doc_id``, ``text`` and ``lang`` are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    named = classify(texts, fit(docs))
-    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+    names = ["doc_id", "lang_pred", "score"]
+
+    def result(batch: pa.RecordBatch, pred: list, score: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred), pa.array(score)], names)
+
+    named = _mapped(texts, fit(docs), "doc_id long, lang_pred string, score double", result)
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terravane.llm.tables import in_order, offsets, running, stored
+from terravane.llm.tables import in_order, offsets, renamed, running, stored
 
 WEIGHTS, EPOCHS, SEED = (1, 2, 3), 3, 42
 
@@ -56,17 +56,19 @@ def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None) -> Dat
     """
     added = ("size", "source_size", "target", "taken")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
+    plain, names = renamed(docs)
+    doc = F.col(names["doc_id"])
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), doc.cast("string")).cast("binary"))
+    size = F.coalesce(F.regexp_count(F.col(names["text"]), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = plain.select(
+        *[names[c] for c in kept],
         size.alias("size"),
-        F.col("source").alias("_source"),
-        F.col("doc_id").isNull().alias("_last"),
+        F.col(names["source"]).alias("_source"),
+        doc.isNull().alias("_last"),
         key.alias("_key"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.xxhash64(*plain.columns).alias("_row"),
     )
-    sizes = docs.groupBy("source").agg(F.sum(size).alias("source_size"))
+    sizes = plain.groupBy(F.col(names["source"]).alias("source")).agg(F.sum(size).alias("source_size"))
     goals = stored(targets(sizes), "targets")
     ranked = rows.join(goals, F.col("_source").eqNullSafe(goals["source"])).drop(goals["source"])
     ordered = in_order(ranked, "rank", "_last", "_key", "size", "_row")
@@ -78,7 +80,7 @@ def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None) -> Dat
     rest = words - whole * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
     taken = (whole * F.col("size") + part).cast("long")
-    return joined.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", taken.alias("taken"))
+    return joined.select(*[F.col(names[c]).alias(c) for c in kept], "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -87,13 +89,10 @@ def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     The document at which a source's target is reached comes last with the words left of it.
     """
     size, total, copy = F.col("_size"), F.col("_taken"), F.col("_copy")
-    names = ["_size", "_source_size", "_target", "_taken"]
-    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    where = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    known = {c: plain[where[c]] for c in ("doc_id", "text", "source")}
-    inner = plain.select("*", *[v.alias(c) for c, v in known.items()])
-    taken = mix(inner, seed, plain.columns)
-    taken = taken.toDF(*plain.columns, *names)
+    plain, where = renamed(docs)
+    known = [F.col(where[c]).alias(c) for c in ("doc_id", "text", "source")]
+    taken = mix(plain.select("*", *known), seed, plain.columns)
+    taken = taken.toDF(*plain.columns, "_size", "_source_size", "_target", "_taken")
     times = F.when(size > 0, F.ceil(total / size)).otherwise(0).cast("int")
     copies = taken.where(total > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
     left = total - (copy - 1) * size

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.links import components, local_roots
-from terravane.llm.tables import stored
+from terravane.llm.tables import renamed, stored
 from terravane.llm.trees import blocks, depth, grow
 
 WORDS, RADIUS, SEED, LEAF = 4, 4, 42, 1024
@@ -139,8 +139,9 @@ def first_of_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Nulls come last among ids, equal ids are told apart by a hash of the row, and of rows equal
     in all columns one stays. See :func:`simhash_groups` for the groups.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    row = F.xxhash64(*columns)
+    plain, names = renamed(docs)
+    row = F.xxhash64(*plain.columns)
+    ids = F.col(names["doc_id"]).cast("long")
     schema = "doc_id long, row long, fp long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +150,7 @@ def first_of_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             fp = pa.array(np.array(marks, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], ["doc_id", "row", "fp"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), row, F.col("text").cast("string"))
+    texts = plain.select(ids, row, F.col(names["text"]).cast("string"))
     marks = stored(texts.mapInArrow(run, schema), "fingerprints")
     groups = stored(near_groups(marks, radius), "groups")
     # The first row of each fingerprint, then of each group of fingerprints.
@@ -157,11 +158,10 @@ def first_of_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     first = stored(marks.groupBy("fp").agg(F.min(rank).alias("first")), "firsts")
     heads = first.join(groups, "fp").groupBy("group").agg(F.min("first").alias("first"))
     winners = stored(heads.select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row")), "winners")
-    named = docs.withColumn("_hash", row)
-    kept = named.join(
-        winners, named["_hash"].eqNullSafe(winners["_row"]) & named["doc_id"].cast("long").eqNullSafe(winners["_id"]), "left_semi"
-    )
+    named = plain.withColumn("_hash", row)
+    same = (F.col("_hash") == F.col("_row")) & ids.eqNullSafe(F.col("_id"))
+    kept = named.join(winners, same, "left_semi")
     repeated = marks.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if repeated.isEmpty():
-        return kept.drop("_hash")
-    return kept.dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates([names["doc_id"], "_hash"])
+    return kept.drop("_hash").toDF(*docs.columns)

@@ -13,6 +13,13 @@ from pyspark.sql import types as T
 from terravane.sources.workspace import work_folder
 
 
+def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns ``c0``, ``c1``, ... and the new name of each: names that a step gives
+    to columns of its own cannot clash with them."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: it outlives lost executors, its size is
     known to the planner, and joins on it start from plain scans that Spark may split."""
