@@ -449,13 +449,15 @@ UNION ALL SELECT 'geo_point', count(*), count(*) FILTER (o_orderkey % 7 = 0) FRO
 UNION ALL SELECT 'status', count(*), count(*) FILTER (o_orderstatus = 'P') FROM orders"""
 
 SQL["check_foreign_key"] = """
-SELECT l_partkey AS value, count(*) AS n_rows FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size < 40)
-GROUP BY l_partkey"""
+SELECT value, count(*) AS n_rows
+FROM (SELECT CASE WHEN l_suppkey % 10 = 0 THEN -l_partkey ELSE l_partkey END AS value FROM lineitem)
+WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = value)
+GROUP BY value"""
 
 SQL["foreign_key_rows"] = """
-SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size < 40)"""
+SELECT l_orderkey, l_linenumber, used AS l_partkey
+FROM (SELECT *, CASE WHEN l_suppkey % 10 = 0 THEN -l_partkey ELSE l_partkey END AS used FROM lineitem)
+WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = used)"""
 
 SQL["check_unique"] = """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
@@ -473,8 +475,7 @@ UNION ALL SELECT 'p_type', count(*), count(*) FILTER (length(p_type) > 80) FROM
 SQL["length_rows"] = "SELECT p_partkey, p_name FROM part WHERE length(p_name) > 9"
 
 SQL["bridge_table"] = """
-SELECT DISTINCT p_partkey, unnest(string_split(p_type || ' ' || p_name, ' ')) AS gebruiksdoel
-FROM part"""
+SELECT DISTINCT p_partkey, unnest([p_type, p_name || ' ' || p_brand]) AS gebruiksdoel FROM part"""
 
 
 # --- whole model ---------------------------------------------------------------------------
@@ -504,18 +505,17 @@ _MODEL = {
     "pand": """
         SELECT CAST(p_partkey AS VARCHAR) AS identificatie, 'POLYGON EMPTY' AS geomtrie,
           CAST(p_size AS VARCHAR) AS oorspronkelijk_bouwjaar, 'in gebruik' AS status,
-          'N' AS geconstateerd, DATE '2022-11-01' AS documentdatum FROM part WHERE p_size < 40""",
+          'N' AS geconstateerd, DATE '2022-11-01' AS documentdatum FROM part""",
     "domeinwaarden_gebruiksdoel": """
-        SELECT p_type AS waarde, max(p_brand) AS omschrijving FROM part
-        WHERE p_type <> 'SMALL' GROUP BY p_type""",
+        SELECT p_type AS waarde, max(p_brand) AS omschrijving FROM part GROUP BY p_type""",
     "verblijfsobject": f"""
         SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS identificatie,
           {_point_text("l_orderkey")} AS geometrie,
-          CASE WHEN l_returnflag = 'R' THEN 'ECONOMY, SMALL' ELSE 'LARGE,PROMO' END AS gebruiksdoel,
+          CASE WHEN l_returnflag = 'R' THEN 'ECONOMY, TINY HOUSE' ELSE 'LARGE,PROMO,' END AS gebruiksdoel,
           CAST(l_quantity AS BIGINT) AS oppervlakte, l_linestatus AS status, 'N' AS geconstateerd,
           '2022-11-01' AS documentdatum, CAST(l_suppkey AS VARCHAR) AS documentnummer,
           CAST(l_orderkey % 500 AS VARCHAR) AS hoofdadres, CAST(NULL AS VARCHAR) AS nevenadres,
-          CAST(l_partkey AS VARCHAR) AS pand_identificatie FROM lineitem""",
+          CAST(CASE WHEN l_suppkey % 10 = 0 THEN -l_partkey ELSE l_partkey END AS VARCHAR) AS pand_identificatie FROM lineitem""",
     "woz_object": """
         SELECT CASE WHEN o_orderkey % 11 <> 0
             THEN CAST(o_orderkey - o_orderkey % 10 % 2 AS VARCHAR) END AS woz_objectnummer,
@@ -563,7 +563,7 @@ def _model_report_sql() -> str:
                 child = f"(SELECT trim(unnest(string_split({key.column}, ','))) AS v FROM m_{key.table})"
             rule(
                 key.table, "foreign_key", key.column,
-                f"""SELECT count(*) FROM {child} WHERE v IS NOT NULL
+                f"""SELECT count(*) FROM {child} WHERE v IS NOT NULL AND v <> ''
                 AND v NOT IN (SELECT {key.parent_column} FROM m_{key.parent}
                   WHERE {key.parent_column} IS NOT NULL)""",
             )

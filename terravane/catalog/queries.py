@@ -153,7 +153,7 @@ def ingest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.expr(S.record("p_partkey", "multivlak", **{"Objecten:naam": "p_name"}))
     xml.write_records(S.table(spark, sf_dir, "part"), source, "Woonplaats", record)
     schema = xml.infer_schema(spark, source, "Woonplaats")
-    files.write_table(object_table(spark, source, "Woonplaats", schema), target)
+    files.write_table(object_table(spark, source, "Woonplaats", schema, "polynomial"), target)
     return record_ids(
         files.read_table(spark, target),
         F.col("`Objecten:naam`").alias("naam"),
@@ -261,22 +261,22 @@ def point_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pand_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "customer")
-    return convert_geometry(S.records(df, "c_custkey", "polygon", "c_custkey"))
+    return convert_geometry(S.records(df, "c_custkey", "polygon", "c_custkey"), "polynomial")
 
 
 def _area_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "orders")
-    return convert_geometry(S.records(df, "o_orderkey", "vlak", "o_orderkey"))
+    return convert_geometry(S.records(df, "o_orderkey", "vlak", "o_orderkey"), "polynomial")
 
 
 def _multi_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "part")
-    return convert_geometry(S.records(df, "p_partkey", "multivlak", "p_partkey"))
+    return convert_geometry(S.records(df, "p_partkey", "multivlak", "p_partkey"), "polynomial")
 
 
 def _point_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "supplier")
-    return convert_geometry(S.records(df, "s_suppkey", "punt", "s_suppkey"))
+    return convert_geometry(S.records(df, "s_suppkey", "punt", "s_suppkey"), "polynomial")
 
 
 @query
@@ -498,23 +498,21 @@ def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_not_null(df)
 
 
-def _sparse_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts that were kept: sizes of 40 and more are missing from the parent table."""
-    return S.table(spark, sf_dir, "part").where("p_size < 40").select("p_partkey")
+#: A part that does not exist on every tenth supplier's lines.
+_PART_USED = "if(l_suppkey % 10 = 0, -l_partkey, l_partkey)"
 
 
 @query
 def check_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    child = S.table(spark, sf_dir, "lineitem")
-    return quality.check_foreign_key(
-        child, "l_partkey", _sparse_parts(spark, sf_dir), "p_partkey"
-    )
+    child = S.table(spark, sf_dir, "lineitem").selectExpr(f"{_PART_USED} AS l_partkey")
+    return quality.check_foreign_key(child, "l_partkey", S.table(spark, sf_dir, "part"), "p_partkey")
 
 
 @query
 def foreign_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    child = S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return quality.orphan_rows(child, "l_partkey", _sparse_parts(spark, sf_dir), "p_partkey")
+    lines = S.table(spark, sf_dir, "lineitem")
+    child = lines.selectExpr("l_orderkey", "l_linenumber", f"{_PART_USED} AS l_partkey")
+    return quality.orphan_rows(child, "l_partkey", S.table(spark, sf_dir, "part"), "p_partkey")
 
 
 @query
@@ -544,7 +542,7 @@ def length_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bridge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = S.table(spark, sf_dir, "part").select(
-        "p_partkey", F.concat_ws(" ", "p_type", "p_name", "p_type").alias("uses")
+        "p_partkey", F.concat_ws(", ", "p_type", F.concat_ws(" ", "p_name", "p_brand"), "p_type").alias("uses")
     )
     return quality.bridge_table(df, "p_partkey", "uses", ("p_partkey", "gebruiksdoel"))
 
@@ -593,7 +591,7 @@ def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "woonplaats_identificatie": "c_nationkey",
             "openbare_ruimte_identificatie": F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey") % 200),
         }),
-        "pand": model.conform(t["part"].where("p_size < 40"), "pand", {
+        "pand": model.conform(t["part"], "pand", {
             "identificatie": "p_partkey",
             "geomtrie": F.lit("POLYGON EMPTY"),
             "oorspronkelijk_bouwjaar": "p_size",
@@ -602,20 +600,20 @@ def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "documentdatum": F.lit("2022-11-01"),
         }),
         "domeinwaarden_gebruiksdoel": model.conform(
-            t["part"].groupBy("p_type").agg(F.max("p_brand").alias("text")).where("p_type <> 'SMALL'"),
+            t["part"].groupBy("p_type").agg(F.max("p_brand").alias("text")),
             "domeinwaarden_gebruiksdoel", {"waarde": "p_type", "omschrijving": "text"},
         ),
         "verblijfsobject": model.conform(t["lineitem"], "verblijfsobject", {
             "identificatie": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
             "geometrie": F.expr(S.point_text("l_orderkey")),
-            "gebruiksdoel": F.when(F.col("l_returnflag") == "R", "ECONOMY, SMALL").otherwise("LARGE,PROMO"),
+            "gebruiksdoel": F.when(F.col("l_returnflag") == "R", "ECONOMY, TINY HOUSE").otherwise("LARGE,PROMO,"),
             "oppervlakte": F.col("l_quantity").cast("bigint"),
             "status": "l_linestatus",
             "geconstateerd": F.lit("N"),
             "documentdatum": F.lit("2022-11-01"),
             "documentnummer": "l_suppkey",
             "hoofdadres": F.col("l_orderkey") % 500,
-            "pand_identificatie": "l_partkey",
+            "pand_identificatie": F.expr(_PART_USED),
         }),
         "woz_object": model.conform(t["orders"], "woz_object", {
             "woz_objectnummer": F.expr(

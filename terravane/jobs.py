@@ -1,7 +1,7 @@
 """Command line of the jobs, for ``spark-submit``.
 
     jobs.py expand   <archive.zip> <xml folder>
-    jobs.py ingest   <xml folder> <table folder> [--method geodetic]
+    jobs.py ingest   <xml folder> <table folder> [--method polynomial] [--schemas <folder>]
     jobs.py dimension <table folder>
     jobs.py chunks   <table folder>
 
@@ -21,15 +21,20 @@ from terravane.plans.dimension import build_dimensions
 from terravane.plans.ingest import ingest, prepare_schema
 from terravane.session import build_session
 from terravane.sources.archives import expand
+from terravane.sources.schemas import load_schema
 
 
 def ingest_all(
-    spark: SparkSession, source: str, folder: str, types: list[str], method: str, sampling: float
+    spark: SparkSession, source: str, folder: str, types: list[str], method: str, schemas: str | None
 ) -> None:
+    """Ingest every type; with ``schemas``, a folder of an earlier run, nothing is inferred."""
     for code, object_type in K.OBJECT_TYPES.items():
         if object_type in types:
             paths, kept = f"{source}/{code}", f"{folder}/_schemas/{object_type}"
-            schema = prepare_schema(spark, paths, object_type, kept, sampling)
+            if schemas:
+                schema = load_schema(spark, f"{schemas}/{object_type}")
+            else:
+                schema = prepare_schema(spark, paths, object_type, kept)
             ingest(spark, paths, object_type, folder, schema, method)
 
 
@@ -44,8 +49,8 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("source")
     step.add_argument("folder")
     step.add_argument("--types", nargs="*", default=list(K.OBJECT_TYPES.values()))
-    step.add_argument("--method", choices=sorted(METHODS), default="polynomial")
-    step.add_argument("--sampling", type=float, default=1.0, help="share of records to infer from")
+    step.add_argument("--method", choices=sorted(METHODS), default="geodetic")
+    step.add_argument("--schemas", help="folder of saved schemas: <table folder>/_schemas")
     step = jobs.add_parser("dimension")
     step.add_argument("folder")
     step.add_argument("--types", nargs="*", default=K.DIMENSION_TYPES)
@@ -62,7 +67,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "expand":
         expand(spark, args.archive, args.folder, args.tasks)
     elif args.job == "ingest":
-        ingest_all(spark, args.source, args.folder, args.types, args.method, args.sampling)
+        ingest_all(spark, args.source, args.folder, args.types, args.method, args.schemas)
     elif args.job == "dimension":
         build_dimensions(spark, args.folder, args.types)
     else:

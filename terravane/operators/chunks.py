@@ -38,9 +38,16 @@ def chunk_columns(
 
     ``n`` covers the longest text of the whole frame, so all parts of a table agree. Pass
     ``counts`` (for example from statistics of an earlier job) to avoid the extra pass over
-    the field. A text that ends before a chunk gives an empty chunk, a null text null.
+    the field; a text they do not cover is an error. A text that ends before a chunk gives an
+    empty chunk, a null text null.
     """
-    counts = chunk_counts(df, fields, width) if counts is None else counts
+    if counts is None:
+        counts = chunk_counts(df, fields, width)
+    else:
+        for f in fields:
+            fits = F.length(F.col(f)) <= counts[f] * width
+            error = F.raise_error(F.lit(f"{f} holds a text of over {counts[f]} x {width} characters"))
+            df = df.where(F.when(fits | F.col(f).isNull(), True).otherwise(error.cast("boolean")))
     return df.select(
         "*",
         *[

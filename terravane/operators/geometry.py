@@ -38,7 +38,7 @@ def complete_geometry(df: DataFrame, name: str = "geometry") -> DataFrame:
 
 
 def convert_geometry(
-    df: DataFrame, method: str = "polynomial", decimals: int = K.WKT_DECIMALS
+    df: DataFrame, method: str = "geodetic", decimals: int = K.WKT_DECIMALS
 ) -> DataFrame:
     """Add ``geometry`` to records that have a geometry column; others pass unchanged.
 

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -53,8 +54,8 @@ def check_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFram
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values held by more than one row, with their row counts."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    """Key values held by more than one row, with their row counts; a null in the key passes."""
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
 def check_foreign_key(
@@ -81,13 +82,17 @@ def orphan_rows(
 
 
 def bridge_table(
-    df: DataFrame, key: str, values: str, names: tuple[str, str], separator: str = r"\s+"
+    df: DataFrame, key: str, values: str, names: tuple[str, str]
 ) -> DataFrame:
-    """Distinct (key, value) pairs of a many-to-many column holding separated values."""
-    value = F.explode(F.split(F.trim(F.col(values)), separator))
-    return (
-        df.where(F.col(values).isNotNull())
-        .select(F.col(key).alias(names[0]), value.alias(names[1]))
-        .where(F.col(names[1]) != "")
-        .distinct()
-    )
+    """Distinct (key, value) pairs of a many-to-many column, an array or a list with commas."""
+    value = F.explode(listed(df, values))
+    return df.select(F.col(key).alias(names[0]), value.alias(names[1])).distinct()
+
+
+def listed(df: DataFrame, values: str) -> Column:
+    """Values of a many-to-many column, trimmed, without blanks; they may hold several words."""
+    column = F.col(values)
+    if not isinstance(df.schema[values].dataType, T.ArrayType):
+        column = F.split(column, ",")
+    trimmed = F.transform(column, lambda v: F.trim(v.cast("string")))
+    return F.filter(trimmed, lambda v: v != "")

@@ -11,14 +11,14 @@ from terravane.functions.names import batch_of
 from terravane.operators.geometry import convert_geometry
 from terravane.sources.files import write_parts, write_table
 from terravane.sources.schemas import load_schema, save_schema
-from terravane.sources.xml import Paths, infer_schema, read_records
+from terravane.sources.xml import Paths, bad_records, infer_schema, read_records
 
 
 def prepare_schema(
-    spark: SparkSession, paths: Paths, object_type: str, schema_file: str, sampling: float = 1.0
+    spark: SparkSession, paths: Paths, object_type: str, schema_file: str
 ) -> T.StructType:
     """Infer the record schema once and keep it for later extracts."""
-    schema = infer_schema(spark, paths, object_type, sampling)
+    schema = infer_schema(spark, paths, object_type)
     save_schema(spark, schema, schema_file)
     return load_schema(spark, schema_file)
 
@@ -28,7 +28,7 @@ def object_table(
     paths: Paths,
     object_type: str,
     schema: T.StructType,
-    method: str = "polynomial",
+    method: str = "geodetic",
     file_column: str | None = None,
 ) -> DataFrame:
     """Records with all their fields and ``geometry``: one scan, no shuffle, no Python worker."""
@@ -41,19 +41,21 @@ def ingest(
     object_type: str,
     folder: str,
     schema: T.StructType,
-    method: str = "polynomial",
+    method: str = "geodetic",
     batch_files: int = K.BATCH_FILES,
 ) -> str:
     """Write ``<folder>/<object type>``; the large types as ``part=<i>`` folders.
 
     A part holds ``batch_files`` consecutively numbered source files. All parts are written
-    by one job, without a shuffle: a task writes the parts of the files it reads.
+    by one job, the rows of a part together, a large part over several tasks. Malformed records
+    go to ``<folder>/_bad/<object type>``.
     """
+    write_table(bad_records(spark, paths, schema), f"{folder}/_bad/{object_type}")
     target = f"{folder}/{object_type}"
     if object_type not in K.BATCHED_TYPES:
         write_table(object_table(spark, paths, object_type, schema, method), target)
         return target
     df = object_table(spark, paths, object_type, schema, method, "_source_file")
     part = batch_of(F.col("_source_file"), batch_files)
-    write_parts(df.withColumn("part", part).drop("_source_file"), target, F.col("part"))
+    write_parts(df.withColumn("part", part).drop("_source_file"), target, F.col("part"), rebalance=True)
     return target

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terravane.functions.bind import quoted
-from terravane.operators.quality import check_foreign_key, check_unique
+from terravane.operators.quality import check_foreign_key, check_unique, listed
 
 # --- fixed values: tables, columns, types and NOT NULL of the published model --------------
 # (names as published, "geomtrie" included)
@@ -269,7 +269,7 @@ def model_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _reference_values(child: DataFrame, key: ForeignKey) -> DataFrame:
-    """Values to look up; a many-to-many column is one value per listed word."""
+    """Values to look up; a many-to-many column is one value per listed one."""
     if (key.table, key.column) != MANY_TO_MANY:
         return child
-    return child.select(F.explode(F.split(F.trim(F.col(key.column)), r"\s*,\s*")).alias(key.column))
+    return child.select(F.explode(listed(child, key.column)).alias(key.column))

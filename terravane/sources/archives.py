@@ -96,23 +96,58 @@ def _write(source, target: str) -> int:
     return size
 
 
+def refuse_collisions(members: DataFrame) -> DataFrame:
+    """``members`` if their targets differ; else an error before anything is written."""
+    twice = members.groupBy("target").agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if twice:
+        raise ValueError(f"{twice['n']} members would be written to {twice['target']}")
+    return members
+
+
+def _remove(paths: DataFrame) -> None:
+    """Delete files that an earlier extract left, by the tasks that find them."""
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                store, inner = _store(path)
+                if store.get_file_info(inner).type != fs.FileType.NotFound:
+                    store.delete_file(inner)
+            yield batch
+
+    paths.mapInArrow(drop, "path string").write.format("noop").mode("overwrite").save()
+
+
+def _exists(path: str) -> bool:
+    store, inner = _store(path)
+    return store.get_file_info(inner).type != fs.FileType.NotFound
+
+
 def expand(
     spark: SparkSession, archive: str, folder: str, tasks: int | None = None
 ) -> DataFrame:
     """Outer zip to inner zips to XML files ``<folder>/<type code>/<name>.xml``.
 
     The result lists the written files; it is read from disk, so using it twice does not
-    unpack twice.
+    unpack twice. Two members for one file are an error, found before any is unpacked. Files
+    that an earlier extract wrote to ``folder`` and this one does not are deleted.
     """
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     inner = list_members(spark, [archive], ".zip", 1).withColumn(
         "target", F.concat_ws("/", F.lit(f"{folder}/_archives"), base_name(F.col("member")))
     )
     # one inner zip per object type: the only list that returns to the driver
-    paths = [r["path"] for r in extract_members(inner, tasks).collect()]
+    paths = [r["path"] for r in extract_members(refuse_collisions(inner), tasks).collect()]
     members = list_members(spark, paths, ".xml", max(1, len(paths))).withColumn(
         "target", member_path(folder, F.col("archive"), F.col("member"))
     )
-    manifest = f"{folder}/_files"
-    extract_members(members, tasks).write.mode("overwrite").parquet(manifest)
+    manifest, fresh = f"{folder}/_files", f"{folder}/_files-{uuid.uuid4().hex}"
+    extract_members(refuse_collisions(members), tasks).write.parquet(fresh)
+    written = spark.read.parquet(fresh)
+    if _exists(manifest):
+        earlier = spark.read.parquet(manifest)
+        _remove(earlier.join(written, "path", "left_anti").select("path"))
+    written.write.mode("overwrite").parquet(manifest)
+    store, inner_path = _store(fresh)
+    store.delete_dir(inner_path)
     return spark.read.parquet(manifest)

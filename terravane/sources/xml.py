@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,18 +47,15 @@ def record_texts(
     return text.where(F.contains("value", F.lit(opening))).select(*kept)
 
 
-def infer_schema(
-    spark: SparkSession, paths: Paths, object_type: str, sampling: float = 1.0
-) -> T.StructType:
-    """Schema of the records under ``paths``, completed with the core fields.
+def infer_schema(spark: SparkSession, paths: Paths, object_type: str) -> T.StructType:
+    """Schema of all records under ``paths``, completed with the core fields.
 
-    Costs a pass over the (sampled) records; save it and read later extracts with it. The
-    reader infers from a set of texts only when handed an RDD.
+    Costs a pass over the records, so that a field no matter how rare is found; save it and
+    read later extracts with it. The JVM reader infers from the texts, none reaches Python.
     """
-    texts = record_texts(spark, paths)
-    if sampling < 1.0:
-        texts = texts.sample(sampling, seed=1)
-    found = _reader(spark).xml(texts.rdd.map(itemgetter(0))).schema
+    encoders = spark._jvm.org.apache.spark.sql.Encoders
+    texts = getattr(record_texts(spark, paths)._jdf, "as")(encoders.STRING())
+    found = DataFrame(_reader(spark)._jreader.xml(texts), spark).schema
     return record_schema(found, object_type)
 
 
@@ -79,7 +75,9 @@ def read_records(
     """Records of one object type under a fixed schema: no inference pass, stable types.
 
     ``split=False`` reads with the xml source, which takes half the CPU time but one task per
-    file: the better choice for many files that are each smaller than a read partition.
+    file: the better choice for many files that are each smaller than a read partition. With
+    ``split`` a malformed record is left out, see :func:`bad_records`; the xml source loses
+    well-formed neighbours as well and shows a row of nulls instead.
     """
     if split:
         texts = record_texts(spark, paths, file_column)
@@ -97,12 +95,32 @@ def unwrap(df: DataFrame, object_type: str) -> DataFrame:
     return df.select(f"{K.XML_TYPE_PREFIX}{object_type}.*")
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(text: Column, schema: T.StructType) -> Column:
+    """The record of a text, with the text itself in a field of its own if it is malformed."""
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_xml(text, marked, {"rowTag": K.XML_ROW, "columnNameOfCorruptRecord": CORRUPT})
+
+
 def parse_records(df: DataFrame, text: str, object_type: str, schema: T.StructType) -> DataFrame:
-    """Records held one per row in the text column ``text``, followed by the other columns."""
+    """Records held one per row in the text column ``text``, followed by the other columns.
+
+    A malformed record gives no row; :func:`bad_records` returns them.
+    """
     others = [c for c in df.columns if c != text]
-    record = F.from_xml(F.col(text), schema, {"rowTag": K.XML_ROW}).alias("_record")
+    parsed = df.select(_parsed(F.col(text), schema).alias("_record"), *others)
     wrapper = f"_record.{K.XML_TYPE_PREFIX}{object_type}.*"
-    return df.select(record, *others).select(wrapper, *others)
+    return parsed.where(F.col(f"_record.{CORRUPT}").isNull()).select(wrapper, *others)
+
+
+def bad_records(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+    """``record`` and ``file`` of every malformed record under ``paths``, as it stands there."""
+    texts = record_texts(spark, paths, "file")
+    corrupt = F.col(f"_record.{CORRUPT}")
+    parsed = texts.select("record", "file", _parsed(F.col("record"), schema).alias("_record"))
+    return parsed.where(corrupt.isNotNull()).select("record", "file")
 
 
 def write_records(df: DataFrame, path: str, object_type: str, record: Column) -> None:

@@ -85,7 +85,7 @@ def folder(tmp_path_factory):
 
 
 def converted(df):
-    rows = convert_geometry(df).select(
+    rows = convert_geometry(df, "polynomial").select(
         F.expr("string(`Objecten:identificatie`._VALUE)").alias("id"), "geometry.*"
     )
     return {r["id"][-2:]: r for r in rows.collect()}
@@ -164,7 +164,7 @@ def test_completed_schema_keeps_all_fields_and_leading_zeros(spark, tmp_path):
 
 def test_single_interior_inferred_as_struct(spark, tmp_path):
     path = write(tmp_path, "a.xml", X.record("Pand", "1", X.vlak(SQUARE_3D, HOLE_3D)))
-    rows = convert_geometry(xml.read_inferred(spark, path, "Pand")).select("geometry.geo_polygon")
+    rows = convert_geometry(xml.read_inferred(spark, path, "Pand"), "polynomial").select("geometry.geo_polygon")
     assert_wkt(rows.first()[0], [[SQUARE, HOLE]])
 
 
@@ -175,13 +175,13 @@ def test_position_list_without_attributes_is_plain_text(spark, tmp_path):
         xml.read_inferred(spark, path, "Pand"),
         xml.read_records(spark, path, "Pand", schemas.core_schema("Pand")),
     ):
-        assert_wkt(convert_geometry(df).select("geometry.geo_polygon").first()[0], [[SQUARE]])
+        assert_wkt(convert_geometry(df, "polynomial").select("geometry.geo_polygon").first()[0], [[SQUARE]])
 
 
 def test_record_without_geometry_column_passes_unchanged(spark, tmp_path):
     path = write(tmp_path, "a.xml", X.record("Nummeraanduiding", "1"))
     df = xml.read_inferred(spark, path, "Nummeraanduiding")
-    assert convert_geometry(df).columns == df.columns
+    assert convert_geometry(df, "polynomial").columns == df.columns
 
 
 def test_versions_of_one_object_stay_apart(spark, tmp_path):
@@ -195,7 +195,7 @@ def test_versions_of_one_object_stay_apart(spark, tmp_path):
 def test_both_area_kinds_give_one_polygon(spark, tmp_path):
     both = X.vlak(SQUARE_3D) + X.polygon(HOLE_3D)
     path = write(tmp_path, "a.xml", X.record("Pand", "1", both))
-    df = convert_geometry(xml.read_records(spark, path, "Pand", schemas.core_schema("Pand")))
+    df = convert_geometry(xml.read_records(spark, path, "Pand", schemas.core_schema("Pand")), "polynomial")
     assert_wkt(df.select("geometry.geo_polygon").first()[0], [[SQUARE]])
 
 

@@ -147,5 +147,9 @@ def test_chunks_of_null_and_given_counts(spark):
     cut = chunk_geometry(shaped, width=4).drop("geometry").orderBy("k")
     assert cut.columns == ["k", "text_0", "text_1", "text_2"]
     assert [tuple(r) for r in cut.collect()] == [(1, None, None, None), (2, "abcd", "efgh", "ij")]
-    given_counts = chunk_columns(df, ["text"], 4, {"text": 1})
-    assert given_counts.columns == ["k", "text", "text_0"]
+    given_counts = chunk_columns(df, ["text"], 4, {"text": 3})
+    assert given_counts.columns == ["k", "text", "text_0", "text_1", "text_2"]
+    assert given_counts.count() == 2
+    for short in (1, 0):
+        with pytest.raises(Exception, match="characters"):
+            chunk_columns(df, ["text"], 4, {"text": short}).collect()

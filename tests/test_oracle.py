@@ -7,8 +7,8 @@ from compare import difference
 
 import __spark_entry__ as driver
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = driver.QUERIES
+SQL = driver.SQL
 
 
 def test_every_query_has_a_twin():

@@ -98,9 +98,16 @@ def test_orphans_with_a_hot_value(spark):
 
 
 def test_bridge_skips_blanks_and_repeats(spark):
-    df = spark.createDataFrame([(1, " a  b a "), (2, None), (3, "")], "k int, v string")
-    got = quality.bridge_table(df, "k", "v", ("k", "w")).collect()
-    assert sorted(map(tuple, got)) == [(1, "a"), (1, "b")]
+    df = spark.createDataFrame([(1, " a x , b, a x,"), (2, None), (3, " ")], "k int, v string")
+    arrays = df.select("k", F.split("v", ",").alias("v"))
+    for table in (df, arrays):
+        got = quality.bridge_table(table, "k", "v", ("k", "w")).collect()
+        assert sorted(map(tuple, got)) == [(1, "a x"), (1, "b")]
+
+
+def test_a_null_key_is_not_repeated(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (2, 1), (2, 1)], "k int, v int")
+    assert [tuple(r) for r in quality.check_unique(df, ["k", "v"]).collect()] == [(2, 1, 2)]
 
 
 def test_model_is_complete():
