@@ -69,8 +69,9 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     starts = F.array_sort(F.collect_set("start"))
     runs = stored(later.groupBy("doc_id", "key").agg(starts.alias("starts")), "runs")
     runs = runs.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "starts")
+    # The hint keeps one plan at every size: the texts move once.
     whole = base.withColumn("key", key).join(
-        runs, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left"
+        runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left"
     )
     lines = F.split("text", "\n")
     gone = F.array_distinct(
