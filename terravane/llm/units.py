@@ -87,8 +87,9 @@ def dedup_units(docs: DataFrame, words: int = WORDS) -> DataFrame:
     gone = F.array_sort(F.collect_set(F.struct("start", "stop")))
     cuts = stored(later.groupBy("doc_id", "key").agg(gone.alias("gone")), "cuts")
     cuts = cuts.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "gone")
+    # The hint keeps one plan at every size: the texts move once.
     whole = base.withColumn("key", key).join(
-        cuts, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left"
+        cuts.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left"
     )
     nothing = F.array().cast("array<int>")
     starts = F.concat(F.array(F.lit(0)), F.coalesce(F.col("gone.stop"), nothing))
