@@ -153,6 +153,15 @@ def first_of_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     texts = plain.select(ids, row, F.col(names["text"]).cast("string"))
     marks = stored(texts.mapInArrow(run, schema), "fingerprints")
     groups = stored(near_groups(marks, radius), "groups")
+    return first_rows(docs, marks, groups)
+
+
+def first_rows(docs: DataFrame, marks: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of ``docs``, the first of each group: ``marks`` has the ``doc_id``, ``row`` (hash of all
+    columns) and ``fp`` of every row, ``groups`` the ``group`` of every ``fp``."""
+    plain, names = renamed(docs)
+    row = F.xxhash64(*plain.columns)
+    ids = F.col(names["doc_id"]).cast("long")
     # The first row of each fingerprint, then of each group of fingerprints.
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = stored(marks.groupBy("fp").agg(F.min(rank).alias("first")), "firsts")

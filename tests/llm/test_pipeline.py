@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from compare import difference
+from test_operators import groups
 
 import corpus_pipeline
-from terravane.llm import decontaminate, queries
+from terravane.llm import copies, decontaminate, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -38,3 +40,54 @@ def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_match_their_sql(spark, sf_dir, name):
     assert difference(spark, queries.QUERIES[name], queries.SQL[name], sf_dir) is None
+
+
+def plain_shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_first_of_copies(docs):
+    """Ids that stay when all pairs are compared by their sets of 5-word shingles."""
+    sets = {k: plain_shingles(t) for k, t in docs.items()}
+    owners, common = defaultdict(list), Counter()
+    for k in sorted(sets):
+        for s in sets[k]:
+            common.update((k, other) for other in owners[s])
+            owners[s].append(k)
+    ids = sorted(sets)
+    near = [(ids.index(a), ids.index(b)) for (a, b), n in common.items() if 9 * n >= 4 * (len(sets[a]) + len(sets[b]))]
+    blank = [i for i, k in enumerate(ids) if not sets[k]]
+    root = groups(len(ids), near + [(blank[0], i) for i in blank[1:]])
+    return [k for i, k in enumerate(ids) if root[i] == i]
+
+
+def edited(rng, words, share):
+    return [f"w{rng.integers(10**6)}" if rng.random() < share else w for w in words]
+
+
+def test_near_copies_against_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    seeds = [[f"w{rng.integers(10**6)}" for _ in range(n)] for n in (60, 200, 900) for _ in range(8)]
+    for words in seeds:
+        docs[len(docs) + 10_000] = " ".join(words)
+        for share in (0.01, 0.02, 0.025, 0.03, 0.04, 0.06):
+            docs[len(docs) + 10_000] = " ".join(edited(rng, words, share))
+    docs[90_000], docs[90_001] = None, "Five  words of a\ntext"
+    docs[90_002] = "five words of a text"
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    kept = corpus_pipeline.keep_first_of_near_copies(spark, rows, SMALL)
+    assert sorted(r["doc_id"] for r in kept.collect()) == plain_first_of_copies(docs)
+
+
+def test_near_copies_in_chains_through_small_leaves(spark, monkeypatch):
+    monkeypatch.setattr(copies, "LEAF", 8)
+    rng = np.random.default_rng(9)
+    docs, words = {}, [f"w{rng.integers(10**6)}" for _ in range(300)]
+    for i in range(60):
+        docs[i] = " ".join(words)
+        words = edited(rng, words, 0.02)
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.keep_first_of_near_copies(spark, rows, SMALL).collect())
+    assert kept == plain_first_of_copies(docs)
