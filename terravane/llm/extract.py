@@ -18,17 +18,22 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 DROPPED = frozenset(
-    "head script style noscript template nav header footer aside form button select textarea input iframe "
+    "head script style noscript template nav header footer aside button select textarea input iframe "
     "svg canvas object audio video menu dialog math title link meta".split()
 )
-#: Words of a class, id or role that mark what is not the article.
+#: Words of a class, id or role that name what is not the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
-    "consent gdpr notice notices alert nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
+    "consent gdpr nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
     "sidebar aside complementary contentinfo comment comments reply replies disqus share sharing social related "
     "recommended newsletter subscribe subscription signup login popup modal overlay widget toolbar pagination "
     "pager search form hidden skip copyright".split()
 )
+#: Words that may stand beside them in such a name; with any other word it names something else.
+BESIDE = frozenset(
+    "area bar block body bottom box button container content entry group icons inner item items left links list "
+    "main notice notices outer panel post posts right section text top unit wrap wrapper".split()
+)
 #: Blocks that hold a run of text: the article is an element around such blocks.
 RUNS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre figcaption caption summary address tr td th thead tbody".split())
 CLOSED_BY = {
@@ -42,16 +47,19 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("body html table ul ol dl article section div blockquote main td th".split())
 
-_TOKEN = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
     """An element: its children are nodes and strings in page order."""
 
-    __slots__ = ("chars", "children", "density", "dropped", "link_chars", "link_tags", "name", "tags", "total")
+    __slots__ = (
+        "anchors", "chars", "children", "density", "doubtful", "dropped", "heads", "link_chars", "link_tags", "mains",
+        "name", "tags", "total",
+    )
 
-    def __init__(self, name: str, dropped: bool = False):
-        self.name, self.dropped, self.children = name, dropped, []
+    def __init__(self, name: str, dropped: bool = False, doubtful: bool = False):
+        self.name, self.dropped, self.doubtful, self.children = name, dropped, doubtful, []
 
 
 class Builder(HTMLParser):
@@ -69,7 +77,7 @@ class Builder(HTMLParser):
             self._end_within("p", SCOPES - {"p"})
         for other in CLOSED_BY.get(name, ()):
             self._end_within(other, frozenset(["ul", "ol", "dl", "table", "select"]))
-        node = Node(name, name in DROPPED or _marked(name, attrs))
+        node = Node(name, name in DROPPED or _hidden(attrs), name == "form" or _marked(attrs))
         self.open[-1].children.append(node)
         if name not in VOID:
             self.open.append(node)
@@ -101,20 +109,56 @@ class Builder(HTMLParser):
                 return
 
 
-def _marked(name: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(
+        key == "hidden"
+        or key == "aria-hidden" and value == "true"
+        or key == "style" and bool(value) and bool(re.search(r"display\s*:\s*none", value))
+        for key, value in attrs
+    )
+
+
+def _marked(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a whole class, id or role names what is not the article: ``comment-list`` does,
+    ``no-comments`` and ``social-science`` do not."""
     for key, value in attrs:
-        if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        if key == "style" and value and re.search(r"display\s*:\s*none", value):
-            return True
-        if key in ("class", "id", "role") and value and name not in ("article", "main", "body"):
-            if not MARKS.isdisjoint(_TOKEN.findall(value.lower())):
-                return True
+        if key in ("class", "id", "role"):
+            for token in (value or "").split():
+                words = {w.lower() for w in _WORD.findall(token)}
+                if not words.isdisjoint(MARKS) and words <= MARKS | BESIDE:
+                    return True
     return False
 
 
+def _doubts(nodes: list[Node]) -> None:
+    """Drop forms and elements with a mark where that cannot take the article away.
+
+    What holds an unmarked main stays. What holds an unmarked article or h1, or half of the
+    page's text, stays too, unless there is an unmarked article or main outside such elements;
+    even then an article or h1 with half of the text stays.
+    """
+    for node in reversed(nodes):
+        inner = [c for c in node.children if not isinstance(c, str)]
+        own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        node.chars = own + sum(c.chars for c in inner)
+        plain = not node.doubtful
+        node.mains = any(c.mains for c in inner) or plain and node.name == "main"
+        node.heads = any(c.heads for c in inner) or plain and node.name in ("article", "h1")
+        # Articles and mains that no doubtful element below the node holds.
+        node.anchors = sum(c.anchors for c in inner if not c.doubtful) + (plain and node.name in ("article", "main"))
+    outside, half = nodes[0].anchors, nodes[0].chars / 2
+    for node in nodes:
+        if not node.doubtful:
+            continue
+        large = node.chars > 0 and node.chars >= half
+        if node.mains or node.heads and (large or not outside) or large and not outside:
+            outside += node.anchors
+        else:
+            node.dropped = True
+
+
 def _order(root: Node) -> list[Node]:
-    """Nodes of the page that count, parents first; no recursion, pages nest as they like."""
+    """Nodes that are not dropped, parents first; no recursion, pages nest as they like."""
     nodes, at = [root], 0
     while at < len(nodes):
         nodes[at].children = [c for c in nodes[at].children if isinstance(c, str) or not c.dropped]
@@ -152,13 +196,15 @@ def _measure(nodes: list[Node]) -> None:
 def main_text(html: str | None) -> str:
     """Article of a page as blocks, one to a line.
 
-    Elements that are never part of an article go first. Of the rest the node whose children's
+    Elements that are never part of an article go first, and forms and elements whose class, id
+    or role names something else where the article is not in them. Of the rest the node whose children's
     composite densities have the largest sum is kept whole; on the way from the body to it, what
     stands beside is kept if its density is at least the least one on that way.
     """
     builder = Builder()
     builder.feed(html or "")
     builder.close()
+    _doubts(_order(builder.root))
     nodes = _order(builder.root)
     _measure(nodes)
     best = max((n for n in nodes if n.name not in INLINE | RUNS), key=lambda n: n.total)

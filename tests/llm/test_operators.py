@@ -488,3 +488,25 @@ def test_pages_of_the_table(spark):
         inner = re.search(r"<article>(.*?)(</article>|$)", html[r["page_id"]], re.S)[1]
         shown = " ".join(re.sub(r"<[^>]*>", " ", inner).split())
         assert len(" ".join(r["text"].split())) >= 0.9 * len(shown)
+
+
+BODY = "<h1>Headline of the page</h1>" + "".join(f"<p>{f'Paragraph {i} has words, more words. ' * 6}</p>" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<div class="site has-sidebar">{BODY}</div>',
+        f'<div id="page" class="no-comments"><article>{BODY}</article></div>',
+        f'<div class="share-enabled"><div class="social-science">{BODY}</div></div>',
+        f'<div class="form-page with-header">{BODY}</div>',
+        f'<article>{BODY.replace("<p>", """<p class="notice">""")}</article>',
+        f"<form><input>{BODY}</form>",
+        f'<form><div class="sidebar">Side stuff here</div><main>{BODY}</main></form>',
+        f'<div class="widget"><article>{BODY}</article></div><div class="comment-list">Nice text, thanks.</div>',
+        f'<article>{BODY}</article><section id="comments"><article class="comment-body">{"So nice. " * 400}</article></section>',
+    ],
+)
+def test_marks_take_no_article_away(html):
+    lines_of = re.findall(r"<(?:h1|p)[^>]*>(.*?)</", BODY)
+    assert extract.main_text(html).split("\n") == [" ".join(x.split()) for x in lines_of]
