@@ -47,6 +47,11 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("body html table ul ol dl article section div blockquote main td th".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+#: Beside the way to the main node an element is boilerplate if more than this share is links.
+MOST_LINKS = 1 / 3
+
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -198,8 +203,11 @@ def main_text(html: str | None) -> str:
 
     Elements that are never part of an article go first, and forms and elements whose class, id
     or role names something else where the article is not in them. Of the rest the node whose children's
-    composite densities have the largest sum is kept whole; on the way from the body to it, what
-    stands beside is kept if its density is at least the least one on that way.
+    composite densities have the largest sum is found, and the outermost article around it, or
+    else the outermost main, is kept whole. What stands beside the way from the body to it is
+    kept if its density is at least the least one on that way, and headings without links are.
+    Without an article or main the node itself is kept whole, and beside the way to it stays, of
+    whatever length, what is not mostly links.
     """
     builder = Builder()
     builder.feed(html or "")
@@ -212,7 +220,18 @@ def main_text(html: str | None) -> str:
     path = [best]
     while id(path[-1]) in parents:
         path.append(parents[id(path[-1])])
+    around = [n for n in path if n.name == "article" and not n.doubtful]
+    around = around or [n for n in path if n.name == "main" and not n.doubtful]
+    if around:
+        best = around[-1]
+        path = path[path.index(best) :]
     threshold, on_path = min(n.density for n in path), {id(n) for n in path[1:]}
+
+    def stays(beside: Node | str) -> bool:
+        if isinstance(beside, str):
+            return not around or len("".join(beside.split())) >= threshold
+        unlinked = beside.link_chars <= MOST_LINKS * beside.chars
+        return unlinked if not around else beside.density >= threshold or unlinked and beside.name in HEADINGS
     blocks, words = [], []
 
     def end_block() -> None:
@@ -231,13 +250,7 @@ def main_text(html: str | None) -> str:
         else:
             inside = item.children
             if id(item) in on_path:
-                inside = [
-                    c
-                    for c in inside
-                    if (len("".join(c.split())) if isinstance(c, str) else c.density) >= threshold
-                    or id(c) in on_path
-                    or c is best
-                ]
+                inside = [c for c in inside if id(c) in on_path or c is best or stays(c)]
             if item.name == "br":
                 words.append(" ")
             if item.name not in INLINE:

@@ -510,3 +510,28 @@ BODY = "<h1>Headline of the page</h1>" + "".join(f"<p>{f'Paragraph {i} has words
 def test_marks_take_no_article_away(html):
     lines_of = re.findall(r"<(?:h1|p)[^>]*>(.*?)</", BODY)
     assert extract.main_text(html).split("\n") == [" ".join(x.split()) for x in lines_of]
+
+
+def sections(n: int, letters: int) -> str:
+    return "<section>" + "".join(f"<p>{'abcde fghi ' * (letters // 11)}end {i}.</p>" for i in range(n)) + "</section>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<nav><a href=x>Home</a></nav><article>{}</article><footer>foot</footer>",
+        "<nav><a href=x>Home</a></nav><main><div>{}</div></main><div><a href=y>More of this</a></div>",
+        "<div><ul><li><a href=x>Home</a><li><a href=z>News of the day</a></ul><div>{}</div></div>",
+        "<article><div>{}</div></article><div><a href=y>More of this</a></div>",
+    ],
+)
+def test_nested_sections_stay_whole(page):
+    head = "A headline of the page, of forty letters"
+    body = f"<h1>{head}</h1>{sections(5, 400)}<h2>Short</h2>{sections(3, 90)}"
+    want = [" ".join(x.split()) for x in re.findall(r"<(?:h1|h2|p)>(.*?)</", body)]
+    assert extract.main_text(page.format(body)).split("\n") == want
+
+
+def test_headline_beside_the_article_stays():
+    html = f"<nav>n</nav><h1>Headline</h1><article>{sections(5, 400)}</article><div>Rights reserved</div>"
+    assert extract.main_text(html).split("\n")[0] == "Headline" and "Rights" not in extract.main_text(html)
