@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,19 @@ COSINE, TREES, LEAF, SEED = 0.9, 6, 1024, 42
 
 #: Overlap on each side of a split, in units of the spread ``1 / sqrt(dimensions)`` that the
 #: projections of unit vectors have; a level then leaves about 0.56 of a node on a side.
-OVERLAP = 0.15
+OVERLAP, SHRINK = 0.15, 0.56
+
+#: Share of the pairs with a cosine of just 0.9 that a level parts at this overlap, and the share
+#: of them that all trees together may miss, whatever the size of the table.
+PARTED, MISSED = 0.055, 0.002
+
+
+def trees_for(n: int) -> int:
+    """Trees for ``n`` vectors: at least :data:`TREES`, and so many more with the levels that
+    leaves of :data:`LEAF` need that no more than :data:`MISSED` of the pairs share no leaf."""
+    levels = max(0, math.ceil(math.log(max(n, 1) / LEAF) / -math.log(SHRINK)))
+    apart = 1 - (1 - PARTED) ** levels
+    return TREES if apart == 0 else max(TREES, math.ceil(math.log(MISSED) / math.log(apart)))
 
 
 def _units(vectors: pd.Series) -> np.ndarray:
@@ -27,7 +40,7 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def projections(classes: DataFrame, levels: int) -> DataFrame:
+def projections(classes: DataFrame, levels: int, trees: int) -> DataFrame:
     """For each ``id`` and tree the projections ``at`` on the tree's directions, one for a level."""
     schema = "id long, tree int, at array<float>"
 
@@ -35,10 +48,10 @@ def projections(classes: DataFrame, levels: int) -> DataFrame:
         for frame in frames:
             for size, part in frame.groupby(frame["embedding"].map(len)):
                 x = _units(part["embedding"])
-                for tree in range(TREES):
+                for tree in range(trees):
                     draw = np.random.default_rng([SEED, size, tree]).standard_normal((size, max(levels, 1)))
                     at = list((x @ draw).astype(np.float32))
-                    yield pd.DataFrame({"id": part["id"].to_numpy(), "tree": size * TREES + tree, "at": at})
+                    yield pd.DataFrame({"id": part["id"].to_numpy(), "tree": size * trees + tree, "at": at})
 
     return classes.select("id", "embedding").mapInPandas(run, schema)
 
@@ -74,13 +87,13 @@ def _compare(leaf: pd.DataFrame, cosine: float) -> pd.DataFrame:
 def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Links and groups of every row of ``rows`` (``vec_id``, ``embedding``).
 
-    Equal vectors are one node with a number of copies. Each of :data:`TREES` trees splits a
+    Equal vectors are one node with a number of copies. Each tree splits a
     node at its median on the level's random direction, with an overlap on both sides, until
     leaves fit; all vectors in a leaf are compared in double precision. Vectors of different
     length are in trees of their own. A leaf that no split takes apart is compared in pairs of
-    blocks. A tree of 100 leaves misses a third of the pairs
-    with a cosine of just 0.9 and a sixth of those with 0.95; six trees together miss 2 and
-    less than 0.1 in a thousand.
+    blocks. :func:`trees_for` takes as many trees as the size of the table needs: of the pairs
+    with a cosine of just 0.9 all of them together miss 2 in a thousand at most, derived from
+    the overlap, at every size, and fewer of closer ones.
 
     Returns ``vec_id``, ``n_links`` (other rows linked directly), ``component_id`` (smallest id
     reachable) and ``kept`` (``vec_id`` = ``component_id``). A vector that is null, empty, zero
@@ -99,12 +112,13 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
     node = F.xxhash64("key")
     classes = stored(classes.select(node.alias("id"), "key", "low", "copies", "embedding"), "classes")
-    levels = depth(classes.count(), LEAF, 0.56)
-    grown = stored(projections(classes, levels), "projections")
+    total = classes.count()
+    levels = depth(total, LEAF, SHRINK)
+    grown = stored(projections(classes, levels, trees_for(total)), "projections")
     reach = F.lit(OVERLAP)
     leaves = grow(grown, lambda level: F.element_at("at", level + 1), reach, reach, LEAF, levels)
     # A tree and the path in it, as one number that orders the leaves that a vector is in.
-    home = (F.col("tree").cast("long") * (1 << 50)) + F.xxhash64("node").bitwiseAND((1 << 50) - 1)
+    home = F.xxhash64("tree", "node")
     leaves = stored(leaves.select("tree", "node", "id", home.alias("home")), "leaves")
     homes = leaves.groupBy("id").agg(F.array_sort(F.collect_set("home")).alias("homes"))
     full = stored(classes.select("id", "copies", "embedding").join(homes, "id"), "full")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -394,6 +395,28 @@ def test_vectors_of_the_table(spark):
     check_vectors([p[0] for p in pairs], np.array([p[1] for p in pairs], float), rows)
 
 
+def test_trees_keep_the_recall_of_deep_tables(spark):
+    """Pairs of cosine 0.9 and 20 levels: those that some tree does not part."""
+    n, levels = vectors.LEAF * round(0.56**-20), 20
+    rng = np.random.default_rng(6)
+    a, b = rng.standard_normal((2, 2000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b = 0.9 * a + 0.19**0.5 * b / np.linalg.norm(b, axis=1)[:, None]
+    x = np.concatenate([a, b])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>")
+    at = np.zeros((vectors.trees_for(n), len(x), levels))
+    for r in vectors.projections(rows, levels, len(at)).collect():
+        at[r["tree"] % len(at), r["id"]] = r["at"]
+    one, other = at[:, :2000], at[:, 2000:]
+    parted = (np.minimum(one, other) <= -vectors.OVERLAP) & (np.maximum(one, other) > vectors.OVERLAP)
+    assert parted.any(axis=2).all(axis=0).mean() <= 0.005
+    assert vectors.trees_for(0) == vectors.trees_for(1024) == vectors.TREES
+    for size in (10**5, 10**6, 10**7, 10**8, 10**9):
+        deep = math.log(size / 1024) / -math.log(0.56)
+        assert (1 - 0.946**deep) ** vectors.trees_for(size) <= 0.002
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     values = [None, [], [0.0, 0.0], [1.0, None], [1.0, nan], [1.0, inf], [1.0, 2.0], [2.0, 4.0], [1.0, 2.0], [1.0], [3e38, 6e38 / 2]]
