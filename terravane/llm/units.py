@@ -16,21 +16,44 @@ from terravane.llm.tables import stored
 #: is shorter in all is never removed.
 WORDS = 6
 
-_SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|(?=\n)|\Z)[^\S\n]*\n?")
+#: Sentences end at a mark before white space, or at a mark of a script that writes none after
+#: it, with the marks and closing quotes that follow.
+_SENTENCE = re.compile(
+    r"[^\n]*?(?:[.!?]+(?=\s)|[\u3002\uff01\uff1f\uff0e\uff61\u104b\u17d4\u0964\u06d4\u061f]"
+    r"[\u3002\uff01\uff1f\uff0e\uff61.!?\u300d\u300f\u201d\u2019\uff09]*|(?=\n)|\Z)[^\S\n]*\n?"
+)
+
+#: Letters that stand for a word in scripts without spaces: two of Chinese or Japanese, four of
+#: Thai, Lao, Burmese or Khmer.
+_DENSE = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_LOOSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]")
+
+
+def size(unit: str) -> int:
+    """Words of a normalised unit; a word of a script without spaces counts by its letters."""
+    if unit.isascii() or not (_DENSE.search(unit) or _LOOSE.search(unit)):
+        return unit.count(" ") + 1
+    total = 0
+    for word in unit.split(" "):
+        letters = len(_DENSE.findall(word)) / 2 + len(_LOOSE.findall(word)) / 4
+        total += max(1, int(letters))
+    return total
 
 
 def units(text: str, words: int = WORDS) -> Iterator[tuple[int, int, str]]:
     """Consecutive spans that cover ``text``, with their normalised words."""
-    start, held, end = 0, [], 0
+    start, held, end, count = 0, [], 0, 0
     for found in _SENTENCE.finditer(text):
         end = found.end()
         if end == found.start():
             continue
         part = found.group()
-        held += part.lower().split()
-        if len(held) >= words or part.endswith("\n"):
+        more = part.lower().split()
+        held += more
+        count += size(" ".join(more)) if more else 0
+        if count >= words or part.endswith("\n"):
             yield start, end, " ".join(held)
-            start, held = end, []
+            start, held, count = end, [], 0
     if start < end:
         yield start, end, " ".join(held)
 
@@ -39,7 +62,7 @@ def dedup_units(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Documents without the sentences that an earlier document or place already had.
 
     A unit is a sentence of a line with the white space after it, joined to the next one while
-    it has fewer than ``words`` words; it compares in lower case with single spaces, by a 128
+    it has fewer than ``words`` words (see :func:`size`); it compares in lower case with single spaces, by a 128
     bit digest. Units of fewer words are kept. Of equal units the first in the order of
     ``doc_id`` (nulls last), a hash of the text, and offset is kept, wherever it is.
 
@@ -65,7 +88,7 @@ def dedup_units(docs: DataFrame, words: int = WORDS) -> DataFrame:
             for doc, mark, text in zip(*(batch.column(i) for i in range(3)), strict=True):
                 own = (doc.as_py(), mark.as_py())
                 for start, stop, unit in units(text.as_py(), words):
-                    if unit.count(" ") + 1 >= words:
+                    if size(unit) >= words:
                         digest = xxhash.xxh3_128_digest(unit.encode())
                         low = int.from_bytes(digest[:8], "little", signed=True)
                         rows.append((*own, start, stop, low, int.from_bytes(digest[8:], "little", signed=True)))

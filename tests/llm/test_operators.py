@@ -355,6 +355,19 @@ def test_a_passage_inside_other_sentences_goes(spark):
     assert passage in got[1] and "Sentence 3" not in got[2] and "quite other" in got[2]
 
 
+@pytest.mark.parametrize(
+    "shared",
+    ["這是兩份文件共有的一個很長的句子。", "これは二つの文書にある長い一文です。", "ประโยคนี้ยาวมากและปรากฏอยู่ในเอกสารทั้งสองฉบับ\n"],
+)
+def test_repeats_in_text_without_spaces_go(spark, shared):
+    docs = {1: f"自己的開頭在這裡寫下來了。{shared}甲乙丙。", 2: f"另外一個完全不同的開頭在此。\n{shared}短句。", 3: "短句。"}
+    docs[1] = docs[1] if not shared.endswith("\n") else f"หนึ่ง\n{shared}สอง"
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in units.dedup_units(rows).collect()}
+    assert got[1] == docs[1] and got[3] == "短句。"
+    assert got[2] == "另外一個完全不同的開頭在此。\n短句。"
+
+
 def test_units_odd_rows(odd_docs, no_docs):
     rows = units.dedup_units(odd_docs).collect()
     assert len(rows) == 12 and {r["text"] for r in rows if r["doc_id"] == 5} == {None}
