@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,19 +18,34 @@ SAMPLE = 3000
 #: N-grams of each language in the filters, at most; slots of the filters; probes per n-gram.
 GRAMS, SLOTS, PROBES = 30_000, 1 << 19, 2
 SIZES = (3, 4, 5)
-#: Code points handled at a time.
-PIECE = 1 << 20
+#: A language with fewer teaching documents keeps n-grams of a single one.
+FEW = 100
+#: Code points and rows handled at a time: what a worker holds beside its Arrow batch.
+PIECE, SLICE = 1 << 17, 256
 UNDETERMINED = "und"
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def _letters() -> np.ndarray:
+    """Which code points are letters: made once on the driver and sent along."""
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
+def _slices(column: pa.Array) -> Iterator[list]:
+    """The values of a column, a few rows at a time."""
+    for at in range(0, len(column), SLICE):
+        yield column.slice(at, SLICE).to_pylist()
+
+
 def gram_hashes(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams of ``texts`` and the text each belongs to.
+    """Hashes of the n-grams of ``texts`` and the text each belongs to."""
+    hashes, owners = zip(*_by_length(texts, letters), strict=True)
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
+def _by_length(texts: list[str], letters: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The hashes and owners of :func:`gram_hashes`, one length of n-grams after the other.
 
     Texts are lower-cased, all but letters is a gap, and an n-gram holds no two gaps in a row.
     """
@@ -47,14 +62,12 @@ def gram_hashes(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.n
     keep[np.cumsum([0, *map(len, parts[:-1])])] = True
     codes, owner, word = codes[keep], owner[keep], word[keep]
     values = np.where(word, codes, 0).astype(np.uint64) + np.uint64(1)
-    hashes, owners, rolled = [], [], values
+    rolled = values
     for n in range(2, max(SIZES) + 1):
         rolled = rolled[:-1] * np.uint64(0x100000001B3) + values[n - 1 :]
         if n in SIZES:
             same = owner[: len(rolled)] == owner[n - 1 :]
-            hashes.append(rolled[same])
-            owners.append(owner[: len(rolled)][same])
-    return np.concatenate(hashes), np.concatenate(owners)
+            yield rolled[same], owner[: len(rolled)][same]
 
 
 def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
@@ -104,15 +117,15 @@ class Filters:
         width = self.table.shape[1]
         counts = np.zeros((len(texts), width, 256), np.int64)
         for rows, group in _pieces(texts):
-            hashes, owners = gram_hashes(group, letters)
-            first, *rest = self.slots(hashes)
-            for byte in range(width):
-                column = self.table[:, byte]
-                mask = column[first]
-                for slots in rest:
-                    mask &= column[slots]
-                found = np.bincount(owners * 256 + mask, minlength=len(group) * 256)
-                np.add.at(counts[:, byte], rows, found.reshape(len(group), 256))
+            for hashes, owners in _by_length(group, letters):
+                first, *rest = self.slots(hashes)
+                for byte in range(width):
+                    column = self.table[:, byte]
+                    mask = column[first]
+                    for slots in rest:
+                        mask &= column[slots]
+                    found = np.bincount(owners * 256 + mask, minlength=len(group) * 256)
+                    np.add.at(counts[:, byte], rows, found.reshape(len(group), 256))
         bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
         hits = (counts @ bits).reshape(len(texts), -1)[:, : len(self.languages)]
         total = counts[:, 0].sum(axis=1)
@@ -131,53 +144,56 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Filters | None:
     """Filters from ``text`` and ``lang`` of labelled documents that are not held out.
 
     Each language learns from about ``sample`` documents picked by a hash of their id, and keeps
-    its most frequent n-grams: seen in at least two of them, and at least a tenth as frequent as
-    in the language that has them most, so that a passage in another tongue does not count.
-    What reaches the driver is bounded by the two parameters. None if nothing can be learned.
+    its most frequent n-grams: seen in at least two of them (in one, if it has fewer than
+    :data:`FEW`), and at least a tenth as frequent as in the language that has them most, so
+    that a passage in another tongue does not count. What reaches the driver is
+    :data:`GRAMS` hashes a language. None if nothing can be learned.
     """
+    spark = docs.sparkSession
     known = docs.select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")
     ).where("doc_id is not null and text is not null and lang is not null")
     known = known.where(~held_out())
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
-    pick = F.lit(False)
-    for lang, n in sizes.items():
-        limit = min(1.0, sample / n)
-        draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(limit * 1_000_000)
-        pick = pick | ((F.col("lang") == lang) & draw)
+    sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("known")), "languages")
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000))
+    found = known.join(sizes, "lang").where(draw * F.col("known") < sample * 1_000_000).select("text", "lang")
+    sent = spark.sparkContext.broadcast(_letters())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = _letters()
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                for rows, group in _pieces(texts):
-                    hashes, owners = gram_hashes(group, letters)
-                    owners = np.array(rows)[owners]
-                    seen, place, n = np.unique(hashes, return_inverse=True, return_counts=True)
-                    once = np.unique(place * len(texts) + owners)
-                    docs_with = np.bincount(once // len(texts))
-                    columns = [pa.array([lang] * len(seen)), *map(pa.array, (seen.view(np.int64), n, docs_with))]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n", "docs"])
-
-    found = known.where(pick).select("text", "lang")
-    found = found.mapInArrow(count, "lang string, gram long, n long, docs long")
-    sums = found.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+            for texts, langs in zip(_slices(batch.column(0)), _slices(batch.column(1)), strict=True):
+                for lang in set(langs):
+                    own = [t for t, of in zip(texts, langs, strict=True) if of == lang]
+                    for rows, group in _pieces(own):
+                        for hashes, owners in _by_length(group, sent.value):
+                            yield _counted(lang, hashes, np.array(rows)[owners])
+
+    counts = found.mapInArrow(count, "lang string, gram long, n long, docs long")
+    sums = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counted = stored(sums, "grams")
-    totals = {r[0]: r[1] for r in counted.groupBy("lang").agg(F.sum("n")).collect()}
-    if not totals:
-        return None
-    rate = F.col("n") / F.element_at(F.create_map(*[F.lit(x) for p in totals.items() for x in p]), F.col("lang"))
-    rates = counted.withColumn("rate", rate)
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    rates = counted.join(stored(totals, "totals"), "lang").withColumn("rate", F.col("n") / F.col("total"))
     best = rates.groupBy("gram").agg(F.max("rate").alias("best"))
-    own = stored(rates.join(best, "gram").where("docs >= 2 and rate >= 0.1 * best"), "own-grams")
-    grams = {}
-    for lang in totals:
-        top = own.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").select("gram").limit(GRAMS)
-        grams[lang] = np.array([r[0] for r in top.collect()], np.int64).view(np.uint64)
-    return Filters.build(grams)
+    least = F.when(F.col("known") < FEW, 1).otherwise(2)
+    own = rates.join(best, "gram").join(sizes, "lang").where((F.col("docs") >= least) & F.expr("rate >= 0.1 * best"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    top = own.withColumn("_rank", rank).where(F.col("_rank") <= GRAMS).select("lang", "gram").toPandas()
+    if not len(top):
+        return None
+    return Filters.build({lang: of.to_numpy(np.int64).view(np.uint64) for lang, of in top.groupby("lang")["gram"]})
+
+
+def _counted(lang: str, hashes: np.ndarray, owners: np.ndarray) -> pa.RecordBatch:
+    """Occurrences of each hash and the number of texts that hold it."""
+    order = np.lexsort((owners, hashes))
+    hashes, owners = hashes[order], owners[order]
+    fresh = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
+    other = fresh | np.append(True, owners[1:] != owners[:-1])[: len(hashes)]
+    first = np.flatnonzero(fresh)
+    n = np.diff(np.append(first, len(hashes)))
+    docs = np.diff(np.append(np.flatnonzero(other).searchsorted(first), other.sum()))
+    columns = [pa.array([lang] * len(first), pa.string()), *map(pa.array, (hashes[first].view(np.int64), n, docs))]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n", "docs"])
 
 
 def _classified(texts: list[str | None], filters: Filters | None, letters: np.ndarray) -> tuple[list, list]:
@@ -195,12 +211,16 @@ def _classified(texts: list[str | None], filters: Filters | None, letters: np.nd
 def _mapped(docs: DataFrame, filters: Filters | None, schema, result: Callable) -> DataFrame:
     """``result(batch, languages, scores)`` for every batch of ``docs``."""
     plain = filters and (filters.languages, filters.table)
-    sent, at = docs.sparkSession.sparkContext.broadcast(plain), docs.columns.index("text")
+    sent = docs.sparkSession.sparkContext.broadcast((plain, _letters()))
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters, known = _letters(), sent.value and Filters(*sent.value)
+        plain, letters = sent.value
+        known = plain and Filters(*plain)
         for batch in batches:
-            yield result(batch, *_classified(batch.column(at).to_pylist(), known, letters))
+            for start in range(0, len(batch), SLICE):
+                part = batch.slice(start, SLICE)
+                yield result(part, *_classified(part.column(at).to_pylist(), known, letters))
 
     return docs.mapInArrow(run, schema)
 
