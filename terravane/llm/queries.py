@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terravane.llm import decontaminate, extract, language, lines, mixing, quality, sharding, simhash, units, vectors
+from terravane.llm import (
+    decontaminate,
+    extract,
+    language,
+    lines,
+    mixing,
+    quality,
+    search,
+    sharding,
+    simhash,
+    tokens,
+    units,
+    vectors,
+    whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +73,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_main_text,
         op10_simhash,
+        op11_token_counts,
+        op12_lexical_search,
+        op13_whitening,
     )
 }
 
@@ -129,5 +159,37 @@ SELECT doc_id, size, source_size, target,
        (CASE WHEN source_size > 0 THEN words // source_size * size
           + greatest(0, least(size, words % source_size - before)) ELSE 0 END)::BIGINT AS taken
 FROM placed
-"""
+""",
+    "op12_lexical_search": r"""
+WITH terms AS (
+  SELECT doc_id, row_number() OVER () AS doc, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), lengths AS (
+  SELECT doc, doc_id, count(*) AS n FROM terms GROUP BY doc, doc_id
+), totals AS (
+  SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM lengths
+), counted AS (
+  SELECT doc, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY doc, term
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, totals GROUP BY term, big_n
+), valued AS (
+  SELECT doc, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * big_n) // big_l))) AS value
+  FROM counted JOIN lengths USING (doc) JOIN weighed USING (term), totals
+), scored AS (
+  SELECT item_id, doc, doc_id, sum(value * times)::BIGINT AS score
+  FROM valued JOIN (SELECT item_id, term, count(*) AS times FROM asked GROUP BY item_id, term) USING (term)
+  GROUP BY item_id, doc, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+""",
 }
