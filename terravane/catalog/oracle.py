@@ -171,6 +171,29 @@ SELECT {_number("c_custkey")} AS identificatie, CAST(1 AS BIGINT) AS "historieId
   CASE WHEN c_custkey % 7 <> 0 THEN {_position_text("c_custkey", OUTER)} END AS outer_text
 FROM customer"""
 
+SQL["xml_bad_records"] = """
+SELECT o_orderkey, o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 AS malformed FROM orders"""
+
+_HAS_AREA, _HAS_HOLE = "c_custkey % 7 <> 0", "c_custkey % 7 <> 0 AND c_custkey % 5 = 0"
+
+SQL["xml_scan_variant"] = f"""
+SELECT {_identifier("s_suppkey")} AS identificatie, s_suppkey % 3 AS versie, {_point_text("s_suppkey")} AS pos,
+  CAST(NULL AS BIGINT) AS dimensie, CAST(NULL AS VARCHAR) AS outer_text, 0 AS n_inner,
+  CAST(NULL AS VARCHAR) AS inner_text FROM supplier
+UNION ALL
+SELECT {_identifier("c_custkey")}, c_custkey % 3, NULL, CASE WHEN {_HAS_AREA} THEN 3 END,
+  CASE WHEN {_HAS_AREA} THEN {_position_text("c_custkey", OUTER)} END, CASE WHEN {_HAS_HOLE} THEN 1 ELSE 0 END,
+  CASE WHEN {_HAS_HOLE} THEN {_position_text("c_custkey", INNER)} END FROM customer"""
+
+SQL["schema_drift"] = """
+WITH found AS (
+  SELECT unnest(['naam', 'oppervlakte', 'status/_sinds', 'nieuw']) AS element,
+         unnest(['repeated', 'retyped', 'added', 'added']) AS kind,
+         unnest([p_partkey % 10 = 1, p_partkey % 7 = 2, p_partkey % 5 = 3, p_partkey % 3 = 0]) AS here
+  FROM part)
+SELECT 'Objecten:Woonplaats/Objecten:' || element AS path, kind, count(*) AS n_records
+FROM found WHERE here GROUP BY ALL"""
+
 SQL["schema_roundtrip"] = """
 SELECT l_returnflag, l_linestatus, count(*) AS n_rows,
   CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sum_qty, max(l_shipdate) AS last_ship

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terravane import constants as K
 from terravane.catalog import shapes as S
@@ -18,7 +19,7 @@ from terravane.operators.geometry import complete_geometry, convert_geometry, ge
 from terravane.plans import model
 from terravane.plans.dimension import geo_dimension as stored_geo_dimension
 from terravane.plans.ingest import object_table
-from terravane.sources import files, schemas, xml
+from terravane.sources import drift, files, schemas, variants, xml
 from terravane.sources.workspace import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +97,63 @@ def xml_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def xml_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extract of all orders, some without an inner or their own closing tag: every record with
+    whether it is malformed, good and bad ones from one pass."""
+    record = F.struct(F.expr(S.record("o_orderkey", "polygon")).alias("Objecten:Pand"))
+    text = F.to_xml(record, {"rowTag": K.XML_ROW, "validateName": "false"})
+    inner = F.when(F.col("o_orderkey") % 13 == 0, F.replace(text, F.lit(f"</{K.ID_FIELD}>"), F.lit(""))).otherwise(text)
+    outer = F.when(F.col("o_orderkey") % 17 == 0, F.replace(inner, F.lit(f"</{K.XML_ROW}>"), F.lit(""))).otherwise(inner)
+    folder = work_folder(spark, "xml-broken")
+    S.table(spark, sf_dir, "orders").select(outer.alias("value")).write.text(folder)
+    rows = xml.parsed(xml.record_texts(spark, folder, "file"), "record", schemas.core_schema("Pand"))
+    number = F.regexp_extract(xml.CORRUPT, r"0599(\d{12})", 1)
+    found = F.coalesce(F.col(f"`Objecten:Pand`.{_id_text()}").substr(5, 12), number)
+    return rows.select(found.cast("bigint").alias("o_orderkey"), F.col(xml.CORRUPT).isNotNull().alias("malformed"))
+
+
+@query
+def xml_scan_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two kinds of record read without a schema: points of suppliers, polygons of customers."""
+    found = []
+    for name, key, shape in (("supplier", "s_suppkey", "punt"), ("customer", "c_custkey", "polygon")):
+        folder = work_folder(spark, f"xml-{name}")
+        record = F.expr(S.record(key, shape, version=f"{key} % 3"))
+        xml.write_records(S.table(spark, sf_dir, name), folder, "Verblijfsobject", record)
+        found.append(folder)
+    rows = variants.read_variants(spark, found, "Verblijfsobject")
+    area, ring = (K.GEOMETRY_FIELD, "gml:Polygon"), ("gml:LinearRing", "gml:posList")
+    return rows.select(
+        variants.identifier("record").alias("identificatie"),
+        variants.field("fields", *K.HISTORY_FIELDS, kind="bigint").alias("versie"),
+        variants.field("fields", K.GEOMETRY_FIELD, "Objecten:punt", "gml:Point", "gml:pos").alias("pos"),
+        variants.field("fields", *area, "_srsDimension", kind="bigint").alias("dimensie"),
+        variants.text("fields", *area, "gml:exterior", *ring).alias("outer_text"),
+        F.size(variants.listed("fields", *area, "gml:interior")).alias("n_inner"),
+        variants.text(F.get(variants.listed("fields", *area, "gml:interior"), 0), *ring).alias("inner_text"),
+    )
+
+
+@query
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract of all parts against the schema saved from an earlier one: an element more, one
+    that repeats, one whose numbers became text, and one that became a structure."""
+    folder, k = work_folder(spark, "xml-drift"), "p_partkey"
+    more = {
+        "Objecten:naam": "if(p_partkey % 10 = 1, array(p_name, p_brand), array(p_name))",
+        "Objecten:oppervlakte": "if(p_partkey % 7 = 2, concat('x', p_size), string(p_size))",
+        "Objecten:status": "if(p_partkey % 5 = 3, named_struct('_VALUE', NULL, '_sinds', '2022'), named_struct('_VALUE', p_type, '_sinds', NULL))",
+        "Objecten:nieuw": "if(p_partkey % 3 = 0, named_struct('Objecten:deel', p_brand), NULL)",
+    }
+    xml.write_records(S.table(spark, sf_dir, "part"), folder, "Woonplaats", F.expr(S.record(k, "multivlak", **more)))
+    saved = "`Objecten:Woonplaats` struct<`Objecten:naam`: string, `Objecten:oppervlakte`: bigint, `Objecten:status`: string>"
+    schema = schemas.record_schema(T.StructType.fromDDL(saved), "Woonplaats")
+    path = work_folder(spark, "schema-drift")
+    schemas.save_schema(spark, schema, path)
+    return drift.schema_drift(spark, folder, schemas.load_schema(spark, path))
+
+
 @query
 def schema_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "schema")

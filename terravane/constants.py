@@ -31,6 +31,7 @@ XML_TYPE_PREFIX = "Objecten:"
 ID_FIELD = "Objecten:identificatie"
 HISTORY_FIELD = "Objecten:voorkomen"
 HISTORY_PATH = ("Historie:Voorkomen", "Historie:voorkomenidentificatie")
+HISTORY_FIELDS = (HISTORY_FIELD, *HISTORY_PATH)
 GEOMETRY_FIELD = "Objecten:geometrie"
 
 # --- fixed values: geometry output -------------------------------------------------------

@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from terravane import constants as K
 from terravane.functions.names import batch_of
 from terravane.operators.geometry import convert_geometry
-from terravane.sources.files import write_parts, write_table
+from terravane.sources.files import read_table, remove_folder, write_parts, write_table
 from terravane.sources.schemas import load_schema, save_schema
-from terravane.sources.xml import Paths, bad_records, infer_schema, read_records
+from terravane.sources.workspace import work_folder
+from terravane.sources.xml import Paths, bad, good, infer_schema, parsed, read_records, record_texts, unwrap
 
 
 def prepare_schema(
@@ -47,15 +48,20 @@ def ingest(
     """Write ``<folder>/<object type>``; the large types as ``part=<i>`` folders.
 
     A part holds ``batch_files`` consecutively numbered source files. All parts are written
-    by one job, the rows of a part together, a large part over several tasks. Malformed records
-    go to ``<folder>/_bad/<object type>``.
+    by one job, the rows of a part together, a large part over several tasks. Every record is
+    parsed once, into a table in the shared folder that the object table and the malformed records,
+    ``<folder>/_bad/<object type>``, are both taken from and that is removed in the end.
     """
-    write_table(bad_records(spark, paths, schema), f"{folder}/_bad/{object_type}")
+    stage = work_folder(spark, f"parsed-{object_type}")
+    write_table(parsed(record_texts(spark, paths, "file"), "record", schema), stage)
+    rows = read_table(spark, stage)
+    write_table(bad(rows), f"{folder}/_bad/{object_type}")
     target = f"{folder}/{object_type}"
+    df = convert_geometry(unwrap(good(rows), object_type, F.col("file").alias("_source_file")), method)
     if object_type not in K.BATCHED_TYPES:
-        write_table(object_table(spark, paths, object_type, schema, method), target)
-        return target
-    df = object_table(spark, paths, object_type, schema, method, "_source_file")
-    part = batch_of(F.col("_source_file"), batch_files)
-    write_parts(df.withColumn("part", part).drop("_source_file"), target, F.col("part"), rebalance=True)
+        write_table(df.drop("_source_file"), target)
+    else:
+        part = batch_of(F.col("_source_file"), batch_files)
+        write_parts(df.withColumn("part", part).drop("_source_file"), target, F.col("part"), rebalance=True)
+    remove_folder(spark, stage)
     return target

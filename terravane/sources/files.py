@@ -60,3 +60,9 @@ def write_parts(df: DataFrame, folder: str, part: Column, rebalance: bool = Fals
 
 def part_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete ``folder`` in whatever store Spark finds it; nothing happens if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

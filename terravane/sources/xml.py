@@ -26,22 +26,34 @@ def _list(paths: Paths) -> list[str]:
 
 
 def record_texts(
-    spark: SparkSession, paths: Paths, file_column: str | None = None
+    spark: SparkSession, paths: Paths, file_column: str | None = None, split: bool = True
 ) -> DataFrame:
-    """Every record as one text, ``record``, with the file split between tasks.
+    """Every record as one text, ``record``, from its opening tag to its closing one.
 
     The xml source gives a file to one task, however large. Read as text whose line end is the
-    closing tag, a file is split like any other, and each piece holds one record behind
-    whatever came before it.
+    closing tag, a file is split like any other, and a piece holds one record behind whatever
+    came before it; where it holds several, all but the last lack that closing tag (another
+    spelling of it is an error). With ``split=False`` a file is one text, cut at its tags. Either
+    way a record that does not end is a text of its own, up to the next one, so that it takes
+    none of its neighbours along.
     """
     opening, closing = f"<{K.XML_ROW}", f"</{K.XML_ROW}>"
-    text = spark.read.option("lineSep", closing).text(_list(paths))
-    # a piece with two openings means that a record ended in some other spelling of the tag
-    record = f"""CASE WHEN octet_length(substring_index(value, '{opening}', 1)) + {len(opening)}
-            + octet_length(substring_index(value, '{opening}', -1)) = octet_length(value)
-        THEN concat('{opening}', substring_index(value, '{opening}', -1), '{closing}')
-        ELSE raise_error('a record does not end in {closing}: read with split=False') END"""
-    kept = [F.expr(record).alias("record")]
+    if split:
+        text = spark.read.option("lineSep", closing).text(_list(paths))
+    else:
+        text = spark.read.text(_list(paths), wholetext=True)
+    value = f"concat(value, '{closing}')" if split else "value"
+    pieces = f"filter(split({value}, '(?=<{K.XML_ROW}[\\\\s>])'), p -> startswith(p, '{opening}'))"
+    whole = f"regexp_extract(p, '(?s)^.*?</{K.XML_ROW}\\\\s*>', 0)"
+    records = f"transform({pieces}, p -> if({whole} = '', p, {whole}))"
+    if split:
+        other = f"raise_error('a record does not end in {closing}: read with split=False')"
+        records = f"transform({records}, r -> if(r LIKE '%</{K.XML_ROW}%' AND NOT endswith(r, '{closing}'), {other}, r))"
+        last = f"substring_index(value, '{opening}', -1)"
+        single = f"octet_length(substring_index(value, '{opening}', 1)) + {len(opening)} + octet_length({last})"
+        records = f"""CASE WHEN {single} = octet_length(value) THEN array(concat('{opening}', {last}, '{closing}'))
+            ELSE {records} END"""
+    kept = [F.explode(F.expr(records)).alias("record")]
     if file_column is not None:
         kept.append(F.col("_metadata.file_path").alias(file_column))
     return text.where(F.contains("value", F.lit(opening))).select(*kept)
@@ -56,7 +68,8 @@ def infer_schema(spark: SparkSession, paths: Paths, object_type: str) -> T.Struc
     encoders = spark._jvm.org.apache.spark.sql.Encoders
     texts = getattr(record_texts(spark, paths)._jdf, "as")(encoders.STRING())
     found = DataFrame(_reader(spark)._jreader.xml(texts), spark).schema
-    return record_schema(found, object_type)
+    sound = T.StructType([f for f in found.fields if f.name != CORRUPT])
+    return record_schema(sound, object_type)
 
 
 def read_inferred(spark: SparkSession, paths: Paths, object_type: str) -> DataFrame:
@@ -74,34 +87,43 @@ def read_records(
 ) -> DataFrame:
     """Records of one object type under a fixed schema: no inference pass, stable types.
 
-    ``split=False`` reads with the xml source, which takes half the CPU time but one task per
-    file: the better choice for many files that are each smaller than a read partition. With
-    ``split`` a malformed record is left out, see :func:`bad_records`; the xml source loses
-    well-formed neighbours as well and shows a row of nulls instead.
+    ``split=False`` hands whole files to the tasks, for files whose records end in another
+    spelling of the closing tag. Both ways go through one parser and give the same rows: a
+    malformed record is left out, see :func:`bad_records`.
     """
-    if split:
-        texts = record_texts(spark, paths, file_column)
-        return parse_records(texts, "record", object_type, schema)
-    df = _reader(spark).schema(schema).load(_list(paths))
-    if file_column is None:
-        return unwrap(df, object_type)
-    return df.select(
-        f"{K.XML_TYPE_PREFIX}{object_type}.*", F.col("_metadata.file_path").alias(file_column)
-    )
+    texts = record_texts(spark, paths, file_column, split)
+    return parse_records(texts, "record", object_type, schema)
 
 
-def unwrap(df: DataFrame, object_type: str) -> DataFrame:
-    """Fields of the ``Objecten:<type>`` wrapper as columns."""
-    return df.select(f"{K.XML_TYPE_PREFIX}{object_type}.*")
+def unwrap(df: DataFrame, object_type: str, *others: str) -> DataFrame:
+    """Fields of the ``Objecten:<type>`` wrapper as columns, then the other ones."""
+    return df.select(f"{K.XML_TYPE_PREFIX}{object_type}.*", *others)
 
 
 CORRUPT = "_corrupt_record"
 
 
-def _parsed(text: Column, schema: T.StructType) -> Column:
-    """The record of a text, with the text itself in a field of its own if it is malformed."""
+def parsed(df: DataFrame, text: str, schema: T.StructType, **options: str) -> DataFrame:
+    """The fields of ``schema`` for each record in the text column ``text``, then the column
+    ``_corrupt_record``, which holds the text of a malformed record, and the other columns.
+
+    The parser stands inside a generator: a filter on one of its fields is not pushed through
+    it, which would parse every record once more.
+    """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return F.from_xml(text, marked, {"rowTag": K.XML_ROW, "columnNameOfCorruptRecord": CORRUPT})
+    read = {"rowTag": K.XML_ROW, "columnNameOfCorruptRecord": CORRUPT, **options}
+    others = [c for c in df.columns if c != text]
+    return df.select(F.inline(F.array(F.from_xml(F.col(text), marked, read))), *others)
+
+
+def good(rows: DataFrame) -> DataFrame:
+    """The well-formed records of :func:`parsed`."""
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def bad(rows: DataFrame) -> DataFrame:
+    """``record`` (as it stands in the file) and ``file`` of the malformed ones."""
+    return rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"), "file")
 
 
 def parse_records(df: DataFrame, text: str, object_type: str, schema: T.StructType) -> DataFrame:
@@ -109,18 +131,12 @@ def parse_records(df: DataFrame, text: str, object_type: str, schema: T.StructTy
 
     A malformed record gives no row; :func:`bad_records` returns them.
     """
-    others = [c for c in df.columns if c != text]
-    parsed = df.select(_parsed(F.col(text), schema).alias("_record"), *others)
-    wrapper = f"_record.{K.XML_TYPE_PREFIX}{object_type}.*"
-    return parsed.where(F.col(f"_record.{CORRUPT}").isNull()).select(wrapper, *others)
+    return unwrap(good(parsed(df, text, schema)), object_type, *[c for c in df.columns if c != text])
 
 
-def bad_records(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+def bad_records(spark: SparkSession, paths: Paths, schema: T.StructType, split: bool = True) -> DataFrame:
     """``record`` and ``file`` of every malformed record under ``paths``, as it stands there."""
-    texts = record_texts(spark, paths, "file")
-    corrupt = F.col(f"_record.{CORRUPT}")
-    parsed = texts.select("record", "file", _parsed(F.col("record"), schema).alias("_record"))
-    return parsed.where(corrupt.isNotNull()).select("record", "file")
+    return bad(parsed(record_texts(spark, paths, "file", split), "record", schema))
 
 
 def write_records(df: DataFrame, path: str, object_type: str, record: Column) -> None:
