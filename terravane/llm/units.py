@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terravane.llm.tables import stored
 
@@ -58,6 +59,17 @@ def units(text: str, words: int = WORDS) -> Iterator[tuple[int, int, str]]:
         yield start, end, " ".join(held)
 
 
+@F.arrow_udf(T.StringType())
+def cut_out(text: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
+    """The spans of each text, joined: one pass over a text, whatever the number of spans."""
+    result = []
+    for whole, first, last in zip(text, starts, stops, strict=True):
+        own = whole.as_py()
+        spans = () if own is None else zip(first.as_py(), last.as_py(), strict=True)
+        result.append(None if own is None else "".join(own[a:b] for a, b in spans))
+    return pa.array(result, pa.string())
+
+
 def dedup_units(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Documents without the sentences that an earlier document or place already had.
 
@@ -120,10 +132,11 @@ def dedup_units(docs: DataFrame, words: int = WORDS) -> DataFrame:
     gaps = F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
     kept = F.filter(gaps, lambda s: s["start"] < s["stop"])
     named = whole.select("doc_id", "text", "gone", F.when(F.col("text").isNotNull(), kept).alias("kept"))
-    parts = F.transform("kept", lambda s: F.substring(F.col("text"), s["start"] + 1, s["stop"] - s["start"]))
+    # Only texts with something to cut pass through Python.
+    cut = cut_out(F.when(F.col("gone").isNotNull(), F.col("text")), F.col("kept.start"), F.col("kept.stop"))
     return named.select(
         "doc_id",
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(parts, "")).alias("text"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(cut).alias("text"),
         F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"),
         "kept",
     )
