@@ -68,7 +68,9 @@ def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None) -> Dat
         key.alias("_key"),
         F.xxhash64(*plain.columns).alias("_row"),
     )
-    sizes = plain.groupBy(F.col(names["source"]).alias("source")).agg(F.sum(size).alias("source_size"))
+    # Stored: the sums, the ranges and the rows dealt out by them all need the words, counted once.
+    rows = stored(rows, "sized")
+    sizes = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     goals = stored(targets(sizes), "targets")
     ranked = rows.join(goals, F.col("_source").eqNullSafe(goals["source"])).drop(goals["source"])
     ordered = in_order(ranked, "rank", "_last", "_key", "size", "_row")
