@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import time
 import zlib
 from collections import defaultdict
 from html import unescape
@@ -11,6 +12,8 @@ from html import unescape
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terravane.llm import (
@@ -308,6 +311,34 @@ def test_lines_extend_runs_and_repeat_within_a_document(spark):
     assert got[2] == "x\ny" and got[3] == "b\nc" and got[5] == ""
 
 
+@pytest.mark.parametrize("width", [1, 2, 3, 5])
+def test_lines_of_few_kinds_against_brute_force(spark, width):
+    rng = np.random.default_rng(width)
+    rows = {i: "\n".join(rng.choice(list("abcd"), rng.integers(1, 25))) for i in range(80)}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.dedup_lines(docs, width).collect()}
+    assert got == plain_line_dedup(rows, width)
+
+
+def test_every_window_has_a_selected_line_and_few_are_selected(spark):
+    text = "\n".join(f"line {i}" for i in range(3000))
+    docs = spark.createDataFrame([(1, text, 1)], "doc_id long, text string, key long")
+    rows = lines.fingerprints(docs, 5).collect()
+    assert sorted(r["pos"] - w["back"] for r in rows for w in r["around"]) == list(range(2996))
+    assert len(rows) == len({r["pos"] for r in rows}) and 0.28 < len(rows) / 3000 < 0.38  # 2 / (5 + 1)
+
+
+def test_lines_of_long_texts_in_linear_time(spark):
+    def docs(n):
+        body = "\n".join(f"line number {i} of words" for i in range(n))
+        return spark.createDataFrame([(1, body), (2, f"{body}\nown")], "doc_id long, text string")
+
+    rows = lines.dedup_lines(docs(40_000)).select("doc_id", "text", "n_removed").collect()
+    assert {r["doc_id"]: r["n_removed"] for r in rows} == {1: 0, 2: 40_000}
+    assert {r["text"] for r in rows if r["doc_id"] == 2} == {"own"}
+    assert seconds(lambda: lines.dedup_lines(docs(40_000))) < seconds(lambda: lines.dedup_lines(docs(200))) + 5
+
+
 def test_lines_odd_rows(odd_docs, no_docs):
     rows = lines.dedup_lines(odd_docs).collect()
     assert len(rows) == 12
@@ -319,11 +350,59 @@ def test_lines_odd_rows(odd_docs, no_docs):
 # --- units ----------------------------------------------------------------------------------
 
 
+OTHER_MARKS = "\u3002\uff01\uff1f\uff0e\uff61\u104b\u17d4\u0964\u06d4\u061f"
+CLOSERS = ".!?\u300d\u300f\u201d\u2019\uff09"
+
+
+def plain_sentences(text):
+    """Sentences of every line, character by character, each with the white space behind it."""
+    at, start = 0, 0
+    while at < len(text):
+        stop = at
+        if text[at] in ".!?":
+            while stop < len(text) and text[stop] in ".!?":
+                stop += 1
+            if stop == len(text) or not text[stop].isspace():
+                at = stop
+                continue
+        elif text[at] in OTHER_MARKS:
+            while stop < len(text) and text[stop] in OTHER_MARKS + CLOSERS:
+                stop += 1
+        elif text[at] != "\n":
+            at += 1
+            continue
+        while stop < len(text) and text[stop].isspace() and text[stop] != "\n":
+            stop += 1
+        stop += stop < len(text) and text[stop] == "\n"
+        yield start, stop
+        at = start = stop
+    if start < len(text):
+        yield start, len(text)
+
+
+def plain_units(text):
+    """Sentences joined within their line until they have six words."""
+    start, words = None, []
+    for a, b in plain_sentences(text):
+        start = a if start is None else start
+        words += text[a:b].lower().split()
+        if len(words) >= 6 or text[a:b].endswith("\n") or b == len(text):
+            yield start, b, " ".join(words)
+            start, words = None, []
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="ab .!?\n\t\u3002\u201d", max_size=60))
+def test_units_of_any_text(text):
+    got = [(a, b) for a, b, _ in units.units(text)]
+    assert got == [(a, b) for a, b, _ in plain_units(text)]
+
+
 def plain_unit_dedup(docs):
     seen, out = set(), {}
     for doc, text in sorted(docs.items()):
         kept = []
-        for start, stop, unit in units.units(text):
+        for start, stop, unit in plain_units(text):
             if unit.count(" ") + 1 >= units.WORDS and unit in seen:
                 continue
             seen.add(unit)
@@ -332,6 +411,25 @@ def plain_unit_dedup(docs):
     return out
 
 
+def seconds(build):
+    start = time.perf_counter()
+    build().write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
+def test_units_of_long_texts_in_linear_time(spark):
+    """20,000 shared lines among own ones: a text is cut once, not once a span."""
+
+    def docs(n):
+        shared = [f"the shared line number {i} has some words" for i in range(n)]
+        rows = [(d, "\n".join(f"{x}\nown line {i} of document {d} with words" for i, x in enumerate(shared))) for d in (1, 2)]
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    rows = units.dedup_units(docs(20_000)).select("doc_id", F.size("kept").alias("n")).collect()
+    assert sorted(map(tuple, rows)) == [(1, 1), (2, 20_000)]
+    assert seconds(lambda: units.dedup_units(docs(20_000))) < seconds(lambda: units.dedup_units(docs(200))) + 5
+
+
 def test_units_cover_texts(spark):
     for r in docs_of(spark).collect():
         spans = list(units.units(r["text"]))
