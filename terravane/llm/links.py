@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terravane.llm.tables import stored
+from terravane.llm.tables import scope, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,13 +21,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(_edges(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "edges")
     state = _state(edges)
     while state[0]:
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
-        joined = both.join(stored(least, "least"), "u").where("v > u")
-        far = stored(_edges(joined.select(F.col("v").alias("u"), F.col("low").alias("v"))), "far")
-        low = stored(far.groupBy("u").agg(F.min("v").alias("low")), "low")
-        near = far.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        edges = stored(_edges(near.union(low.select("u", "low"))), "edges")
+        with scope(links.sparkSession):
+            both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
+            joined = both.join(stored(least, "least"), "u").where("v > u")
+            far = stored(_edges(joined.select(F.col("v").alias("u"), F.col("low").alias("v"))), "far")
+            low = stored(far.groupBy("u").agg(F.min("v").alias("low")), "low")
+            near = far.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+            edges = stored(_edges(near.union(low.select("u", "low"))), "edges", keep=True)
         state, before = _state(edges), state
         if state == before:
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terravane.llm.tables import in_order, offsets, renamed, running, stored
+from terravane.llm.tables import in_order, offsets, renamed, running, scope, stored
 
 WEIGHTS, EPOCHS, SEED = (1, 2, 3), 3, 42
 
@@ -41,7 +41,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     return filled.select("source", "source_size", "rank", "start", F.round(target, 6).alias("target"))
 
 
-def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None, store: bool = True) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``taken``; columns of these names
     are replaced, every row stays and so do the columns of ``keep`` (all, if it is None).
 
@@ -68,14 +68,17 @@ def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None) -> Dat
         key.alias("_key"),
         F.xxhash64(*plain.columns).alias("_row"),
     )
-    # Stored: the sums, the ranges and the rows dealt out by them all need the words, counted once.
-    rows = stored(rows, "sized")
-    sizes = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
-    goals = stored(targets(sizes), "targets")
-    ranked = rows.join(goals, F.col("_source").eqNullSafe(goals["source"])).drop(goals["source"])
-    ordered = in_order(ranked, "rank", "_last", "_key", "size", "_row")
-    placed = stored(running(ordered, "size"), "mixed")
-    joined = placed.join(F.broadcast(stored(offsets(placed, F.sum("size")), "starts")), "_part")
+    with scope(docs.sparkSession):
+        # The sums, the ranges and the rows dealt out by them all need the words: stored, they are
+        # counted once. Where whole texts go along, counting again costs less than writing them.
+        rows = stored(rows, "sized") if store else rows
+        sizes = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
+        goals = stored(targets(sizes), "targets")
+        ranked = rows.join(goals, F.col("_source").eqNullSafe(goals["source"])).drop(goals["source"])
+        ordered = in_order(ranked, "rank", "_last", "_key", "size", "_row")
+        placed = stored(running(ordered, "size"), "mixed", keep=True)
+        starts = stored(offsets(placed, F.sum("size")), "starts", keep=True)
+    joined = placed.join(F.broadcast(starts), "_part")
     words = F.round("target").cast("long")
     before = F.col("_before") + F.col("_within") - F.col("start")
     whole = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0)
@@ -93,7 +96,7 @@ def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     size, total, copy = F.col("_size"), F.col("_taken"), F.col("_copy")
     plain, where = renamed(docs)
     known = [F.col(where[c]).alias(c) for c in ("doc_id", "text", "source")]
-    taken = mix(plain.select("*", *known), seed, plain.columns)
+    taken = mix(plain.select("*", *known), seed, plain.columns, store=False)
     taken = taken.toDF(*plain.columns, "_size", "_source_size", "_target", "_taken")
     times = F.when(size > 0, F.ceil(total / size)).otherwise(0).cast("int")
     copies = taken.where(total > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terravane.llm.tables import in_order, offsets, running, stored
+from terravane.llm.tables import in_order, offsets, running, scope, stored
 
 TOP = 10
 #: Bytes of items' terms in an index, at most (but for an item that is larger by itself).
@@ -204,21 +204,24 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     rows; empty tables give an empty result; other columns are not read.
     """
     spark = docs.sparkSession
-    blocks = stored(item_blocks(items), "items")
+    with scope(spark):
+        blocks = stored(item_blocks(items), "items", keep=True)
     found = spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     for (block,) in blocks.select("block").distinct().orderBy("block").collect():
         own = blocks.where(F.col("block") == block).orderBy("item_id", "key")
         index = Index.build(own.select("item_id", "terms", "times").collect())
-        counts = stored(term_counts(docs, index), "term-counts")
-        n_docs, n_terms = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
-        if not n_docs:
-            break
-        df = np.zeros(len(index.terms), np.int64)
-        held = counts.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-        for term, n in held.collect():
-            df[term] = n
-        weights = [math.floor(1000 * math.log((2 * n_docs + 2) / (2 * int(d) + 1))) for d in df]
-        lists = stored(scored(counts, index, np.array(weights, np.int64), n_docs, n_terms, top), "heaps")
+        with scope(spark):
+            counts = stored(term_counts(docs, index), "term-counts")
+            n_docs, n_terms = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
+            if not n_docs:
+                break
+            df = np.zeros(len(index.terms), np.int64)
+            held = counts.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+            for term, n in held.collect():
+                df[term] = n
+            weights = [math.floor(1000 * math.log((2 * n_docs + 2) / (2 * int(d) + 1))) for d in df]
+            lists = scored(counts, index, np.array(weights, np.int64), n_docs, n_terms, top)
+            lists = stored(lists, "heaps", keep=True)
         salted = lists.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(32)))
         best = _best(_best(salted, top, "item", "_salt").drop("rank"), top, "item")
         names = spark.createDataFrame(list(enumerate(index.ids)), "item long, item_id long")

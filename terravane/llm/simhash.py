@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.links import components, local_roots
-from terravane.llm.tables import renamed, stored
+from terravane.llm.tables import renamed, scope, stored
 from terravane.llm.trees import blocks, depth, grow
 
 WORDS, RADIUS, SEED, LEAF = 4, 4, 42, 1024
@@ -106,10 +106,11 @@ def near_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_groups(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(fp, group)`` for each fingerprint of ``marks``: groups of fingerprints linked in steps."""
-    distinct = stored(marks.select("fp").distinct(), "distinct")
-    roots = stored(components(near_links(distinct, radius)), "roots")
-    joined = distinct.join(roots, distinct["fp"] == roots["node"], "left")
-    return joined.select("fp", F.coalesce("root", "fp").alias("group"))
+    with scope(marks.sparkSession):
+        distinct = stored(marks.select("fp").distinct(), "distinct")
+        roots = stored(components(near_links(distinct, radius)), "roots")
+        joined = distinct.join(roots, distinct["fp"] == roots["node"], "left")
+        return stored(joined.select("fp", F.coalesce("root", "fp").alias("group")), "groups", keep=True)
 
 
 def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -122,12 +123,13 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     part and are passed over as ``component_id`` unless a group has no other; an empty table
     gives an empty result.
     """
-    marks = stored(fingerprints(docs), "fingerprints")
-    groups = stored(near_groups(marks, radius), "groups")
-    least = marks.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    lows = stored(groups.join(least, "fp"), "lows")
-    heads = stored(lows.groupBy("group").agg(F.min("low").alias("component_id")), "heads")
-    labels = stored(lows.join(heads, "group").select("fp", "component_id"), "labels")
+    with scope(docs.sparkSession):
+        marks = stored(fingerprints(docs), "fingerprints", keep=True)
+        groups = near_groups(marks, radius)
+        least = marks.groupBy("fp").agg(F.min("doc_id").alias("low"))
+        lows = stored(groups.join(least, "fp"), "lows")
+        heads = stored(lows.groupBy("group").agg(F.min("low").alias("component_id")), "heads")
+        labels = stored(lows.join(heads, "group").select("fp", "component_id"), "labels", keep=True)
     return marks.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -151,9 +153,14 @@ def first_of_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], ["doc_id", "row", "fp"])
 
     texts = plain.select(ids, row, F.col(names["text"]).cast("string"))
-    marks = stored(texts.mapInArrow(run, schema), "fingerprints")
-    groups = stored(near_groups(marks, radius), "groups")
-    return first_rows(docs, marks, groups)
+    with scope(docs.sparkSession):
+        marks = stored(texts.mapInArrow(run, schema), "fingerprints")
+        return first_rows(docs, marks, near_groups(marks, radius))
+
+
+def repeated_rows(marks: DataFrame) -> DataFrame:
+    """``doc_id`` and ``row`` of rows that are equal in all columns."""
+    return marks.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def first_rows(docs: DataFrame, marks: DataFrame, groups: DataFrame) -> DataFrame:
@@ -166,11 +173,11 @@ def first_rows(docs: DataFrame, marks: DataFrame, groups: DataFrame) -> DataFram
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = stored(marks.groupBy("fp").agg(F.min(rank).alias("first")), "firsts")
     heads = first.join(groups, "fp").groupBy("group").agg(F.min("first").alias("first"))
-    winners = stored(heads.select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row")), "winners")
+    winners = heads.select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
+    winners = stored(winners, "winners", keep=True)
     named = plain.withColumn("_hash", row)
     same = (F.col("_hash") == F.col("_row")) & ids.eqNullSafe(F.col("_id"))
     kept = named.join(winners, same, "left_semi")
-    repeated = marks.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if not repeated.isEmpty():
+    if not repeated_rows(marks).isEmpty():
         kept = kept.dropDuplicates([names["doc_id"], "_hash"])
     return kept.drop("_hash").toDF(*docs.columns)

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terravane.sources.files import remove_folder
 from terravane.sources.workspace import work_folder
 
 
@@ -20,11 +23,34 @@ def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.toDF(*names.values()), names
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are removed in the end, but for those stored with ``keep``: they go to
+    the scope around this one, or stay for the caller who reads the result."""
+    folders: list[str] = []
+    token = _scopes.set((*_scopes.get(), folders))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for folder in folders:
+            remove_folder(spark, folder)
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: it outlives lost executors, its size is
-    known to the planner, and joins on it start from plain scans that Spark may split."""
+    known to the planner, and joins on it start from plain scans that Spark may split.
+
+    It is removed at the end of the :func:`scope` it is stored in (with ``keep``: of the next one).
+    """
     spark = df.sparkSession
     folder = work_folder(spark, label)
+    scopes = _scopes.get()
+    if len(scopes) > keep:
+        scopes[-1 - keep].append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
