@@ -208,6 +208,21 @@ SQL["batched_parts"] = """
 SELECT CAST((o_orderkey % 6400) // 100 AS INTEGER) AS part, count(*) AS n_rows
 FROM orders GROUP BY 1"""
 
+SQL["archive_records"] = f"""
+SELECT {_identifier("s_suppkey")} AS identificatie, s_name AS naam, {_point_text("s_suppkey")} AS pos,
+  '9999VBO' || (s_suppkey // 100) || '.zip' AS inner_archive,
+  '9999VBO08102022-' || lpad(CAST(s_suppkey // 20 AS VARCHAR), 6, '0') || '.xml' AS member
+FROM supplier"""
+
+SQL["new_files"] = f"""
+SELECT {_identifier("o_orderkey")} AS identificatie, o_orderkey % 3 AS delivery
+FROM orders WHERE o_orderkey % 3 < 2"""
+
+SQL["replaced_part"] = """
+SELECT o_orderkey, CASE WHEN part IN (3, 5) THEN -o_custkey ELSE o_custkey END AS o_custkey, part
+FROM (SELECT *, CAST((o_orderkey % 6400) // 100 AS INTEGER) AS part FROM orders)
+WHERE part % 10 <> 7 AND (part NOT IN (3, 5) OR o_orderkey % 2 = 0)"""
+
 SQL["archive_type_key"] = """
 SELECT s_suppkey, 'Supplier#' AS type_key, 'bag/xml/Supplier#/' || s_suppkey || '.xml' AS blob_path
 FROM supplier WHERE s_name LIKE 'Supplier#%'"""
@@ -501,6 +516,12 @@ SQL["bridge_table"] = """
 SELECT DISTINCT p_partkey, unnest([p_type, p_name || ' ' || p_brand]) AS gebruiksdoel FROM part"""
 
 
+SQL["chunk_observed"] = SQL["chunk_columns"]
+
+SQL["dimension_window"] = f"""
+SELECT * FROM ({SQL["geo_dimension"]}) WHERE lat BETWEEN 51.9e0 AND 52.4e0 AND long BETWEEN 4.4e0 AND 5.1e0"""
+
+
 # --- whole model ---------------------------------------------------------------------------
 
 _MODEL = {
@@ -549,6 +570,35 @@ _MODEL = {
 }
 
 
+def _rule_rows_sql() -> str:
+    found = [
+        f"SELECT 'verblijfsobject' AS table_name, identificatie AS row_key, 'not_null' AS rule, "
+        f"'{column}' AS column_name FROM place WHERE {column} IS NULL"
+        for column in ("geometrie", "oppervlakte", "status", "documentnummer", "pand_identificatie")
+    ]
+    breaks = {
+        ("not_null", "identificatie"): "identificatie IS NULL",
+        ("not_null", "geometrie"): "k % 7 = 0",
+        ("max_length", "identificatie"): "length(identificatie) > 4",
+        ("domain", "status"): "o_orderstatus = 'P'",
+        ("unique", "identificatie"): "identificatie IN (SELECT identificatie FROM town GROUP BY 1 HAVING count(*) > 1)",
+    }
+    found += [
+        f"SELECT 'woonplaats', CAST(k AS VARCHAR), '{rule}', '{column}' FROM town WHERE {condition}"
+        for (rule, column), condition in breaks.items()
+    ]
+    found.append("""SELECT 'verblijfsobject', identificatie, 'unique', 'identificatie' FROM place
+      WHERE identificatie IN (SELECT identificatie FROM place GROUP BY 1 HAVING count(*) > 1)""")
+    return f"""
+WITH place AS ({_MODEL["verblijfsobject"]}), town AS (
+  SELECT o_orderkey AS k, o_orderstatus, CASE WHEN o_orderkey % 50 <> 0
+    THEN CAST(o_orderkey - CASE WHEN o_orderkey % 40 = 1 THEN 1 ELSE 0 END AS VARCHAR) END AS identificatie FROM orders)
+{" UNION ALL ".join(found)}"""
+
+
+SQL["rule_rows"] = _rule_rows_sql()
+
+
 def _model_report_sql() -> str:
     rules: list[str] = []
 

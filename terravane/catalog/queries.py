@@ -16,10 +16,10 @@ from terravane.operators import chunks, quality, vertices
 from terravane.operators.attach import attach
 from terravane.operators.columns import align_columns, drop_null, expand_struct, record_ids, union_all
 from terravane.operators.geometry import complete_geometry, convert_geometry, geometry_struct
-from terravane.plans import model
+from terravane.plans import chunking, dimension, model
 from terravane.plans.dimension import geo_dimension as stored_geo_dimension
 from terravane.plans.ingest import object_table
-from terravane.sources import drift, files, schemas, variants, xml
+from terravane.sources import deliveries, drift, files, members, schemas, variants, xml
 from terravane.sources.workspace import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +204,62 @@ def archive_type_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All suppliers written into nested archives and read back straight from them."""
+    folder, k = work_folder(spark, "archives"), F.col("s_suppkey")
+    record = F.struct(F.expr(S.record("s_suppkey", "punt", **{"Objecten:naam": "s_name"})).alias("Objecten:Verblijfsobject"))
+    text = F.to_xml(record, {"rowTag": K.XML_ROW, "validateName": "false"})
+    number = F.lpad(F.floor(k / 20).cast("string"), 6, "0")
+    rows = S.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("lvbag-"), F.floor(k / 1000).cast("string"), F.lit(".zip")).alias("archive"),
+        F.concat(F.lit("9999VBO"), F.floor(k / 100).cast("string"), F.lit(".zip")).alias("inner"),
+        F.concat(F.lit("9999VBO08102022-"), number, F.lit(".xml")).alias("member"),
+        text.alias("record"),
+    )
+    packed = rows.groupBy("archive", "inner", "member").agg(F.listagg("record", F.lit("\n")).alias("content"))
+    members.write_archives(packed, folder).write.format("noop").mode("overwrite").save()
+    more = T.StructType([T.StructField("Objecten:naam", T.StringType())])
+    schema = schemas.record_schema(T.StructType([T.StructField("Objecten:Verblijfsobject", more)]), "Verblijfsobject")
+    found = xml.parse_records(members.archive_records(spark, folder), "record", "Verblijfsobject", schema)
+    return found.select(
+        F.expr(_id_text()).alias("identificatie"),
+        F.col("`Objecten:naam`").alias("naam"),
+        F.expr(f"`{K.GEOMETRY_FIELD}`.`Objecten:punt`.`gml:Point`.`gml:pos`").alias("pos"),
+        F.col("archive").alias("inner_archive"),
+        "member",
+    )
+
+
+@query
+def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in two deliveries: each run takes the files that came since the one before."""
+    folder, state, target = (work_folder(spark, f"deliveries-{n}") for n in ("xml", "state", "table"))
+    orders, schema = S.table(spark, sf_dir, "orders"), schemas.core_schema("Pand")
+    record = F.struct(F.expr(S.record("o_orderkey", "polygon")).alias("Objecten:Pand"))
+    text = F.to_xml(record, {"rowTag": K.XML_ROW, "validateName": "false"})
+    for remainder in (0, 1, None):
+        if remainder is not None:
+            some = orders.where(F.col("o_orderkey") % 3 == remainder).select(text.alias("value"))
+            some.write.mode("append").text(folder)
+        deliveries.ingest_new(spark, folder, "Pand", schema, target, state, "polynomial", suffix=".txt")
+    rows = files.read_table(spark, f"{target}/records")
+    return rows.select(F.expr(_id_text()).alias("identificatie"), F.col("delivery").cast("bigint").alias("delivery"))
+
+
+@query
+def replaced_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in parts by key: two parts written anew, and those gone that a manifest lost."""
+    folder = work_folder(spark, "replaced")
+    part = F.floor(F.pmod(F.col("o_orderkey"), F.lit(SOURCE_FILES)) / 100).cast("int")
+    orders = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", part.alias("part"))
+    files.write_parts(orders, folder, F.col("part"), rebalance=True)
+    again = orders.where("part IN (3, 5) AND o_orderkey % 2 = 0").withColumn("o_custkey", -F.col("o_custkey"))
+    files.replace_parts(again, folder, F.col("part"))
+    files.drop_lost_parts(spark, folder, orders.select("part").distinct().where("part % 10 <> 7"))
+    return files.read_table(spark, folder)
+
+
 @query
 def ingest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """XML to the stored object table and back: scan, geometry, Parquet."""
@@ -449,6 +505,14 @@ def stored_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_geo_dimension(spark, folder, "Pand")
 
 
+@query
+def dimension_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices of a box, looked up in a dimension stored along the curve."""
+    folder = work_folder(spark, "by-place")
+    dimension.write_by_place(_dimension(spark, sf_dir, literal=False), folder)
+    return dimension.window(spark, folder, 51.9, 4.4, 52.4, 5.1)
+
+
 # --- joins and unions ----------------------------------------------------------------------
 
 
@@ -524,6 +588,20 @@ def chunk_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_rows(files.read_table(spark, folder), "doc_id", "source")
 
 
+@query
+def chunk_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Widths observed while the table is written: its texts are read once, to be cut."""
+    folder = work_folder(spark, "observed")
+    df = S.table(spark, sf_dir, "documents").select("doc_id", geometry_struct(polygon=F.col("text")).alias("geometry"))
+    watched, widths = chunking.observe_widths(df)
+    files.write_table(watched, f"{folder}/texts")
+    chunking.keep_widths(spark, widths, folder, "texts")
+    counts = chunking.observed_counts(spark, folder, "texts", K.CHUNK_WIDTH)
+    cut = chunks.chunk_geometry(files.read_table(spark, f"{folder}/texts"), counts=counts)
+    rows = _as_rows(cut.drop("geometry"), "doc_id")
+    return rows.withColumn("chunk", F.replace("chunk", F.lit("geo_polygon"), F.lit("text")))
+
+
 # --- model rules ---------------------------------------------------------------------------
 
 
@@ -605,6 +683,28 @@ def bridge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.bridge_table(df, "p_partkey", "uses", ("p_partkey", "gebruiksdoel"))
 
 
+@query
+def rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of two tables that break a rule of their own or share a key, with the rules."""
+    town = model.conform(S.table(spark, sf_dir, "orders"), "woonplaats", {
+        "identificatie": F.expr("if(o_orderkey % 50 <> 0, o_orderkey - int(o_orderkey % 40 = 1), NULL)"),
+        "naam": "o_orderpriority",
+        "geometrie": F.expr(S.point_text("o_orderkey")),
+        "status": F.expr("if(o_orderstatus = 'P', 'Woonplaats onbekend', 'Woonplaats aangewezen')"),
+        "geconstateerd": F.lit("N"),
+        "documentdatum": F.lit("2022-11-01"),
+        "documentnummer": "o_orderkey",
+    })
+    place = model_tables(spark, sf_dir)["verblijfsobject"]
+    found = []
+    for table, df, row in (("woonplaats", town, "documentnummer"), ("verblijfsobject", place, "identificatie")):
+        folder = work_folder(spark, f"checked-{table}")
+        model.write_checked(df, table, folder)
+        rows = model.quarantined_rows(spark, folder)
+        found.append(rows.select(F.lit(table).alias("table_name"), F.col(row).alias("row_key"), "rule", "column_name"))
+    return found[0].union(found[1])
+
+
 @query
 def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.model_report(model_tables(spark, sf_dir))

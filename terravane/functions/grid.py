@@ -63,6 +63,56 @@ def nearest_cell(lat: str = "lat", long: str = "long") -> Column:
     )
 
 
+def _spread(value: str) -> str:
+    """The low 16 bits of ``value`` with a zero bit before each."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        value = bind(value, f"g_m{shift}", f"(g_m{shift} | shiftleft(g_m{shift}, {shift})) & {mask}L")
+    return value
+
+
+def morton_code(cell: str = "refID") -> Column:
+    """Place of a cell along a curve that keeps neighbours together: the bits of its row and column
+    in turn. Null for a null cell."""
+    row, column = f"bigint(floor(({cell}) / {K.GRID_COLUMNS}))", f"bigint(pmod({cell}, {K.GRID_COLUMNS}))"
+    return F.expr(f"shiftleft({_spread(row)}, 1) | {_spread(column)}")
+
+
+def cell_of(lat: float, long: float) -> tuple[int, int]:
+    """Row and column of the cell nearest to a place, the closest one for a place outside."""
+    row, column = (lat - K.LAT_MIN) / LAT_STEP + 0.5, (long - K.LONG_MIN) / LONG_STEP + 0.5
+    return min(max(int(row), 0), K.GRID_ROWS - 1), min(max(int(column), 0), K.GRID_COLUMNS - 1)
+
+
+def interleave(row: int, column: int) -> int:
+    """:func:`morton_code` of a row and a column."""
+    return sum(((row >> b & 1) << 1 | (column >> b & 1)) << 2 * b for b in range(16))
+
+
+def curve_ranges(low: tuple[int, int], high: tuple[int, int], pieces: int = 32) -> list[tuple[int, int]]:
+    """Ranges of the curve that hold all cells from ``low`` to ``high`` (row, column), at most ``pieces``.
+
+    Squares of the curve that reach over the edge of the box are quartered, largest first, as
+    long as the ranges suffice; neighbouring ranges join.
+    """
+    whole, cut = [], [(16, 0, 0)]
+    while cut and len(whole) + len(cut) + 3 <= pieces:
+        size, row, column = cut.pop(0)
+        last = (row + (1 << size) - 1, column + (1 << size) - 1)
+        if row > high[0] or column > high[1] or last[0] < low[0] or last[1] < low[1]:
+            continue
+        if low[0] <= row and low[1] <= column and last[0] <= high[0] and last[1] <= high[1]:
+            whole.append((size, row, column))
+        else:
+            half = 1 << size - 1
+            cut += [(size - 1, r, c) for r in (row, row + half) for c in (column, column + half)]
+    ranges: list[tuple[int, int]] = []
+    for first, size in sorted((interleave(row, column), size) for size, row, column in whole + cut):
+        joins = ranges and ranges[-1][1] + 1 == first
+        start = ranges.pop()[0] if joins else first
+        ranges.append((start, first + 4**size - 1))
+    return ranges
+
+
 def nearest_cell_literal(lat: str = "lat", long: str = "long") -> Column:
     """The published neighbour search, kept for comparison with existing tables.
 

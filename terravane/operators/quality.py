@@ -58,6 +58,29 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
+def broken_rules(rules: Sequence[tuple[str, str, str]]) -> Column:
+    """``array<struct<rule, column_name>>`` of the rules a row breaks, from (rule, column, SQL
+    condition of a breaking row): one expression, whatever their number."""
+    cells = ", ".join(
+        f"if({condition}, named_struct('rule', '{rule}', 'column_name', '{column}'), NULL)"
+        for rule, column, condition in rules
+    )
+    empty = "CAST(array() AS array<struct<rule: string, column_name: string>>)"
+    return F.expr(f"array_compact(array({cells}))" if rules else empty)
+
+
+def mark_repeated(df: DataFrame, key: str, rules: str) -> DataFrame:
+    """``df`` with ``unique`` added to its column ``rules`` where another row has the same ``key``.
+
+    Only the key is read and counted to find the repeated ones; a null passes.
+    """
+    repeated = check_unique(df.select(key), [key]).select(F.col(key).alias("_repeated"))
+    found = F.array(F.struct(F.lit("unique").alias("rule"), F.lit(key).alias("column_name")))
+    marked = df.join(repeated, F.col(key) == F.col("_repeated"), "left")
+    more = F.when(F.col("_repeated").isNotNull(), F.concat(rules, found)).otherwise(F.col(rules))
+    return marked.withColumn(rules, more).drop("_repeated")
+
+
 def check_foreign_key(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:

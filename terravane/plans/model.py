@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terravane.functions.bind import quoted
-from terravane.operators.quality import check_foreign_key, check_unique, listed
+from terravane.operators.quality import broken_rules, listed, mark_repeated
+from terravane.sources.files import read_table, write_table
 
 # --- fixed values: tables, columns, types and NOT NULL of the published model --------------
 # (names as published, "geomtrie" included)
@@ -225,51 +226,102 @@ def row_rules(table: str) -> list[tuple[str, str, str]]:
     return rules
 
 
-def _row_findings(df: DataFrame, table: str) -> DataFrame:
-    """All row rules of a table, counted in one pass."""
-    rules = row_rules(table)
-    counted = df.selectExpr(*[f"count_if({rule[2]}) AS _{i}" for i, rule in enumerate(rules)])
-    cells = ", ".join(
-        f"named_struct('t', '{table}', 'r', '{rule}', 'c', '{column}', 'n', _{i})"
-        for i, (rule, column, _) in enumerate(rules)
-    )
-    return counted.selectExpr(f"inline(array({cells}))").toDF(*FINDING)
+def checked(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with ``broken``, the rules of the model that a row breaks by itself or by its key."""
+    marked = df.withColumn("broken", broken_rules(row_rules(table)))
+    return mark_repeated(marked, UNIQUE_KEYS[table], "broken") if table in UNIQUE_KEYS else marked
+
+
+def write_checked(df: DataFrame, table: str, folder: str) -> None:
+    """Write a model table with the rows that break a rule apart from the others, in one pass."""
+    apart = checked(df, table).withColumn("quarantined", (F.size("broken") > 0).cast("string"))
+    write_table(apart, folder, "quarantined")
+
+
+def sound_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of :func:`write_checked` that keep all rules."""
+    return read_table(spark, folder).where("quarantined = 'false'").drop("quarantined", "broken")
+
+
+def quarantined_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that do not, one for each ``rule`` and ``column_name`` they break."""
+    rows = read_table(spark, folder).where("quarantined = 'true'").drop("quarantined")
+    return rows.select(*[c for c in rows.columns if c != "broken"], F.inline("broken"))
 
 
 FINDING = ["table_name", "rule", "column_name", "n_violations"]
+#: Scope of the row rules of a table, see :class:`Rule`.
+ROWS = "rows of "
 
 
-def _key_finding(broken: DataFrame, table: str, rule: str, column: str) -> DataFrame:
-    """Total rows of a key rule's ``n_rows`` result."""
-    return broken.selectExpr(
-        f"'{table}' AS table_name",
-        f"'{rule}' AS rule",
-        f"'{column}' AS column_name",
-        "coalesce(sum(n_rows), 0) AS n_violations",
-    )
+class Rule(NamedTuple):
+    """A declared rule and where it is counted.
+
+    Row rules are counted under a scope of their table. Keys and references are counted by value
+    under the table that holds the key: slot 0 is the key, the others refer to it.
+    """
+
+    scope: str
+    slot: int
+    table_name: str
+    rule: str
+    column_name: str
+
+
+def declared_rules(tables: Iterable[str]) -> list[Rule]:
+    """Every rule whose tables are all given."""
+    given = set(tables)
+    found = [
+        Rule(ROWS + name, slot, name, rule, column)
+        for name in sorted(given)
+        for slot, (rule, column, _) in enumerate(row_rules(name))
+    ]
+    for parent in sorted(given & set(UNIQUE_KEYS)):
+        found.append(Rule(parent, 0, parent, "unique", UNIQUE_KEYS[parent]))
+        references = [k for k in FOREIGN_KEYS if k.parent == parent and k.table in given]
+        found += [Rule(parent, slot, k.table, "foreign_key", k.column) for slot, k in enumerate(references, 1)]
+    return found
+
+
+def _counted_values(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
+    """``scope, slot, value`` for every key, reference and broken rule of a table, in one pass."""
+    conditions = [condition for _, _, condition in row_rules(table)]
+    kind = "array<struct<scope: string, slot: int, value: string>>"
+
+    def named(rule: Rule) -> Column:
+        if rule.scope.startswith(ROWS):
+            values = F.when(F.expr(conditions[rule.slot]), F.array(F.lit("")))
+        elif rule.rule == "foreign_key" and (table, rule.column_name) == MANY_TO_MANY:
+            values = listed(df, rule.column_name)
+        else:
+            own = F.col(rule.column_name)
+            values = F.when(own.isNotNull(), F.array(own.cast("string")))
+        place = F.lit(rule.scope).alias("scope"), F.lit(rule.slot).alias("slot")
+        found = F.transform(values, lambda v: F.struct(*place, v.alias("value")))
+        return F.coalesce(found, F.array().cast(kind))
+
+    return df.select(F.inline(F.concat(*[named(r) for r in rules])))
 
 
 def model_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``table_name, rule, column_name, n_violations`` for every declared rule.
 
-    Rules whose tables are not all given are left out. Counts are of rows that break a rule.
-    Every table is read once for its row rules and once, its key columns only, per key.
+    Rules whose tables are not all given are left out (at least one table is). Counts are of rows that break a rule. Every
+    table is read once. What it holds of keys and references is counted by value before it is
+    shuffled, all of it in one exchange, in which the references to a value meet its key.
     """
-    findings = [_row_findings(df, name) for name, df in tables.items() if row_rules(name)]
-    for table, key in UNIQUE_KEYS.items():
-        if table in tables:
-            repeated = check_unique(tables[table].where(f"{key} IS NOT NULL"), [key])
-            findings.append(_key_finding(repeated, table, "unique", key))
-    for key in FOREIGN_KEYS:
-        if key.table in tables and key.parent in tables:
-            child, parent = _reference_values(tables[key.table], key), tables[key.parent]
-            orphans = check_foreign_key(child, key.column, parent, key.parent_column)
-            findings.append(_key_finding(orphans, key.table, "foreign_key", key.column))
-    return reduce(DataFrame.union, findings)
-
-
-def _reference_values(child: DataFrame, key: ForeignKey) -> DataFrame:
-    """Values to look up; a many-to-many column is one value per listed one."""
-    if (key.table, key.column) != MANY_TO_MANY:
-        return child
-    return child.select(F.explode(listed(child, key.column)).alias(key.column))
+    rules = declared_rules(tables)
+    spark = next(iter(tables.values())).sparkSession
+    if not rules:
+        return spark.createDataFrame([], "table_name string, rule string, column_name string, n_violations long")
+    spread = [_counted_values(df, t, own) for t, df in tables.items() if (own := [r for r in rules if r.table_name == t])]
+    slots = range(1 + max(r.slot for r in rules))
+    counts = [F.count_if(F.col("slot") == i).alias(f"n{i}") for i in slots]
+    met = reduce(DataFrame.union, spread).groupBy("scope", "value").agg(*counts)
+    known, several = F.col("n0") > 0, F.col("n0") > 1
+    broken = [F.col("scope").startswith(ROWS) | (~known if i else several) for i in slots]
+    totals = met.groupBy("scope").agg(*[F.sum(F.when(b, F.col(f"n{i}"))).alias(f"n{i}") for i, b in enumerate(broken)])
+    cells = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(f"n{i}").alias("n")) for i in slots])
+    listing = spark.createDataFrame(rules, "scope string, slot int, table_name string, rule string, column_name string")
+    report = listing.join(totals.select("scope", F.inline(cells)), ["scope", "slot"], "left")
+    return report.withColumn("n_violations", F.coalesce("n", F.lit(0))).select(*FINDING)

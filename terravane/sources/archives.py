@@ -21,7 +21,7 @@ MEMBERS = pa.schema([("archive", pa.string()), ("member", pa.string()), ("bytes"
 FILES = pa.schema([("path", pa.string()), ("bytes", pa.int64())])
 
 
-def _store(path: str) -> tuple[fs.FileSystem, str]:
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path on it: a mounted folder or any store Arrow knows."""
     if "://" in path:
         return fs.FileSystem.from_uri(path)
@@ -29,9 +29,9 @@ def _store(path: str) -> tuple[fs.FileSystem, str]:
 
 
 @contextmanager
-def _archive(path: str) -> Iterator[zipfile.ZipFile]:
+def open_archive(path: str) -> Iterator[zipfile.ZipFile]:
     """Zip file opened for random access: only the parts that are used are read."""
-    store, inner = _store(path)
+    store, inner = store_of(path)
     with store.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
         yield archive
 
@@ -46,7 +46,7 @@ def list_members(spark: SparkSession, archives: list[str], suffix: str, tasks: i
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("archive").to_pylist():
-                with _archive(path) as archive:
+                with open_archive(path) as archive:
                     yield _batches(
                         [
                             {"archive": path, "member": i.filename, "bytes": i.file_size}
@@ -71,7 +71,7 @@ def extract_members(members: DataFrame, tasks: int) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                with _archive(row["archive"]) as archive, archive.open(row["member"]) as source:
+                with open_archive(row["archive"]) as archive, archive.open(row["member"]) as source:
                     size = _write(source, row["target"])
                 yield _batches([{"path": row["target"], "bytes": size}], FILES)
 
@@ -80,7 +80,7 @@ def extract_members(members: DataFrame, tasks: int) -> DataFrame:
 
 
 def _write(source, target: str) -> int:
-    store, path = _store(target)
+    store, path = store_of(target)
     folder = posixpath.dirname(path)
     store.create_dir(folder, recursive=True)
     # a leading underscore hides the unfinished file from Spark readers
@@ -110,7 +110,7 @@ def _remove(paths: DataFrame) -> None:
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                store, inner = _store(path)
+                store, inner = store_of(path)
                 if store.get_file_info(inner).type != fs.FileType.NotFound:
                     store.delete_file(inner)
             yield batch
@@ -119,7 +119,7 @@ def _remove(paths: DataFrame) -> None:
 
 
 def _exists(path: str) -> bool:
-    store, inner = _store(path)
+    store, inner = store_of(path)
     return store.get_file_info(inner).type != fs.FileType.NotFound
 
 
@@ -148,6 +148,6 @@ def expand(
         earlier = spark.read.parquet(manifest)
         _remove(earlier.join(written, "path", "left_anti").select("path"))
     written.write.mode("overwrite").parquet(manifest)
-    store, inner_path = _store(fresh)
+    store, inner_path = store_of(fresh)
     store.delete_dir(inner_path)
     return spark.read.parquet(manifest)

@@ -58,6 +58,29 @@ def write_parts(df: DataFrame, folder: str, part: Column, rebalance: bool = Fals
     write_table(df.withColumn("part", part.cast("int")), folder, "part", rebalance)
 
 
+def replace_parts(df: DataFrame, folder: str, part: Column) -> None:
+    """Write the parts that ``df`` holds in place of those parts of a table; the others stay.
+
+    The new parts are written beside the table and take their places when all of them are
+    complete: a job that breaks off leaves the table as it was.
+    """
+    whole = df.withColumn("part", part.cast("int")).hint("rebalance", "part")
+    writer = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("part").parquet(folder)
+
+
+def drop_lost_parts(spark: SparkSession, folder: str, parts: DataFrame) -> list[int]:
+    """Remove the parts of a table that ``parts``, a manifest with a ``part`` column, does not have.
+
+    Returns their numbers: one for each folder, which is all that the driver sees.
+    """
+    held = read_table(spark, folder).select("part").distinct()
+    lost = sorted(r["part"] for r in held.join(parts, "part", "left_anti").collect())
+    for number in lost:
+        remove_folder(spark, f"{folder}/part={number}")
+    return lost
+
+
 def part_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -12,6 +12,7 @@ from terravane import constants as K
 from terravane.sources.schemas import record_schema
 
 Paths = str | Sequence[str]
+CLOSING = f"</{K.XML_ROW}>"
 
 
 def _reader(spark: SparkSession, **options: str):
@@ -37,11 +38,18 @@ def record_texts(
     way a record that does not end is a text of its own, up to the next one, so that it takes
     none of its neighbours along.
     """
-    opening, closing = f"<{K.XML_ROW}", f"</{K.XML_ROW}>"
     if split:
-        text = spark.read.option("lineSep", closing).text(_list(paths))
+        text = spark.read.option("lineSep", CLOSING).text(_list(paths))
     else:
         text = spark.read.text(_list(paths), wholetext=True)
+    files = [] if file_column is None else [F.col("_metadata.file_path").alias(file_column)]
+    return cut_records(text.select("value", *files), split)
+
+
+def cut_records(text: DataFrame, split: bool = True) -> DataFrame:
+    """``record`` in place of the text column ``value``, which holds pieces of files: each up to a
+    closing tag, which is left out, or (``split=False``) whole files."""
+    opening, closing = f"<{K.XML_ROW}", CLOSING
     value = f"concat(value, '{closing}')" if split else "value"
     pieces = f"filter(split({value}, '(?=<{K.XML_ROW}[\\\\s>])'), p -> startswith(p, '{opening}'))"
     whole = f"regexp_extract(p, '(?s)^.*?</{K.XML_ROW}\\\\s*>', 0)"
@@ -53,10 +61,8 @@ def record_texts(
         single = f"octet_length(substring_index(value, '{opening}', 1)) + {len(opening)} + octet_length({last})"
         records = f"""CASE WHEN {single} = octet_length(value) THEN array(concat('{opening}', {last}, '{closing}'))
             ELSE {records} END"""
-    kept = [F.explode(F.expr(records)).alias("record")]
-    if file_column is not None:
-        kept.append(F.col("_metadata.file_path").alias(file_column))
-    return text.where(F.contains("value", F.lit(opening))).select(*kept)
+    others = [c for c in text.columns if c != "value"]
+    return text.where(F.contains("value", F.lit(opening))).select(F.explode(F.expr(records)).alias("record"), *others)
 
 
 def infer_schema(spark: SparkSession, paths: Paths, object_type: str) -> T.StructType:
