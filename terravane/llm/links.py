@@ -50,7 +50,9 @@ def _state(edges: DataFrame) -> tuple:
 def local_roots(linked: np.ndarray) -> np.ndarray:
     """For a symmetric matrix of links among a block of rows: the first row each one reaches."""
     roots = np.full(len(linked), -1)
-    for start in range(len(linked)):
+    alone = np.flatnonzero(linked.sum(axis=1) <= linked.diagonal())
+    roots[alone] = alone
+    for start in np.flatnonzero(roots < 0):
         if roots[start] >= 0:
             continue
         front = np.array([start])

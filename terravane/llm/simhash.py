@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -17,10 +18,43 @@ from terravane.llm.trees import blocks, depth, grow
 
 WORDS, RADIUS, SEED, LEAF = 4, 4, 42, 1024
 
-#: Bits of each band and the radius searched in it. Fingerprints with at most 4 differing bits
-#: differ by at most 1 bit in one of the first two bands or by none in the third, since 2 + 2 + 1
-#: differing bits would be 5.
-BANDS = ((0x1FFFFFF, 1), (0x1FFFFFF << 25, 1), (0x3FFF << 50, 0))
+#: Fingerprints up to which three bands of one layout serve, see :func:`layout`.
+SMALL, MEDIUM = 1 << 20, 1 << 27
+
+#: Bits of a band, as a mask, and the radius searched in it.
+Band = tuple[int, int]
+
+
+def side_by_side(*bands: tuple[int, int]) -> list[Band]:
+    """Bands of so many bits and such a radius, one after the other."""
+    found, at = [], 0
+    for bits, radius in bands:
+        found.append((((1 << bits) - 1) << at, radius))
+        at += bits
+    return found
+
+
+def exact_blocks(blocks: int, equal: int) -> list[Band]:
+    """A band of radius 0 for every choice of ``equal`` out of ``blocks`` blocks of bits."""
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    masks = [(1 << b) - (1 << a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [(sum(some), 0) for some in combinations(masks, equal)]
+
+
+def layout(n: int) -> list[Band]:
+    """Bands for ``n`` fingerprints that no pair within 4 bits escapes.
+
+    With three bands of radius 1, 1 and 0 a pair missed by all would differ by 2 + 2 + 1 bits. A
+    fingerprint then meets about ``26 n / 2 ** 25`` others twice and ``n / 2 ** 14`` in the third
+    band; with more fingerprints the third takes bits from the others. For very many, 3 of 7
+    blocks must be equal, since 4 differing bits lie in at most 4 blocks: 35 bands of 27 bits,
+    in which trees need no overlap.
+    """
+    if n <= SMALL:
+        return side_by_side((25, 1), (25, 1), (14, 0))
+    if n <= MEDIUM:
+        return side_by_side((23, 1), (23, 1), (18, 0))
+    return exact_blocks(7, 3)
 
 
 def fingerprint(text: str | None) -> int:
@@ -59,24 +93,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def near_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_links(marks: DataFrame, radius: int = RADIUS, bands: list[Band] | None = None) -> DataFrame:
     """Links ``(a, b)`` that connect all of ``fp``, distinct, that lie within ``radius`` bits.
 
-    One vantage-point tree for each band of bits: a level has a vantage point, a node splits
+    One vantage-point tree for each band of bits (see :func:`layout`): a level has a vantage point, a node splits
     at its median distance to it, and by the triangle inequality only fingerprints within the
     band's radius above the boundary are needed on both sides. Leaves are compared in full. Of
     the pairs in a leaf the links of a spanning forest are returned: they join the same groups.
     """
     if radius > RADIUS:
         raise ValueError(f"the bands are made for a radius of up to {RADIUS}")
-    spots = np.random.default_rng(SEED).integers(-(2**63), 2**63, (len(BANDS), 64), dtype=np.int64)
+    n = marks.count()
+    bands = bands or layout(n)
+    spots = np.random.default_rng(SEED).integers(-(2**63), 2**63, (len(bands), 64), dtype=np.int64)
 
     def signed(x: int) -> int:
         return x - (1 << 64) if x >> 63 else x
 
     def measure(level: int):
         tree, value = F.col("tree"), None
-        for band, (mask, _) in enumerate(BANDS):
+        for band, (mask, _) in enumerate(bands):
             far = F.bit_count(
                 F.col("fp").bitwiseXOR(F.lit(int(spots[band, level]))).bitwiseAND(F.lit(signed(mask)))
             )
@@ -84,11 +120,11 @@ def near_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
         return value
 
     reach = F.lit(0)
-    for band, (_, r) in enumerate(BANDS):
+    for band, (_, r) in enumerate(bands):
         reach = F.when(F.col("tree") == band, r).otherwise(reach)
-    trees = F.explode(F.array(*[F.lit(band) for band in range(len(BANDS))])).alias("tree")
+    trees = F.explode(F.array(*[F.lit(band) for band in range(len(bands))])).alias("tree")
     rows = marks.select("fp", trees)
-    leaves = grow(rows, measure, reach, F.lit(0), LEAF, depth(marks.count(), LEAF, 0.6))
+    leaves = grow(rows, measure, reach, F.lit(0), LEAF, depth(n, LEAF, 0.6))
 
     def compare(leaf: pd.DataFrame) -> pd.DataFrame:
         fp = np.unique(leaf["fp"].to_numpy())

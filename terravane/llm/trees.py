@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from terravane.llm.tables import stored
 
+#: Rows that a task splits in a round.
+DEAL = 50_000
 #: Levels that one round adds: each round is one aggregate and one pass over the rows.
 ROUND = 4
 
@@ -50,7 +52,10 @@ def grow(
             value, cut = measure(level + k), F.col(f"_cut{k}")
             left, right = value <= cut + left_reach, value > cut - right_reach
             nodes = F.flatten(F.transform(nodes, _children(left, right)))
-        split = joined.where("_n is not null").withColumn("_nodes", nodes)
+        # A few small files would be read by a few tasks: rows are dealt out before they multiply.
+        total = large.agg(F.sum("_n")).first()[0]
+        dealt = joined.where("_n is not null").repartition(max(1, -(-total // DEAL)))
+        split = dealt.withColumn("_nodes", nodes)
         kept = [c for c in active.columns if c != "node"]
         active = stored(split.select(*kept, F.explode("_nodes").alias("node")), "split")
         level += steps
