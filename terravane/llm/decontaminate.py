@@ -8,14 +8,17 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terravane.llm.tables import in_blocks, scope, stored
+
 #: One error is allowed for so many letters and digits of an item: its pieces are about as long.
 LETTERS_PER_ERROR = 14
-#: Items searched for in one pass over the documents.
-ITEMS = 20_000
+#: Bytes of items searched for in one pass over the documents: what is broadcast at a time.
+BLOCK = 16 << 20
 
 _OTHER = re.compile(r"[\W_]+")
 
@@ -113,17 +116,23 @@ def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def _searches(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of :data:`ITEMS`: the driver holds one block at a time."""
+def item_blocks(benchmark: DataFrame, limit: int = BLOCK) -> DataFrame:
+    """``item_id``, ``text`` and ``block`` of every item, dealt out by bytes."""
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    block: list[tuple[int, str]] = []
-    for item, text in rows.where("item_id is not null and text is not null").distinct().toLocalIterator():
-        block.append((item, text))
-        if len(block) == ITEMS:
-            yield block
-            block = []
-    if block:
-        yield block
+    items = rows.where("item_id is not null and text is not null").distinct()
+    sized = items.withColumn("bytes", F.octet_length("text").cast("long"))
+    return in_blocks(sized, "bytes", limit, "item_id", F.xxhash64("text")).drop("bytes")
+
+
+def _searches(benchmark: DataFrame) -> Iterator[Broadcast]:
+    """One block of the benchmark after the other, broadcast; the caller destroys what it has used."""
+    spark = benchmark.sparkSession
+    with scope(spark):
+        blocks = stored(item_blocks(benchmark), "items")
+        for (block,) in blocks.select("block").distinct().orderBy("block").collect():
+            rows = blocks.where(F.col("block") == block).orderBy("item_id", "text").collect()
+            sent = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
+            yield sent
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -138,11 +147,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     an empty result.
     """
     spark = docs.sparkSession
+    result = None
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, distance int, budget int"
-    result = None
-    for block in _searches(benchmark):
-        sent = spark.sparkContext.broadcast(block)
+    for sent in _searches(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             search = Search(sent.value)
@@ -158,7 +166,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     ["doc_id", "item_id", "distance", "budget"],
                 )
 
-        part = texts.mapInArrow(run, schema)
+        # Stored before the next block comes, so that one is held at a time.
+        part = stored(texts.mapInArrow(run, schema), "hits", keep=True)
+        sent.destroy()
         result = part if result is None else result.union(part)
     return spark.createDataFrame([], schema) if result is None else result
 
@@ -166,8 +176,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns, that hold no benchmark item; see :func:`contaminated`."""
     schema, at = T.StructType([*docs.schema.fields]), docs.columns.index("text")
-    for block in _searches(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+    last = None
+    for sent in _searches(benchmark):
+        if last is not None:  # what the blocks so far leave is stored before the next one comes
+            docs = stored(docs, "clean", keep=True)
+            last.destroy()
+        last = sent
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             search = Search(sent.value)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terravane.llm.tables import in_order, offsets, running, scope, stored
+from terravane.llm.tables import in_blocks, scope, stored
 
 TOP = 10
 #: Bytes of items' terms in an index, at most (but for an item that is larger by itself).
@@ -82,10 +82,7 @@ def item_blocks(items: DataFrame, limit: int = BLOCK) -> DataFrame:
     texts = texts.dropDuplicates(["item_id", "text"]).select("item_id", "text", F.xxhash64("text").alias("key"))
     schema = "item_id long, key long, terms array<binary>, times array<long>, bytes long"
     found = stored(texts.mapInArrow(run, schema).where("bytes > 0"), "item-terms")
-    placed = stored(running(in_order(found, "item_id", "key"), "bytes"), "placed-items")
-    before = placed.join(stored(offsets(placed, F.sum("bytes")), "starts"), "_part")
-    block = F.floor((F.col("_before") + F.col("_within")) / F.lit(limit))
-    return before.select("item_id", "key", "terms", "times", block.alias("block"))
+    return in_blocks(found, "bytes", limit, "item_id", "key").drop("bytes")
 
 
 def term_counts(docs: DataFrame, index: Index) -> DataFrame:

@@ -97,6 +97,17 @@ def offsets(placed: DataFrame, total: Column) -> DataFrame:
     return sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
 
 
+def in_blocks(df: DataFrame, size: str, limit: int, *order: Column | str) -> DataFrame:
+    """``df`` with ``block``: consecutive rows of the order whose ``size`` adds up to ``limit``, about.
+
+    A block holds less than ``limit`` before its last row.
+    """
+    placed = stored(running(in_order(df, *order), size), "placed")
+    before = placed.join(stored(offsets(placed, F.sum(size)), "starts"), "_part")
+    block = F.floor((F.col("_before") + F.col("_within")) / F.lit(limit))
+    return before.withColumn("block", block).drop("_part", "_place", "_before", "_within")
+
+
 def positions(df: DataFrame, *order: Column | str) -> DataFrame:
     """``df`` with ``_position``: the place of each row, from 0, in the whole order."""
     placed = stored(in_order(df, *order), "ordered")
