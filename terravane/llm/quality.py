@@ -16,9 +16,9 @@ from terravane.llm.tables import stored
 
 #: Labelled documents that the document classifier is fitted on, about.
 SAMPLE = 20_000
-#: A path counts as much as so many documents of its host before it has any of its own.
-PATH_STRENGTH = 20.0
 KEEP = 0.5
+#: Strength of the path prior at most, which it has where paths differ no more than by chance.
+MOST = 10_000.0
 
 FEATURES = 10
 _ODD = re.compile(r"[^\w\s.,;:'\"()\-]")
@@ -112,8 +112,9 @@ def score_quality(
     picked by a hash (only those where ``learn`` over ``doc_id`` holds), gives each document its
     evidence. A document adds its label, or the evidence's probability where it has none, to
     its host and its path. A host's posterior is shrunk to the global mean as strongly as the
-    spread of the hosts asks for (moments of a beta prior); a path's is shrunk to its host's.
-    The score joins the document's log-odds with those by which its path differs from the mean.
+    spread of the hosts asks for (moments of a beta prior), a path's to its host's as strongly as
+    the spread of paths within hosts does. The score joins the document's log-odds with those by
+    which its path, without the document itself, differs from the mean.
 
     Returns ``doc_id``, ``evidence`` (log-odds), ``host_posterior``, ``path_posterior``,
     ``score`` (0 to 1) and ``kept`` (score of a half or more) for each row. A null host or path
@@ -157,14 +158,20 @@ def score_quality(
     hosts = stored(hosts, "hosts")
     mean, strength = _prior(hosts)
     posterior = (F.col("host_good") + strength * mean) / (F.col("host_n") + strength)
-    hosts = hosts.select(F.col("host").alias("_host"), posterior.alias("host_posterior"))
-    own = (F.col("good") + PATH_STRENGTH * F.col("host_posterior")) / (F.col("n") + PATH_STRENGTH)
+    hosts = hosts.select(F.col("host").alias("_host"), "host_n", "host_good", posterior.alias("host_posterior"))
     sites = paths.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-    sites = stored(sites.select("_host", F.col("path").alias("_path"), "host_posterior", own.alias("path_posterior")), "sites")
+    inner = _path_strength(sites)
+    own = (F.col("good") + inner * F.col("host_posterior")) / (F.col("n") + inner)
+    sites = sites.select("_host", F.col("path").alias("_path"), "n", "good", "host_n", "host_good", "host_posterior", own.alias("path_posterior"))
+    sites = stored(sites, "sites")
     scored = weighed.join(
         sites, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))
     )
-    site = F.ln(F.col("path_posterior") / (1 - F.col("path_posterior"))) - math.log(mean / (1 - mean))
+    # What the others say of the site: a document's own word is in its evidence.
+    host = (F.col("host_good") - truth + strength * mean) / (F.col("host_n") - 1 + strength)
+    others = (F.col("good") - truth + inner * host) / (F.col("n") - 1 + inner)
+    others = F.least(F.greatest(others, F.lit(1e-6)), F.lit(1 - 1e-6))
+    site = F.ln(others / (1 - others)) - math.log(mean / (1 - mean))
     score = 1 / (1 + F.exp(-(F.col("evidence") + site)))
     result = scored.withColumn("score", score)
     return result.select(
@@ -172,6 +179,22 @@ def score_quality(
     )
 
 
+def _path_strength(sites: DataFrame) -> float:
+    """Documents of its host that a path counts as before it has any of its own, by moments: the
+    spread of paths around their hosts beyond what chance gives paths of their sizes."""
+    host_rate = F.col("host_good") / F.col("host_n")
+    chance = host_rate * (1 - host_rate)
+    off = F.col("n") * (F.col("good") / F.col("n") - host_rate) ** 2
+    left = 1 - F.col("n") / F.col("host_n")
+    total = sites.agg(F.sum(off), F.sum(left * chance), F.sum(F.col("n") * left), F.sum(F.col("n") * chance), F.sum("n")).first()
+    spread, expected, free, weighed, n = (float(v or 0) for v in total)
+    inner = weighed / n if n else 0.0
+    if not inner or free <= 0:
+        return MOST
+    share = min(max((spread - expected) / free / inner, 1 / (1 + MOST)), 0.5)
+    return round(1 / share - 1, 6)
+
+
 def _prior(hosts: DataFrame) -> tuple[float, float]:
     """Mean and strength of the beta prior of hosts by moments: their spread beyond chance.
 
