@@ -131,8 +131,20 @@ def test_simhash_against_all_pairs(spark, monkeypatch):
     check_simhash(rows)
 
 
-def test_near_fingerprints_are_linked_through_small_leaves(spark, monkeypatch):
+@pytest.mark.parametrize("n", [1, simhash.SMALL + 1, simhash.MEDIUM + 1])
+def test_no_four_bits_escape_all_bands(n):
+    bands = simhash.layout(n)
+    rng = np.random.default_rng(n)
+    for _ in range(20_000):
+        bits = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+        assert any((bits & mask).bit_count() <= radius for mask, radius in bands)
+
+
+@pytest.mark.parametrize("limits", [(1 << 20, 1 << 27), (0, 1 << 27), (0, 0)])
+def test_near_fingerprints_are_linked_through_small_leaves(spark, monkeypatch, limits):
     monkeypatch.setattr(simhash, "LEAF", 32)
+    monkeypatch.setattr(simhash, "SMALL", limits[0])
+    monkeypatch.setattr(simhash, "MEDIUM", limits[1])
     rng = np.random.default_rng(3)
     seeds = rng.integers(-(2**62), 2**62, 120)
     near = [int(s) ^ sum(1 << int(b) for b in rng.choice(62, k, replace=False)) for s in seeds for k in (1, 4, 5)]
@@ -347,6 +359,20 @@ def test_lines_odd_rows(odd_docs, no_docs):
     assert lines.dedup_lines(no_docs).count() == 0
 
 
+# --- blocks of the benchmark ----------------------------------------------------------------
+
+
+def test_benchmark_in_blocks_gives_the_same_hits(spark, monkeypatch):
+    docs, bench = docs_of(spark), spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    whole = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    clean = sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect())
+    blocks = decontaminate.item_blocks
+    assert blocks(bench, 3000).select("block").distinct().count() > 2
+    monkeypatch.setattr(decontaminate, "item_blocks", lambda items: blocks(items, 3000))
+    assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == whole and whole
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()) == clean
+
+
 # --- units ----------------------------------------------------------------------------------
 
 
@@ -569,6 +595,48 @@ def test_sparse_sites_shrink_to_the_mean(spark):
     assert by[1000] < 0.2 and by[0] > 0.9 and by[1000] < host.pop() < by[0]
 
 
+def plain_posteriors(sites, mean, strength):
+    """Site posteriors by plain sums; ``sites`` has ``(host, path, truth)`` of each document."""
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for host, path, truth in sites:
+        hosts[host].append(truth)
+        paths[host, path].append(truth)
+    rate = {h: sum(t) / len(t) for h, t in hosts.items()}
+    spread = sum(len(t) * (sum(t) / len(t) - rate[h]) ** 2 for (h, _), t in paths.items())
+    left = {k: 1 - len(t) / len(hosts[k[0]]) for k, t in paths.items()}
+    expected = sum(left[k] * rate[k[0]] * (1 - rate[k[0]]) for k in paths)
+    free = sum(len(t) * left[k] for k, t in paths.items())
+    inner = sum(len(t) * rate[k[0]] * (1 - rate[k[0]]) for k, t in paths.items()) / len(sites)
+    share = min(max((spread - expected) / free / inner, 1 / (1 + quality.MOST)), 0.5)
+    own = 1 / share - 1
+    host = {h: (sum(t) + strength * mean) / (len(t) + strength) for h, t in hosts.items()}
+    return {k: (host[k[0]], (sum(t) + own * host[k[0]]) / (len(t) + own)) for k, t in paths.items()}
+
+
+@pytest.mark.parametrize("differ", [0.0, 0.3])
+def test_site_posteriors_against_plain_sums(spark, differ):
+    rng = np.random.default_rng(4)
+    sites = []
+    for h in range(12):
+        rate = rng.beta(4, 4)
+        for p in range(6):
+            own = float(np.clip(rate + rng.normal() * differ, 0.02, 0.98))
+            sites += [(f"h{h}", f"p{p}", int(rng.random() < own)) for _ in range(rng.integers(1, 60))]
+    docs = spark.createDataFrame([(i, "words", h, p) for i, (h, p, _) in enumerate(sites)], "doc_id long, text string, host string, path string")
+    labels = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(sites)], "doc_id long, quality int")
+    rows = quality.score_quality(docs, labels, F.col("host"), F.col("path")).collect()
+    hosts = defaultdict(list)
+    for h, _, t in sites:
+        hosts[h].append(t)
+    totals = spark.createDataFrame([(float(len(t)), float(sum(t))) for t in hosts.values()], "host_n double, host_good double")
+    want = plain_posteriors(sites, *quality._prior(totals))
+    for r in rows:
+        host, path = want[sites[r["doc_id"]][:2]]
+        assert math.isclose(r["host_posterior"], host, abs_tol=1e-6) and math.isclose(r["path_posterior"], path, abs_tol=1e-6)
+    spread = {round(r["path_posterior"] - r["host_posterior"], 3) for r in rows}
+    assert (max(map(abs, spread)) > 0.1) == (differ > 0)
+
+
 def test_quality_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (None, 1), (6, None), (99, 1)], "doc_id long, quality int")
     for marks in (labels, labels.limit(0)):
