@@ -75,20 +75,23 @@ def depth(n: int, leaf: int, shrink: float) -> int:
     return 0 if n <= leaf else min(50, math.ceil(math.log(n / leaf) / -math.log(shrink)) + ROUND)
 
 
-def blocks(leaves: DataFrame, key: str, block: int) -> DataFrame:
+def blocks(leaves: DataFrame, key: str, block: int, weight: str | None = None, heaviest: int = 1) -> DataFrame:
     """Rows of leaves with ``first`` and ``second``: the pair of blocks that a task compares.
 
-    A leaf of up to ``block`` rows is one block. A larger one, whose rows no split told apart,
-    is cut into blocks by a hash of ``key``; each row goes to every pair its ``chunk`` is in, so
-    all pairs of the leaf are compared and no task holds more than two blocks.
+    A leaf of up to ``block`` rows (and, with ``weight``, whose weights add up to ``heaviest`` at
+    most) is one block. A larger one, whose rows no split told apart, is cut into blocks by a
+    hash of ``key``; each row goes to every pair its ``chunk`` is in, so all pairs of the leaf are
+    compared and no task holds more than two blocks.
     """
     leaves = stored(leaves, "leaves")
-    sizes = leaves.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_n"))
-    large = stored(
-        sizes.where(F.col("_n") > block).withColumn("_k", F.ceil(F.col("_n") / (block * 0.8))), "large"
-    )
+    load = F.count(F.lit(1)) / F.lit(block)
+    if weight is not None:
+        load = F.greatest(load, F.sum(weight) / F.lit(heaviest))
+    sizes = leaves.groupBy("tree", "node").agg(load.alias("_load"))
+    large = sizes.where("_load > 1").select("tree", "node", F.ceil(F.col("_load") / 0.8).alias("_k"))
+    large = stored(large, "large")
     chunks = F.coalesce(F.col("_k"), F.lit(1))
-    cut = leaves.join(large.drop("_n"), ["tree", "node"], "left").select(
+    cut = leaves.join(large, ["tree", "node"], "left").select(
         *leaves.columns,
         F.pmod(F.xxhash64(F.col(key), F.lit(7)), chunks).cast("int").alias("chunk"),
         F.explode(F.sequence(F.lit(0), (chunks - 1).cast("int"))).alias("_other"),

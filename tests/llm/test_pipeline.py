@@ -95,8 +95,10 @@ def test_near_copies_against_all_pairs(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == plain_first_of_copies(docs)
 
 
-def test_near_copies_in_chains_through_small_leaves(spark, monkeypatch):
-    monkeypatch.setattr(copies, "LEAF", 8)
+@pytest.mark.parametrize("limits", [(8, 1 << 21), (1024, 900)])
+def test_near_copies_in_chains_through_small_leaves(spark, monkeypatch, limits):
+    monkeypatch.setattr(copies, "LEAF", limits[0])
+    monkeypatch.setattr(copies, "HEAVIEST", limits[1])
     rng = np.random.default_rng(9)
     docs, words = {}, [f"w{rng.integers(10**6)}" for _ in range(300)]
     for i in range(60):
