@@ -214,6 +214,8 @@ SELECT {_identifier("s_suppkey")} AS identificatie, s_name AS naam, {_point_text
   '9999VBO08102022-' || lpad(CAST(s_suppkey // 20 AS VARCHAR), 6, '0') || '.xml' AS member
 FROM supplier"""
 
+SQL["listed_files"] = "SELECT DISTINCT CAST(o_orderkey % 37 AS INTEGER) AS part FROM orders"
+
 SQL["new_files"] = f"""
 SELECT {_identifier("o_orderkey")} AS identificatie, o_orderkey % 3 AS delivery
 FROM orders WHERE o_orderkey % 3 < 2"""
@@ -255,6 +257,11 @@ SQL["packed_geometry"] = f"""
 SELECT s_suppkey, CAST(NULL AS VARCHAR) AS geo_multi_polygon,
   CAST(NULL AS VARCHAR) AS geo_polygon, wkt AS geo_point FROM ({SQL["point_wkt"]})"""
 
+SQL["conditional_projection"] = f"""
+SELECT {_number("s_suppkey")} AS identificatie, CAST(1 AS BIGINT) AS "historieIdentificatie",
+  'Verblijfsobject' AS "objType", wkt FROM ({SQL["point_wkt"]})
+UNION ALL SELECT {_number("n_nationkey")}, 1, 'Nummeraanduiding', NULL FROM nation"""
+
 SQL["align_to_template"] = """
 SELECT p_partkey, p_name, CAST(NULL AS VARCHAR) AS geo_polygon_0,
   CAST(NULL AS VARCHAR) AS geo_polygon_1 FROM part"""

@@ -14,7 +14,7 @@ from terravane.functions import gml, grid, names
 from terravane.functions.projection import rd_to_wgs84
 from terravane.operators import chunks, quality, vertices
 from terravane.operators.attach import attach
-from terravane.operators.columns import align_columns, drop_null, expand_struct, record_ids, union_all
+from terravane.operators.columns import align_columns, drop_null, expand_struct, path_or_null, record_ids, union_all
 from terravane.operators.geometry import complete_geometry, convert_geometry, geometry_struct
 from terravane.plans import chunking, dimension, model
 from terravane.plans.dimension import geo_dimension as stored_geo_dimension
@@ -231,6 +231,18 @@ def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part folders of one type found by listing its files, beside a type whose name goes on from it."""
+    root = work_folder(spark, "listed")
+    orders = S.table(spark, sf_dir, "orders").select("o_orderkey")
+    files.write_parts(orders, f"{root}/Pand", F.pmod(F.col("o_orderkey"), F.lit(37)))
+    files.write_parts(orders, f"{root}/Pand_geo_splitted", F.lit(99))
+    found = files.list_files(spark, f"{root}/Pand").where("length > 0")
+    part = F.regexp_extract("path", r"/Pand/part=(\d+)/[^/]+$", 1)
+    return found.select(part.cast("int").alias("part")).distinct()
+
+
 @query
 def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in two deliveries: each run takes the files that came since the one before."""
@@ -306,6 +318,18 @@ def struct_fields_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_geometry(df).select("s_suppkey", "geometry.*")
 
 
+@query
+def conditional_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of a type that has geometry and of one that has none, by the tables' schemas."""
+    places = S.records(S.table(spark, sf_dir, "nation"), "n_nationkey", None)
+    frames = [("Verblijfsobject", _point_tables(spark, sf_dir)), ("Nummeraanduiding", convert_geometry(places))]
+    rows = [
+        record_ids(df, F.lit(name).alias("objType"), path_or_null(df, "geometry", "geo_point").alias("wkt"))
+        for name, df in frames
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 @query
 def packed_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _point_tables(spark, sf_dir)

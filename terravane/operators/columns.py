@@ -26,6 +26,14 @@ def has_path(schema: T.DataType, *names: str) -> bool:
     return type_at(schema, *names) is not None
 
 
+def path_or_null(df: DataFrame, *names: str) -> Column:
+    """The nested field at a path, or a null text where the schema of ``df`` lacks it: chosen while
+    the plan is built, so that a missing field costs nothing."""
+    if not has_path(df.schema, *names):
+        return F.lit(None).cast("string")
+    return F.col(".".join(quoted(name) for name in names))
+
+
 def expand_struct(df: DataFrame, name: str) -> DataFrame:
     """Replace everything by the fields of one struct column."""
     return df.select(f"{name}.*")

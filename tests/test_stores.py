@@ -253,3 +253,32 @@ def scanned(df) -> int:
         children = node.children()
         nodes += [children.apply(i) for i in range(children.size())]
     raise AssertionError("no scan")
+
+
+# --- command line ---------------------------------------------------------------------------
+
+
+def test_drift_deliveries_and_layouts_by_command(spark, tmp_path):
+    from terravane import jobs
+
+    raw, stored = f"{tmp_path}/xml", f"{tmp_path}/tables"
+    Path(raw, "PND").mkdir(parents=True)
+    deliver(Path(raw, "PND"), "9999PND-000001", "01", "02")
+    kinds = ["--types", "Pand"]
+    jobs.main(["ingest", raw, stored, *kinds])
+    schemas_of = ["--schemas", f"{stored}/_schemas", *kinds]
+    page = (Path(raw) / "PND" / "9999PND-000001.xml").read_text()
+    more = page.replace("</Objecten:Pand>", "<Objecten:nieuw>1</Objecten:nieuw></Objecten:Pand>", 1)
+    (Path(raw) / "PND" / "9999PND-000102.xml").write_text(more)
+    jobs.main(["drift", raw, stored, *schemas_of])
+    drift = files.read_table(spark, f"{stored}/_drift/Pand").collect()
+    assert [tuple(r) for r in drift] == [("Objecten:Pand/Objecten:nieuw", "added", 1)]
+    jobs.main(["ingest", raw, stored, *schemas_of, "--parts", "1"])
+    assert files.part_counts(files.read_table(spark, f"{stored}/Pand")).orderBy("part").collect() == [(0, 2), (1, 2)]
+    jobs.main(["dimension", stored, *kinds, "--by-place"])
+    jobs.main(["chunks", stored, *kinds, "--observed", "--width", "40"])
+    assert dimension.window(spark, f"{stored}/dim_Pand", 50.8, 3.3, 53.6, 7.1).count() == 16
+    assert "geo_polygon_2" in files.read_table(spark, f"{stored}/Pand_geo_splitted").columns
+    for _ in range(2):
+        jobs.main(["new", raw, f"{tmp_path}/new", *schemas_of])
+    assert files.read_table(spark, f"{tmp_path}/new/Pand/records").count() == 4
