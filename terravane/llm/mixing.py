@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.tables import in_order, offsets, renamed, running, scope, stored
@@ -21,24 +21,37 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     weight follows from what is left. Adds ``target``, ``rank`` (from 0) and ``start`` (words of
     the sources before).
 
-    The windows run over one row for each source, a handful of bytes each.
+    Sums over the sources before one are prefix sums in range partitions, like those over
+    documents: sources may be as many as there are hosts. The driver gets three totals.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = sizes.withColumn("rank", F.row_number().over(order) - 1).withColumn(
-        "start", F.coalesce(F.sum("source_size").over(earlier), F.lit(0))
-    )
-    turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    weighed = ranked.withColumn("weight", turn)
-    fill = Window.orderBy(F.col("source_size") / F.col("weight"), "rank")
-    before, after = fill.rowsBetween(Window.unboundedPreceding, -1), fill.rowsBetween(0, Window.unboundedFollowing)
-    everything = F.sum("source_size").over(Window.partitionBy())
-    level = (everything - epochs * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / F.sum("weight").over(after)
-    limit = F.col("source_size") * F.lit(float(epochs))
-    filled = weighed.withColumn("level", level).withColumn("stops", limit <= F.col("level") * F.col("weight"))
-    unit = F.max(F.when(~F.col("stops"), F.col("level"))).over(Window.partitionBy())
-    target = F.when(F.col("stops") | unit.isNull(), limit).otherwise(F.least(limit, unit * F.col("weight")))
-    return filled.select("source", "source_size", "rank", "start", F.round(target, 6).alias("target"))
+    with scope(sizes.sparkSession):
+        first = in_order(stored(sizes, "sizes"), F.col("source").asc_nulls_last())
+        placed = stored(running(first, "source_size"), "sources")
+        counts = offsets(placed, F.count(F.lit(1))).withColumnRenamed("_before", "_rows")
+        starts = stored(offsets(placed, F.sum("source_size")).join(counts, "_part"), "starts")
+        rank = F.col("_rows") + F.col("_place").bitwiseAND((1 << 33) - 1)
+        ranked = placed.join(starts, "_part").select(
+            "source", "source_size", rank.alias("rank"), (F.col("_before") + F.col("_within")).alias("start")
+        )
+        turn = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+        weighed = stored(ranked.withColumn("weight", turn.cast("long")), "weighed")
+        words, weight = (int(v or 0) for v in weighed.agg(F.sum("source_size"), F.sum("weight")).first())
+
+        fill = in_order(weighed, F.col("source_size") / F.col("weight"), "rank")
+        summed = running(fill, "source_size").withColumnRenamed("_within", "_words")
+        filled = stored(running(summed, "weight"), "filled")
+        less = offsets(filled, F.sum("source_size")).withColumnRenamed("_before", "_words_before")
+        less = stored(less.join(offsets(filled, F.sum("weight")), "_part"), "less")
+        used = F.lit(words) - epochs * (F.col("_words_before") + F.col("_words"))
+        level = used.cast("double") / (F.lit(weight) - F.col("_before") - F.col("_within")).cast("double")
+        limit = F.col("source_size") * F.lit(float(epochs))
+        levelled = filled.join(less, "_part").withColumn("level", level)
+        known = levelled.withColumn("stops", limit <= F.col("level") * F.col("weight"))
+        goals = known.select("source", "source_size", "rank", "start", "weight", "level", "stops")
+        goals = stored(goals, "levels", keep=True)
+    unit = goals.agg(F.max(F.when(~F.col("stops"), F.col("level")))).first()[0]
+    target = limit if unit is None else F.when(F.col("stops"), limit).otherwise(F.least(limit, F.lit(unit) * F.col("weight")))
+    return goals.select("source", "source_size", "rank", "start", F.round(target, 6).alias("target"))
 
 
 def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None, store: bool = True) -> DataFrame:
