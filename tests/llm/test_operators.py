@@ -241,6 +241,23 @@ def test_targets_share_the_excess(spark):
     assert got == {"a": 72.0, "b": 3.0, "c": 6.0, None: 72.0}
 
 
+def test_targets_of_many_sources_against_plain_shares(spark):
+    rng = np.random.default_rng(6)
+    sizes = {f"s{i:04d}": int(rng.pareto(0.7) * 50) for i in range(700)}
+    got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    weight = {s: 1 + i % 3 for i, s in enumerate(sorted(sizes))}
+    full, left = set(), sum(sizes.values())
+    while True:
+        free = [s for s in sizes if s not in full]
+        unit = (left - sum(3 * sizes[s] for s in full)) / sum(weight[s] for s in free)
+        more = {s for s in free if 3 * sizes[s] <= unit * weight[s]}
+        if not more:
+            break
+        full |= more
+    want = {s: 3.0 * sizes[s] if s in full else unit * weight[s] for s in sizes}
+    assert all(math.isclose(got[s], want[s], abs_tol=1e-5) for s in sizes) and 0 < len(full) < 700
+
+
 def test_mix_odd_rows(odd_docs, no_docs):
     rows = mixing.mix(odd_docs).collect()
     assert len(rows) == 12 and sorted(map(str, rows)) == sorted(map(str, mixing.mix(odd_docs).collect()))
