@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,17 +22,27 @@ KEEP = 0.5
 #: Strength of the path prior at most, which it has where paths differ no more than by chance.
 MOST = 10_000.0
 
-FEATURES = 10
+#: Counts and shares of a text, and buckets that its words and their endings are hashed into.
+SHARES, BUCKETS = 10, 128
+FEATURES = SHARES + BUCKETS
+#: Rows handled at a time.
+SLICE = 256
 _ODD = re.compile(r"[^\w\s.,;:'\"()\-]")
 
 
 def features(text: str | None) -> list[float]:
-    """Shares and lengths of the whole text that tell prose from junk."""
+    """Shares and lengths of the whole text that tell prose from junk, then its words and the last
+    three letters of each, hashed, as shares of all words."""
     words = (text or "").split()
     n, size = max(len(words), 1), max(len(text or ""), 1)
     letters = sum(map(len, re.findall(r"[^\W\d_]+", text or "")))
     bare = sum(1 for w in words if w.isalpha())
     repeats = sum(1 for a, b in zip(words, words[1:], strict=False) if a == b)
+    lexical = np.zeros(BUCKETS)
+    for word, times in Counter(words).items():
+        low = word.lower().encode()
+        lexical[zlib.crc32(low) % BUCKETS] += times
+        lexical[zlib.crc32(low[-3:], 1) % BUCKETS] += times
     return [
         math.log1p(len(words)),
         letters / size,
@@ -42,12 +54,13 @@ def features(text: str | None) -> list[float]:
         sum(map(len, words)) / n / 10,
         sum(1 for w in words if w[-1] in ".!?") / n,
         math.log1p(sum(1 for c in (text or "") if c.isdigit())) / 5,
+        *(lexical / n).tolist(),
     ]
 
 
 @dataclass
 class Evidence:
-    """Logistic regression on :func:`features` and their squares."""
+    """Logistic regression on :func:`features` and the squares of the shares among them."""
 
     mean: np.ndarray
     scale: np.ndarray
@@ -55,13 +68,13 @@ class Evidence:
 
     @staticmethod
     def _spread(x: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.ones((len(x), 1)), x, x * x], axis=1)
+        return np.concatenate([np.ones((len(x), 1)), x, x[:, :SHARES] ** 2], axis=1)
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Evidence:
         """Newton's method, with a ridge that keeps separable data finite."""
         if not len(x):
-            return cls(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(1 + 2 * FEATURES))
+            return cls(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(1 + FEATURES + SHARES))
         mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
         z = cls._spread(np.clip((x - mean) / scale, -5, 5))
         w, penalty = np.zeros(z.shape[1]), np.full(z.shape[1], ridge)
@@ -80,14 +93,40 @@ class Evidence:
         return np.clip(z @ self.weights, -15, 15)
 
 
-def measured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
-    """``doc_id``, ``host``, ``path`` and the features of every row."""
-    schema = "doc_id long, host string, path string, x array<double>"
+def _measured(texts: pa.Array) -> np.ndarray:
+    """Features of each text, a few rows at a time."""
+    parts = [texts.slice(at, SLICE).to_pylist() for at in range(0, len(texts), SLICE)]
+    return np.array([features(t) for part in parts for t in part], np.float64).reshape(-1, FEATURES)
+
+
+def taught(docs: DataFrame, known: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of about ``sample`` labelled documents, picked by a hash of their id.
+
+    The picked labels are broadcast, about ``sample`` rows of two numbers, so no text moves.
+    """
+    draw = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1_000_000))
+    picked = known.where(draw < int(min(1.0, sample / max(known.count(), 1)) * 1_000_000))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = pa.array(list(_measured(batch.column(1)).astype(np.float32)), pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), x, batch.column(2)], ["doc_id", "x", "label"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    joined = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+    rows = joined.mapInArrow(run, "doc_id long, x array<float>, label double").orderBy("doc_id", "x").collect()
+    return np.array([r["x"] for r in rows], float).reshape(len(rows), FEATURES), np.array([r["label"] for r in rows], float)
+
+
+def judged(docs: DataFrame, host: Column, path: Column, model: Evidence) -> DataFrame:
+    """``doc_id``, ``host``, ``path`` and the evidence (log-odds) of every whole text."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.mean, model.scale, model.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = Evidence(*sent.value)
         for batch in batches:
-            x = pa.array([features(t.as_py()) for t in batch.column(3)], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], x], ["doc_id", "host", "path", "x"])
+            logit = pa.array(fitted.logit(_measured(batch.column(3))), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], logit], ["doc_id", "host", "path", "evidence"])
 
     rows = docs.select(
         F.col("doc_id").cast("long"),
@@ -95,7 +134,7 @@ def measured(docs: DataFrame, host: Column, path: Column) -> DataFrame:
         path.cast("string").alias("path"),
         F.col("text").cast("string"),
     )
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, "doc_id long, host string, path string, evidence double")
 
 
 def score_quality(
@@ -128,27 +167,11 @@ def score_quality(
     known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(
         F.avg(F.col("quality").cast("double")).alias("label")
     )
-    rows = stored(measured(docs, host, path), "features")
     known = stored(known, "labels")
-    joined = stored(rows.join(known, rows["doc_id"] == known["_id"], "left").drop("_id"), "labelled")
-    n = known.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < int(min(1.0, sample / max(n, 1)) * 1_000_000)
-    taught = joined.where(F.col("label").isNotNull() & draw).select("doc_id", "x", "label").orderBy("doc_id", "x")
-    picked = taught.collect()
-    x = np.array([r["x"] for r in picked], float).reshape(len(picked), FEATURES)
-    model = Evidence.fit(x, np.array([r["label"] for r in picked], float))
-    sent = (model.mean, model.scale, model.weights)
-    schema = "doc_id long, host string, path string, label double, evidence double"
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = Evidence(*sent)
-        for batch in batches:
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
-            logit = fitted.logit(x) if len(x) else np.zeros(0)
-            names = ["doc_id", "host", "path", "label"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(logit)], [*names, "evidence"])
-
-    weighed = stored(joined.mapInArrow(weigh, schema), "evidence")
+    model = Evidence.fit(*taught(docs, known, sample))
+    rows = stored(judged(docs, host, path, model), "judged")
+    weighed = rows.join(known, rows["doc_id"] == known["_id"], "left").drop("_id")
+    weighed = stored(weighed, "evidence")
     truth = F.coalesce("label", 1 / (1 + F.exp(-F.col("evidence"))))
     counted = weighed.groupBy("host", "path").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.round(F.sum(truth), 6).alias("good")
