@@ -18,7 +18,9 @@ from terravane.catalog import shapes
 from terravane.catalog.queries import QUERIES
 from terravane.plans.ingest import object_table
 from terravane.session import build_session
+from terravane.sources.drift import schema_drift
 from terravane.sources.schemas import core_schema
+from terravane.sources.variants import read_variants
 from terravane.sources.workspace import work_folder
 from terravane.sources.xml import read_records, write_records
 
@@ -41,6 +43,11 @@ HEADLINE = [
     "check_not_null",
     "bridge_table",
     "model_report",
+    "rule_rows",
+    "archive_records",
+    "replaced_part",
+    "chunk_observed",
+    "dimension_window",
 ]
 
 
@@ -53,6 +60,9 @@ def xml_jobs(spark, sf_dir: str) -> dict:
         "xml_read_source": lambda: read_records(spark, folder, "Pand", schema, split=False),
         "xml_read_split": lambda: read_records(spark, folder, "Pand", schema),
         "xml_to_geometry": lambda: object_table(spark, folder, "Pand", schema),
+        "xml_to_geometry_polynomial": lambda: object_table(spark, folder, "Pand", schema, "polynomial"),
+        "xml_to_variants": lambda: read_variants(spark, folder, "Pand"),
+        "xml_drift": lambda: schema_drift(spark, folder, schema),
     }
 
 

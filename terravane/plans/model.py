@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -283,24 +283,30 @@ def declared_rules(tables: Iterable[str]) -> list[Rule]:
     return found
 
 
+def _named(rule: Rule, value: Column) -> Column:
+    return F.struct(F.lit(rule.scope).alias("scope"), F.lit(rule.slot).alias("slot"), value.alias("value"))
+
+
 def _counted_values(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
-    """``scope, slot, value`` for every key, reference and broken rule of a table, in one pass."""
-    conditions = [condition for _, _, condition in row_rules(table)]
-    kind = "array<struct<scope: string, slot: int, value: string>>"
+    """``scope, slot, value`` for every key, reference and broken rule of a table, in one pass.
 
-    def named(rule: Rule) -> Column:
+    A generator over a fixed list of cells, nulls where nothing is to be counted, is generated
+    code; lambdas, which are not, are left to the one column that holds lists.
+    """
+    conditions = [condition for _, _, condition in row_rules(table)]
+    cells, lists = [], []
+    for rule in rules:
+        place, own = f"'scope', '{rule.scope}', 'slot', {rule.slot}, 'value'", quoted(rule.column_name)
         if rule.scope.startswith(ROWS):
-            values = F.when(F.expr(conditions[rule.slot]), F.array(F.lit("")))
+            cells.append(f"if({conditions[rule.slot]}, named_struct({place}, ''), NULL)")
         elif rule.rule == "foreign_key" and (table, rule.column_name) == MANY_TO_MANY:
-            values = listed(df, rule.column_name)
+            lists.append(F.transform(listed(df, rule.column_name), partial(_named, rule)))
         else:
-            own = F.col(rule.column_name)
-            values = F.when(own.isNotNull(), F.array(own.cast("string")))
-        place = F.lit(rule.scope).alias("scope"), F.lit(rule.slot).alias("slot")
-        found = F.transform(values, lambda v: F.struct(*place, v.alias("value")))
-        return F.coalesce(found, F.array().cast(kind))
-
-    return df.select(F.inline(F.concat(*[named(r) for r in rules])))
+            cells.append(f"if({own} IS NOT NULL, named_struct({place}, string({own})), NULL)")
+    found = F.expr(f"array({', '.join(cells)})")
+    none = F.array().cast("array<struct<scope: string, slot: int, value: string>>")
+    found = F.concat(found, *[F.coalesce(values, none) for values in lists]) if lists else found
+    return df.select(F.inline(found)).where("scope IS NOT NULL")
 
 
 def model_report(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -33,34 +33,31 @@ def record_texts(
 
     The xml source gives a file to one task, however large. Read as text whose line end is the
     closing tag, a file is split like any other, and a piece holds one record behind whatever
-    came before it; where it holds several, all but the last lack that closing tag (another
-    spelling of it is an error). With ``split=False`` a file is one text, cut at its tags. Either
-    way a record that does not end is a text of its own, up to the next one, so that it takes
-    none of its neighbours along.
+    came before it; where it holds several, all but the last lack that closing tag. A record that
+    does not end is a text of its own, up to the next one, so that it takes none of its
+    neighbours along. Another spelling of the closing tag is an error, or accepted
+    (``split=False``): a file that has no other is then one piece, for one task.
     """
-    if split:
-        text = spark.read.option("lineSep", CLOSING).text(_list(paths))
-    else:
-        text = spark.read.text(_list(paths), wholetext=True)
+    text = spark.read.option("lineSep", CLOSING).text(_list(paths))
     files = [] if file_column is None else [F.col("_metadata.file_path").alias(file_column)]
     return cut_records(text.select("value", *files), split)
 
 
 def cut_records(text: DataFrame, split: bool = True) -> DataFrame:
-    """``record`` in place of the text column ``value``, which holds pieces of files: each up to a
-    closing tag, which is left out, or (``split=False``) whole files."""
-    opening, closing = f"<{K.XML_ROW}", CLOSING
-    value = f"concat(value, '{closing}')" if split else "value"
-    pieces = f"filter(split({value}, '(?=<{K.XML_ROW}[\\\\s>])'), p -> startswith(p, '{opening}'))"
-    whole = f"regexp_extract(p, '(?s)^.*?</{K.XML_ROW}\\\\s*>', 0)"
-    records = f"transform({pieces}, p -> if({whole} = '', p, {whole}))"
+    """``record`` in place of the text column ``value``, which holds pieces of files, each up to a
+    closing tag that is left out; see :func:`record_texts`."""
+    opening = f"<{K.XML_ROW}"
+    last = f"substring_index(value, '{opening}', -1)"
+    single = f"octet_length(substring_index(value, '{opening}', 1)) + {len(opening)} + octet_length({last})"
+    # Several openings: records that lack the usual closing tag stand before the last one.
+    pieces = f"slice(split(concat(value, '{CLOSING}'), '{opening}'), 2, octet_length(value))"
+    ended = f"regexp_extract(p, '(?s)^.*?</{K.XML_ROW}\\\\s*>', 0)"
+    records = f"transform({pieces}, p -> concat('{opening}', coalesce(nullif({ended}, ''), p)))"
     if split:
-        other = f"raise_error('a record does not end in {closing}: read with split=False')"
-        records = f"transform({records}, r -> if(r LIKE '%</{K.XML_ROW}%' AND NOT endswith(r, '{closing}'), {other}, r))"
-        last = f"substring_index(value, '{opening}', -1)"
-        single = f"octet_length(substring_index(value, '{opening}', 1)) + {len(opening)} + octet_length({last})"
-        records = f"""CASE WHEN {single} = octet_length(value) THEN array(concat('{opening}', {last}, '{closing}'))
-            ELSE {records} END"""
+        other = f"raise_error('a record does not end in {CLOSING}: read with split=False')"
+        records = f"transform({records}, r -> if(r LIKE '%</{K.XML_ROW}%' AND NOT endswith(r, '{CLOSING}'), {other}, r))"
+    records = f"""CASE WHEN {single} = octet_length(value) THEN array(concat('{opening}', {last}, '{CLOSING}'))
+        ELSE {records} END"""
     others = [c for c in text.columns if c != "value"]
     return text.where(F.contains("value", F.lit(opening))).select(F.explode(F.expr(records)).alias("record"), *others)
 
@@ -93,9 +90,9 @@ def read_records(
 ) -> DataFrame:
     """Records of one object type under a fixed schema: no inference pass, stable types.
 
-    ``split=False`` hands whole files to the tasks, for files whose records end in another
-    spelling of the closing tag. Both ways go through one parser and give the same rows: a
-    malformed record is left out, see :func:`bad_records`.
+    ``split=False`` accepts records whose closing tag is spelled otherwise, see
+    :func:`record_texts`. Both ways go through one parser and give the same rows: a malformed
+    record is left out, see :func:`bad_records`.
     """
     texts = record_texts(spark, paths, file_column, split)
     return parse_records(texts, "record", object_type, schema)
