@@ -26,7 +26,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (5-word shingles, Jaccard similarity >= 0.8): the
-    one with the smallest id. Null ids come last, equal ids are told apart by a hash of the row, of rows equal
+    one with the smallest id. SimHash fingerprints propose the groups, min-hash bands the copies that
+    differ by more bits, the whole sets of shingles decide. Null ids come last, equal ids are told apart by a hash of the row, of rows equal
     in all columns one stays, and texts without a word are copies of each other."""
     return copies.first_of_copies(docs)
 

@@ -1,4 +1,7 @@
-"""Near copies by the exact Jaccard similarity of word shingles; min-hash bands find who to compare."""
+"""Near copies by the exact Jaccard similarity of word shingles.
+
+SimHash fingerprints within 4 bits find who to compare, min-hash bands whom that radius does not reach.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.links import components, local_roots
-from terravane.llm.simhash import first_rows, repeated_rows
+from terravane.llm.simhash import first_rows, majority, near_groups, repeated_rows
 from terravane.llm.tables import renamed, scope, stored
 from terravane.llm.trees import blocks
 
@@ -27,6 +30,8 @@ LEAST, OF = 4, 5
 #: A pair of similarity s has equal minima in a band with s ** ROWS, so no band of a pair at just
 #: 0.8 is equal in (1 - 0.8 ** 5) ** 32, or 3 of a million cases, and less often above it.
 BANDS, ROWS = 32, 5
+#: Stands for a band in the buckets made of linked fingerprints; the least, so it goes before them.
+LINKED = -1
 
 _DRAW = np.random.default_rng(SEED)
 _FLIPS = _DRAW.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)
@@ -92,20 +97,26 @@ def _compare(leaf: pd.DataFrame) -> pd.DataFrame:
 def copy_groups(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """``(fp, group)`` for each set of shingles: sets of Jaccard similarity >= 0.8 linked in steps.
 
-    Sets with an equal band key are candidates. Each is first compared with the least set of its
-    bucket, which joins the members of a group of any size in one comparison each; only
-    buckets whose sets are not in one group after that are compared in full. Every link is
-    verified on the whole sets. ``marks`` has ``doc_id``, ``row``, ``fp`` and ``bands`` of each row
-    of ``docs``, which has ``_id``, ``_row`` and ``_text``.
+    Sets whose fingerprints :func:`near_groups` links are candidates, a bucket a group. At a
+    similarity of 0.8 two fingerprints differ by some 10 bits, so an equal band key makes
+    candidates too. A set is first compared with the least set of its bucket, which joins
+    the members of a group of any size in one comparison each; only buckets whose sets are not
+    in one group after that are compared in full. Every link is verified on the whole sets.
+    ``marks`` has ``doc_id``, ``row``, ``fp``, ``simhash`` and ``bands`` of each row of ``docs``,
+    which has ``_id``, ``_row`` and ``_text``.
     """
     distinct = stored(
         marks.groupBy("fp").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
+            F.first("simhash").alias("simhash"),
             F.first("bands").alias("bands"),
         ),
         "distinct",
     )
-    buckets = stored(distinct.select("fp", F.posexplode("bands").alias("tree", "node")), "buckets")
+    prints = near_groups(distinct.select(F.col("simhash").alias("fp"))).withColumnRenamed("fp", "simhash")
+    linked = distinct.join(prints, "simhash").select("fp", F.lit(LINKED).alias("tree"), F.col("group").alias("node"))
+    banded = distinct.select("fp", F.posexplode("bands").alias("tree", "node"))
+    buckets = stored(linked.union(banded), "buckets")
     many = buckets.groupBy("tree", "node").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("fp").alias("head"),
@@ -164,7 +175,8 @@ def first_of_copies(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns: of each group of near copies the one with the smallest id.
 
     Two texts are near copies if the sets of their 5-word shingles (lower case ASCII, single
-    spaces) have a Jaccard similarity of at least 0.8; groups are linked in steps. Texts without
+    spaces) have a Jaccard similarity of at least 0.8; groups are linked in steps. The fingerprint
+    of a set has the majority bits of its shingles' hashes, as in :mod:`simhash`. Texts without
     a word are copies of each other, a text of up to five words is one shingle. Nulls come last
     among ids, equal ids are told apart by a hash of the row, and of rows equal in all columns
     one stays; an empty table gives an empty result.
@@ -178,18 +190,19 @@ def first_of_copies(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, bands = [], []
+            marks, prints, bands = [], [], []
             for text in batch.column(2):
                 hashes = shingles(text.as_py())
                 marks.append(xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED))
+                prints.append(majority(hashes))
                 bands.append(band_keys(hashes).view(np.int64))
-            fp = pa.array(np.array(marks, np.uint64).view(np.int64))
+            fp, simhash = (pa.array(np.array(m, np.uint64).view(np.int64)) for m in (marks, prints))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), fp, pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "row", "fp", "bands"],
+                [batch.column(0), batch.column(1), fp, simhash, pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "row", "fp", "simhash", "bands"],
             )
 
-    schema = "doc_id long, row long, fp long, bands array<long>"
+    schema = "doc_id long, row long, fp long, simhash long, bands array<long>"
     with scope(docs.sparkSession):
         marks = stored(named.mapInArrow(run, schema), "sketches")
         with scope(docs.sparkSession):

@@ -57,6 +57,15 @@ def layout(n: int) -> list[Band]:
     return exact_blocks(7, 3)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each 1 if it is set in over half the hashes; 0 for none."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65_535):
+        part = hashes[at : at + 65_535].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None) -> int:
     """64 majority bits over the hashes of the word shingles; 0 if there is no word."""
     words = (text or "").encode().lower().split()
@@ -71,12 +80,7 @@ def fingerprint(text: str | None) -> int:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
     pairs = zip(starts.tolist(), ends.tolist(), strict=True)
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(starts))
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65_535):
-        part = hashes[at : at + 65_535].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return majority(np.fromiter((digest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(starts)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

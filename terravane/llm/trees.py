@@ -43,8 +43,7 @@ def grow(
         ]
         sizes = active.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_n"), *cuts)
         large = stored(sizes.where(F.col("_n") > leaf), "nodes")
-        joined = active.join(large, ["tree", "node"], "left")
-        done.append(joined.where("_n is null").select(active.columns))
+        done.append(active.join(large, ["tree", "node"], "left_anti").select(active.columns))
         if large.isEmpty():
             break
         nodes = F.array("node")
@@ -54,7 +53,7 @@ def grow(
             nodes = F.flatten(F.transform(nodes, _children(left, right)))
         # A few small files would be read by a few tasks: rows are dealt out before they multiply.
         total = large.agg(F.sum("_n")).first()[0]
-        dealt = joined.where("_n is not null").repartition(max(1, -(-total // DEAL)))
+        dealt = active.join(large, ["tree", "node"]).repartition(max(1, -(-total // DEAL)))
         split = dealt.withColumn("_nodes", nodes)
         kept = [c for c in active.columns if c != "node"]
         active = stored(split.select(*kept, F.explode("_nodes").alias("node")), "split")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from compare import difference
 from test_operators import groups
 
@@ -107,3 +108,35 @@ def test_near_copies_in_chains_through_small_leaves(spark, monkeypatch, limits):
     rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     kept = sorted(r["doc_id"] for r in corpus_pipeline.keep_first_of_near_copies(spark, rows, SMALL).collect())
     assert kept == plain_first_of_copies(docs)
+
+
+def plain_print(text):
+    """Majority bits of the hashes of the set of 5-word shingles, bit by bit."""
+    hashes = [xxhash.xxh64_intdigest(" ".join(s).encode(), 42) for s in plain_shingles(text)]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+def test_fingerprints_find_near_copies_without_the_bands(spark, monkeypatch):
+    """With band keys that no two texts share, the groups are those of linked fingerprints, verified."""
+
+    def own_keys(hashes):
+        return np.full(32, xxhash.xxh64_intdigest(hashes.tobytes(), 7), np.uint64)
+
+    monkeypatch.setattr(copies, "band_keys", own_keys)
+    rng = np.random.default_rng(11)
+    docs = {}
+    for words in [[f"w{rng.integers(10**6)}" for _ in range(n)] for n in (150, 400, 900) for _ in range(4)]:
+        for share in (0, 0.002, 0.004, 0.008, 0.03):
+            docs[len(docs)] = " ".join(edited(rng, words, share))
+    # Texts of few shingles: fingerprints are alike where the sets are not.
+    for i in range(40):
+        docs[len(docs)] = " ".join(f"x{rng.integers(2)}" for _ in range(7 + i % 3))
+    sets, prints = ([f(docs[k]) for k in sorted(docs)] for f in (plain_shingles, plain_print))
+    pairs = [(a, b) for a in range(len(docs)) for b in range(a)]
+    linked = groups(len(docs), [(a, b) for a, b in pairs if (prints[a] ^ prints[b]).bit_count() <= 4])
+    near = [(a, b) for a, b in pairs if 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))]
+    root = groups(len(docs), [(a, b) for a, b in near if linked[a] == linked[b]])
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.keep_first_of_near_copies(spark, rows, SMALL).collect())
+    assert kept == [i for i in range(len(docs)) if root[i] == i]
+    assert len(kept) < len(docs) - 20
