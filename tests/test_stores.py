@@ -242,6 +242,19 @@ def test_a_lookup_by_place_reads_few_row_groups(spark, tmp_path):
     assert read < total / 4
 
 
+def test_vertices_of_one_row_group_are_made_by_several_tasks(spark, tmp_path):
+    n = 3 * files.DEAL
+    for name, key in (("customer", "c_custkey"), ("part", "p_partkey"), ("supplier", "s_suppkey")):
+        keys = spark.range(n if name != "supplier" else 70).withColumnRenamed("id", key)
+        keys.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = QUERIES["geo_dimension_literal"](spark, str(tmp_path))
+    tasks = rows.groupBy("objType", F.spark_partition_id().alias("task")).count().collect()
+    for kind, vertices in (("Pand", 4), ("Woonplaats", 8)):
+        counts = [r["count"] for r in tasks if r["objType"] == kind]
+        assert sum(counts) == vertices * sum(k % 7 != 0 for k in range(n))
+        assert len(counts) == 3 and max(counts) < 1.1 * vertices * files.DEAL
+
+
 def scanned(df) -> int:
     """Rows that the scan of ``df`` gave out, from its metrics."""
     plan = df._jdf.queryExecution().executedPlan()
