@@ -13,7 +13,8 @@ from terravane import constants as K
 from terravane.functions import grid
 from terravane.operators.columns import has_path
 from terravane.operators.vertices import vertex_table
-from terravane.sources.files import read_table, write_table
+from terravane.sources.files import read_table, remove_folder, write_table
+from terravane.sources.workspace import work_folder
 
 # vertices per output file; a row takes some 30 bytes once encoded
 MAX_RECORDS = 20_000_000
@@ -37,12 +38,19 @@ def write_by_place(rows: DataFrame, folder: str, max_records: int = MAX_RECORDS,
 
     Files and the row groups in them hold runs of the curve, so that a lookup by place reads
     those of its neighbourhood only. Rows of one cell are told apart by their ids: no cell,
-    however crowded, fixes the size of a task. ``options`` go to the Parquet writer.
+    however crowded, fixes the size of a task. The rows are stored once before: the bounds of the
+    ranges are drawn from all of them, which would compute every row a second time, and those of
+    large partitions a third. ``options`` go to the Parquet writer.
     """
+    spark = rows.sparkSession
+    stage = work_folder(spark, "placed")
     order = [F.col("curve").asc_nulls_last(), "identificatie", "historieIdentificatie", "vlakID", "puntID"]
-    coded = rows.withColumn("curve", grid.morton_code("refID"))
-    ordered = coded.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.write.mode("overwrite").option("maxRecordsPerFile", max_records).options(**options).parquet(folder)
+    try:
+        write_table(rows.withColumn("curve", grid.morton_code("refID")), stage)
+        ordered = read_table(spark, stage).repartitionByRange(*order).sortWithinPartitions(*order)
+        ordered.write.mode("overwrite").option("maxRecordsPerFile", max_records).options(**options).parquet(folder)
+    finally:
+        remove_folder(spark, stage)
 
 
 def window(spark: SparkSession, folder: str, south: float, west: float, north: float, east: float) -> DataFrame:

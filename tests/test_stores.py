@@ -27,6 +27,18 @@ def ids_of(rows) -> list[str]:
     return sorted(r[0] for r in rows.select(f"`{K.ID_FIELD}`._VALUE").collect())
 
 
+def counting(spark):
+    """A step that passes rows on, and the number of rows that have passed it, over all jobs."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    return (lambda df: df.mapInArrow(run, df.schema)), passed
+
+
 # --- archives -------------------------------------------------------------------------------
 
 
@@ -242,6 +254,14 @@ def test_a_lookup_by_place_reads_few_row_groups(spark, tmp_path):
     assert read < total / 4
 
 
+def test_rows_are_computed_once_for_a_layout_by_place(spark, tmp_path):
+    rows = QUERIES["geo_dimension"](spark, SMALL).coalesce(2)
+    count, passed = counting(spark)
+    dimension.write_by_place(count(rows), str(tmp_path / "dim"))
+    total = rows.count()
+    assert files.read_table(spark, str(tmp_path / "dim")).count() == total == passed.value
+
+
 def test_vertices_of_one_row_group_are_made_by_several_tasks(spark, tmp_path):
     n = 3 * files.DEAL
     for name, key in (("customer", "c_custkey"), ("part", "p_partkey"), ("supplier", "s_suppkey")):
