@@ -122,6 +122,19 @@ def test_deliveries_become_parts_of_a_table(spark, tmp_path):
     assert sorted(r["n_records"] for r in files.read_table(spark, f"{target}/files").collect()) == [1, 2]
 
 
+def test_a_delivery_is_read_once(spark, tmp_path, monkeypatch):
+    source, target, step = tmp_path / "in", str(tmp_path / "t"), deliveries.cut_records
+    count, passed = counting(spark)
+    monkeypatch.setattr(deliveries, "cut_records", lambda values: count(step(values)))
+    deliver(source, "one", "01", "02", "03")
+    text = (source / "one.xml").read_text()
+    (source / "one.xml").write_text(text.replace("03</Objecten:id", "03</Objecten:di"))
+    deliveries.ingest_new(spark, str(source), "Pand", schemas.core_schema("Pand"), target, str(tmp_path / "state"))
+    assert files.read_table(spark, f"{target}/records").count() == 2
+    assert files.read_table(spark, f"{target}/bad").count() == 1
+    assert passed.value == 3
+
+
 # --- parts ----------------------------------------------------------------------------------
 
 
