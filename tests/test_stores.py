@@ -135,6 +135,13 @@ def test_a_delivery_is_read_once(spark, tmp_path, monkeypatch):
     assert passed.value == 3
 
 
+def test_every_order_comes_in_a_delivery(spark, tmp_path):
+    keys = [0, 1, 2, 3, 4, 5, 5, 8, -1, -5, None, None]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint").write.parquet(str(tmp_path / "orders.parquet"))
+    found = sorted(((r["identificatie"], r["delivery"]) for r in QUERIES["new_files"](spark, str(tmp_path)).collect()), key=str)
+    assert found == sorted(((k if k is None else f"0599{str(k).rjust(12, '0')}", abs(k or 0) % 3) for k in keys), key=str)
+
+
 # --- parts ----------------------------------------------------------------------------------
 
 
